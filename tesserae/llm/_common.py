@@ -14,15 +14,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def durable(df: DataFrame) -> DataFrame:
-    """Cut lineage with a replicated checkpoint in the cluster's shared folder.
-
-    The folder is the session's ``spark.checkpoint.dir``; one is made only where none is set.
-    """
-    spark = df.sparkSession
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share: the session's ``spark.checkpoint.dir``; one is made only where none is set."""
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoint-"))
+    return context.getCheckpointDir()
+
+
+def durable(df: DataFrame) -> DataFrame:
+    """Cut lineage with a checkpoint in the shared folder."""
+    shared_folder(df.sparkSession)
     return df.checkpoint()
 
 
