@@ -220,10 +220,8 @@ def identify(docs: DataFrame, model: Model, penalty: float = 12.0, text_col: str
     """
     added = ["lang_pred", "score", *["lang_spans"] * spans]
     kept = [c for c in docs.columns if c not in added]
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-
     def run(batches):
-        labeller = Labeller(shared.value, penalty)
+        labeller = Labeller(model, penalty)
         names = labeller.model.languages
         for batch in batches:
             found = [labeller.label(t or "") for t in batch.column("0").to_pylist()]

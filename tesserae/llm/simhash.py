@@ -178,15 +178,13 @@ def link_fingerprints(fps: DataFrame, radius: int = 2, cell_most: int = CELL_MOS
 
     ``fps`` holds each fingerprint once, as ``fp``. Cells return a spanning forest of their links.
     """
-    spark = fps.sparkSession
     total = fps.count()
     sample = np.array([r[0] for r in fps.select("fp").orderBy(F.xxhash64("fp"), "fp").limit(SAMPLE).collect()], np.int64).view(np.uint64)
     pivots = np.random.default_rng(0).integers(0, 2**64, PIVOTS, np.uint64)
     pivots[: PIVOTS // 4] = np.resize(sample, PIVOTS // 4) if len(sample) else pivots[: PIVOTS // 4]
-    shared = spark.sparkContext.broadcast(PivotTree(sample, total, radius, pivots))
+    tree = PivotTree(sample, total, radius, pivots)  # of a size that SAMPLE bounds: it travels with the functions
 
     def deal(batches):
-        tree = shared.value
         for batch in batches:
             own = batch.column(0).to_numpy(zero_copy_only=False)
             for cell, at in tree.deal(own.view(np.uint64)):
@@ -204,7 +202,6 @@ def link_fingerprints(fps: DataFrame, radius: int = 2, cell_most: int = CELL_MOS
             yield from pa.Table.from_batches(kept).combine_chunks().to_batches()
 
     def link(table):
-        tree = shared.value
         own = table.column("fp").to_numpy().view(np.uint64)
         a, b = links_in_cell(np.ascontiguousarray(own), tree.pivots[-COORDINATES:], tree.radius)
         a, b = spanning(a, b) if len(a) else (a, b)
