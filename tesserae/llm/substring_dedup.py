@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from ._common import as_bytes, named, text_hashes
 
 BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
-SCHEMA = "h1 long, h2 long, c int, t1 long, t2 long, lo int, hi int"
+SCHEMA = "h1 long, h2 long, c int, t1 long, t2 long, run long"
 
 
 def word_hashes(words: list[bytes]) -> np.ndarray:
@@ -84,11 +84,13 @@ def runs_at(words: np.ndarray, length: int, window: int, alive: np.ndarray | Non
     return h1[chosen[first]], h2, starts[first], starts[last], chosen[first]
 
 
-def spread(ranges) -> np.ndarray:
-    """Window starts of ranges ``{"lo", "hi"}``, in order, each once."""
-    if not ranges:
-        return np.zeros(0, np.int64)
-    return np.unique(np.concatenate([np.arange(r["lo"], r["hi"] + 1) for r in ranges]))
+def spread(runs) -> np.ndarray:
+    """Window starts of runs (first start in the upper 32 bits, last in the lower), in order, each once."""
+    runs = np.sort(np.array(runs or [], np.int64))
+    lo, hi = runs >> 32, runs & 0xFFFFFFFF
+    sizes = hi - lo + 1
+    within = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    return np.unique(np.repeat(lo, sizes) + within)
 
 
 def level_rows(texts: DataFrame, length: int, window: int) -> DataFrame:
@@ -124,15 +126,16 @@ def level_rows(texts: DataFrame, length: int, window: int) -> DataFrame:
             twice = np.bincount(group, weights=moved)[group] > 1
             count = np.where(twice, 2, moved).astype(np.int32)  # several runs of windows at one place count once
             tell = order[new & twice]
-            t1, t2, lo, hi = t1[order], t2[order], lo[order], hi[order]
+            # back to the order of the texts: rows of one text lie together and compress
+            twice, count = (x[np.argsort(order)] for x in (twice, count))
             own = window_hashes(np.stack([t1.view(np.uint64), lo.astype(np.uint64)], 1).reshape(-1), 2, BASES[1])[::2]
-            keys = np.where(twice, own, a), np.where(twice, t2.view(np.uint64), b)
-            nowhere = np.arange(len(a) + len(tell)) >= len(a)
+            keys = np.where(twice, own, h1), np.where(twice, t2.view(np.uint64), h2)
+            nowhere = np.arange(len(lo) + len(tell)) >= len(lo)
             columns = [pa.array(np.concatenate([k, h[tell]]).view(np.int64)) for k, h in zip(keys, (h1, h2), strict=True)]
             columns.append(pa.array(np.concatenate([count, np.full(len(tell), 2, np.int32)])))
-            for x, kind in ((t1, np.int64), (t2, np.int64), (lo, np.int32), (hi, np.int32)):
-                columns.append(pa.array(np.concatenate([x.astype(kind), np.zeros(len(tell), kind)]), mask=nowhere))
-            yield pa.RecordBatch.from_arrays(columns, names=["h1", "h2", "c", "t1", "t2", "lo", "hi"])
+            for x in (t1, t2, lo << 32 | hi):
+                columns.append(pa.array(np.concatenate([x, np.zeros(len(tell), np.int64)]), mask=nowhere))
+            yield pa.RecordBatch.from_arrays(columns, names=["h1", "h2", "c", "t1", "t2", "run"])
 
     return texts.mapInArrow(run, SCHEMA)
 
@@ -155,7 +158,9 @@ def dedup_substrings(docs: DataFrame, window: int = 35, start: int = 9, id_col:
     marked = base.join(F.broadcast(hot), (F.col("t1") == F.col("s1")) & (F.col("t2") == F.col("s2")), "left")
     copied = F.coalesce(F.col("hot"), F.lit(False)) & ~F.col("doc_id").eqNullSafe(F.col("stands"))
     texts = marked.filter(~copied).select("doc_id", "text", "t1", "t2").join(copies.hint("shuffle_hash"), ["t1", "t2"])
-    standing = texts.filter(F.col("doc_id").eqNullSafe(F.col("first")))
+    # "<=", as an equality would become a key of the join and ask for another exchange; a null id may stand, too
+    least = F.lit(-(2**63)).cast("long")
+    standing = texts.filter(F.coalesce("doc_id", least) <= F.coalesce("first", least))
 
     found, length = None, start
     while True:
@@ -163,8 +168,8 @@ def dedup_substrings(docs: DataFrame, window: int = 35, start: int = 9, id_col:
             level = level_rows(standing.select("t1", "t2", "text"), length, window)
         else:
             level = level_rows(standing.join(found.hint("shuffle_hash"), ["t1", "t2"]).select("t1", "t2", "text", "alive"), length, window)
-        again = level.withColumn("n", F.sum("c").over(W.partitionBy("h1", "h2"))).filter("n > 1 AND lo IS NOT NULL")
-        found = again.groupBy("t1", "t2").agg(F.collect_list(F.struct("lo", "hi")).alias("alive"))
+        again = level.withColumn("n", F.sum("c").over(W.partitionBy("h1", "h2"))).filter("n > 1 AND run IS NOT NULL")
+        found = again.groupBy("t1", "t2").agg(F.collect_list("run").alias("alive"))
         if length == window:
             break
         length = min(2 * length, window)
@@ -193,7 +198,7 @@ def dedup_substrings(docs: DataFrame, window: int = 35, start: int = 9, id_col:
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(kept, pa.binary()).cast(pa.string())], names=["doc_id", "n_words", "n_removed", "kept_text"])
 
     schema = "doc_id long, n_words long, n_removed long, kept_text string"
-    no_windows = F.lit(None).cast("array<struct<lo:int,hi:int>>").alias("alive")
+    no_windows = F.lit(None).cast("array<bigint>").alias("alive")
     others = marked.filter(copied).select("doc_id", "text", F.lit(2).cast("long").alias("copies"), no_windows)
     return judged.mapInArrow(cut, schema).unionByName(others.mapInArrow(cut, schema))
 
