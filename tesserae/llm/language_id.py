@@ -41,13 +41,21 @@ def script_of(letter: str) -> str:
 
 
 def letters_of(token: str) -> str:
-    return "".join(c for c in token.lower() if c.isalpha())
+    return token.lower() if token.isalpha() else "".join([c for c in token.lower() if c.isalpha()])
+
+
+def main_script(word: str) -> str:
+    """The script of most letters of a word."""
+    if word.isascii():
+        return "Latin"
+    scripts = Counter(map(script_of, word))
+    return max(scripts, key=lambda s: (scripts[s], s))
 
 
 def grams_of(word: str) -> list[str]:
-    """Character pairs, triples and quadruples of a word with its borders marked, and the word itself."""
+    """Character triples of a word with its borders marked."""
     w = f"^{word}$"
-    return [w[i : i + n] for n in (2, 3, 4) for i in range(len(w) - n + 1)] or [w]
+    return [w[i : i + 3] for i in range(len(w) - 2)]
 
 
 class Model:
@@ -70,65 +78,71 @@ class Model:
             share = [scripts.get(x, {}).get(name, 0) / max(1, sum(scripts.get(x, {}).values())) for x in self.languages]
             self.candidates[name] = np.array(share) >= 0.01
 
-    def score(self, token: str) -> tuple[int, np.ndarray | None]:
-        """(letters, score for each language); no letters or no candidates: no scores."""
-        word = letters_of(token)
-        if not word:
-            return 0, None
-        scripts = Counter(map(script_of, word))
-        script = max(scripts, key=lambda s: (scripts[s], s))
-        fit = self.candidates.get(script)
-        if fit is None or not fit.any():
-            return len(word), None
-        found = np.full(len(self.languages), -CAP)
-        if fit.sum() == 1:
-            found[fit] = 0.0
-            return len(word), found
-        get = self.gram_id.get
-        total = self.log[[get(g, 0) for g in grams_of(word)]].sum(axis=0)
-        found[fit] = np.maximum(total[fit] - total[fit].max(), -CAP)
-        return len(word), found
+    def score(self, tokens: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """For each token its letters, whether it is scored, and its score for each language. Tokens without letters, or in
+        scripts without candidates, are not scored."""
+        words = [letters_of(t) for t in tokens]
+        letters = np.fromiter(map(len, words), np.int64, len(words))
+        scores = np.zeros((len(words), len(self.languages)))
+        by_script: dict[str, list[int]] = {}
+        for i, w in enumerate(words):
+            if w:
+                by_script.setdefault(main_script(w), []).append(i)
+        get, scored = self.gram_id.get, np.zeros(len(words), bool)
+        for script, at in by_script.items():
+            fit = self.candidates.get(script)
+            if fit is None or not fit.any():
+                continue
+            scored[at] = True
+            found = np.full((len(at), len(self.languages)), -CAP)
+            if fit.sum() == 1:
+                found[:, fit] = 0.0
+            else:
+                grams = [get(g, 0) for i in at for g in grams_of(words[i])]
+                starts = np.cumsum(letters[at]) - letters[at]  # a word has a triple for each letter
+                total = np.add.reduceat(self.log[grams][:, fit], starts, axis=0)
+                found[:, fit] = np.maximum(total - total.max(axis=1, keepdims=True), -CAP)
+            scores[at] = found
+        return letters, scored, scores
 
 
 class Labeller:
     """Labels the words of texts; memoises the scores of words, within a bound that is checked between texts."""
 
-    def __init__(self, model: Model, penalty: float, entries: int = 200_000):
+    def __init__(self, model: Model, penalty: float, entries: int = 300_000):
         self.model, self.penalty, self.entries = model, penalty, entries
         self._reset()
 
     def _reset(self):
         self.row: dict[str, int] = {}
-        self.scores = np.zeros((1024, max(1, len(self.model.languages))), np.float32)
         self.letters = np.zeros(1024, np.int64)
         self.scored = np.zeros(1024, bool)
-        self.used = 0
-
-    def _row(self, token: str) -> int:
-        i = self.row.get(token)
-        if i is None:
-            i = self.used
-            if i == len(self.scores):
-                self.scores, self.letters, self.scored = (np.concatenate([x, np.zeros_like(x)]) for x in (self.scores, self.letters, self.scored))
-            n, found = self.model.score(token)
-            self.letters[i], self.scored[i] = n, found is not None
-            if found is not None:
-                self.scores[i] = found
-            self.used += 1
-            self.row[token] = i
-        return i
+        self.scores = np.zeros((1024, max(1, len(self.model.languages))), np.float32)
+
+    def _learn(self, tokens: list[str]) -> None:
+        """Add tokens that are not known yet."""
+        first = len(self.row)
+        self.row.update(zip(tokens, range(first, first + len(tokens)), strict=True))
+        while len(self.row) > len(self.letters):
+            self.letters, self.scored, self.scores = (np.concatenate([x, np.zeros_like(x)]) for x in (self.letters, self.scored, self.scores))
+        new = slice(first, len(self.row))
+        self.letters[new], self.scored[new], self.scores[new] = self.model.score(tokens)
 
     def label(self, text: str) -> tuple[str, float, np.ndarray]:
         """(language, share of letters, label of each blank-separated word; -1: none)."""
-        if self.used > self.entries:
+        labels = np.full(0, -1)
+        if not self.model.languages:
+            return UNKNOWN, 0.0, labels
+        if len(self.row) > self.entries:
             self._reset()
         tokens = text.split()
-        get, make = self.row.get, self._row
-        at = np.fromiter([i if (i := get(t)) is not None else make(t) for t in tokens], np.int64, len(tokens))
+        if missing := list({t: None for t in tokens if t not in self.row}):
+            self._learn(missing)
+        at = np.fromiter(map(self.row.__getitem__, tokens), np.int64, len(tokens))
         letters = self.letters[at]
         all_letters = int(letters.sum())
         labels = np.full(len(tokens), -1)
-        if not all_letters or not self.model.languages:
+        if not all_letters:
             return UNKNOWN, 0.0, labels
         told = np.flatnonzero(self.scored[at])
         if not len(told):
