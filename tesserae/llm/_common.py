@@ -49,18 +49,23 @@ def text_hashes(text: Column) -> tuple[Column, Column]:
 
 
 class Memo(dict):
-    """A bounded memo of a pure function; it is emptied when full, so its size never follows the input."""
+    """A memo of a pure function with a bound: it holds two generations of ``entries`` keys at most. When the young one is
+    full it becomes the old one, from which keys that are asked for again move up."""
 
-    def __init__(self, function, entries: int = 1 << 18, longest: int = 64):
+    def __init__(self, function, entries: int = 200_000, longest: int = 64):
         super().__init__()
-        self.function, self.entries, self.longest = function, entries, longest
+        self.function, self.entries, self.longest, self.old = function, entries, longest, {}
 
     def __missing__(self, key):
-        value = self.function(key)
-        if len(key) <= self.longest:
-            if len(self) >= self.entries:
-                self.clear()
-            self[key] = value
+        value = self.old.get(key)
+        if value is None:
+            value = self.function(key)
+            if len(key) > self.longest:
+                return value
+        if len(self) >= self.entries:
+            self.old = dict(self)
+            self.clear()
+        self[key] = value
         return value
 
 

@@ -84,6 +84,7 @@ class Codec:
         self.whole = PerfectHash(list(self.ranks))
         self.id_at = [self.ranks[k] for k in self.whole.key]
         self.piece_of = {i: p for p, i in self.ranks.items()}
+        self.pair_rank = [self.ranks.get(bytes((a, b)), -1) for a in range(256) for b in range(256)]
         self.pattern = regex.compile(pattern)
         self.memo = Memo(self._packed)
 
@@ -94,28 +95,35 @@ class Codec:
 
     def merge(self, piece: bytes) -> list[int]:
         """Identifiers of a piece by merging its linked bytes."""
-        n, ranks = len(piece), self.ranks
-        end = list(range(1, n + 1))  # where the part that starts here ends; 0: swallowed by the part before
-        before = list(range(-1, n - 1))
-        heap = [(r, i) for i in range(n - 1) if (r := ranks.get(piece[i : i + 2])) is not None]
+        n, get = len(piece), self.ranks.get
+        end = list(range(1, n + 1))  # where the part that starts here ends
+        before = list(range(-1, n - 1))  # where the part before starts
+        # rank of the part joined with the next one; -1: no such piece, or no such part any more
+        joined = [self.pair_rank[a << 8 | b] for a, b in zip(piece, piece[1:], strict=False)]
+        joined.append(-1)
+        heap = [r << 40 | i for i, r in enumerate(joined) if r >= 0]  # ordered by rank, then place
         heapify(heap)
         while heap:
-            rank, i = heappop(heap)
-            j = end[i]
-            if not j or j >= n or ranks.get(piece[i : end[j]]) != rank:
+            top = heappop(heap)
+            i = top & 0xFFFFFFFFFF
+            if joined[i] != top >> 40:
                 continue
+            j = end[i]
             k = end[i] = end[j]
-            end[j] = 0
+            joined[j] = joined[i] = -1
             if k < n:
                 before[k] = i
-                if (r := ranks.get(piece[i : end[k]])) is not None:
-                    heappush(heap, (r, i))
+                if (r := get(piece[i : end[k]])) is not None:
+                    joined[i] = r
+                    heappush(heap, r << 40 | i)
             h = before[i]
-            if h >= 0 and (r := ranks.get(piece[h:k])) is not None:
-                heappush(heap, (r, h))
+            if h >= 0:
+                joined[h] = r = get(piece[h:k], -1)
+                if r >= 0:
+                    heappush(heap, r << 40 | h)
         out, i = [], 0
         while i < n:
-            out.append(ranks[piece[i : end[i]]])
+            out.append(self.ranks[piece[i : end[i]]])
             i = end[i]
         return out
 
