@@ -1,4 +1,11 @@
-"""Registry of queries and of the SQL they are held against."""
+"""Registry of queries and of the SQL that each is held against."""
+
+from __future__ import annotations
+
+from . import bridges, releases, shapes, surface
 
 QUERIES: dict = {}
 ORACLE_SQL: dict[str, str] = {}
+for _module in (bridges, shapes, releases, surface):
+    QUERIES |= _module.QUERIES
+    ORACLE_SQL |= _module.SQL
