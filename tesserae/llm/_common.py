@@ -127,3 +127,10 @@ def components(links: DataFrame, rounds: int = 50) -> DataFrame:
     else:
         raise RuntimeError(f"components have not settled in {rounds} rounds")
     return pairs.select(F.col("a").alias("node"), F.col("b").alias("root"))
+
+
+def sliced(batches, rows: int = 500):
+    """Arrow batches cut into smaller ones, to hold less at a time."""
+    for batch in batches:
+        for i in range(0, len(batch), rows):
+            yield batch.slice(i, rows)

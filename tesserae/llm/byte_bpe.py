@@ -11,11 +11,12 @@ import hashlib
 from array import array
 from heapq import heapify, heappop, heappush
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 
-from ._common import Memo, named, pieces_of
+from ._common import Memo, named, pieces_of, sliced
 
 SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 
@@ -146,19 +147,18 @@ def encode_documents(docs: DataFrame, ranks: bytes, pattern: str, id_col: str =
 
     def run(batches):
         codec = Codec(*shared.value)
-        for batch in batches:
-            tokens, ids_sha, decoded_sha, ids = [], [], [], []
-            for text in batch.column(1).to_pylist():
-                packed = codec.encode(text or "")
-                tokens.append(len(packed) // 4)
-                ids_sha.append(hashlib.sha256(packed).hexdigest())
-                decoded_sha.append(hashlib.sha256(codec.decode(packed)).hexdigest())
-                if keep_ids:
-                    ids.append(array("I", packed).tolist())
-            columns = [batch.column(0), pa.array(tokens, pa.int64()), pa.array(ids_sha, pa.string()), pa.array(decoded_sha, pa.string())]
+        for batch in sliced(batches):
+            packed = [codec.encode(text or "") for text in batch.column(1).to_pylist()]
+            columns = [
+                batch.column(0),
+                pa.array([len(x) // 4 for x in packed], pa.int64()),
+                pa.array([hashlib.sha256(x).hexdigest() for x in packed], pa.string()),
+                pa.array([hashlib.sha256(codec.decode(x)).hexdigest() for x in packed], pa.string()),
+            ]
             names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
             if keep_ids:
-                columns.append(pa.array(ids, pa.list_(pa.int32())))
+                ends = np.cumsum([0, *(len(x) // 4 for x in packed)]).astype(np.int32)
+                columns.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(packed), np.int32))))
                 names.append("ids")
             yield pa.RecordBatch.from_arrays(columns, names=names)
 

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ._common import named
+from ._common import named, sliced
 
 #: First code point of each script range (fixed values; letters outside belong to the range below).
 SCRIPTS = [
@@ -237,7 +237,7 @@ def identify(docs: DataFrame, model: Model, penalty: float = 12.0, text_col: str
     def run(batches):
         labeller = Labeller(model, penalty)
         names = labeller.model.languages
-        for batch in batches:
+        for batch in sliced(batches):
             found = [labeller.label(t or "") for t in batch.column("0").to_pylist()]
             columns = [pa.array([x[0] for x in found], pa.string()), pa.array([x[1] for x in found], pa.float64())]
             if spans:

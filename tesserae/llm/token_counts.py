@@ -13,7 +13,7 @@ from heapq import heapify, heappop, heappush
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from ._common import Memo, named, pieces_of
+from ._common import Memo, named, pieces_of, sliced
 
 SCHEMA = "doc_id long, n_bytes long, n_tokens long, over_limit boolean"
 
@@ -103,7 +103,7 @@ def count_tokens(docs: DataFrame, vocabulary: str, pattern: str, limit: int = 51
 
     def run(batches):
         counter = MergeCounter(*shared.value)
-        for batch in batches:
+        for batch in sliced(batches):
             texts = [x or "" for x in batch.column(1).to_pylist()]
             tokens = [counter.count(x) for x in texts]
             yield pa.RecordBatch.from_arrays(
