@@ -11,6 +11,7 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 # Numerals, and the dashes that count as a hyphen between digits.
 DIGITS = "〇一二三四五六七八九"
@@ -51,7 +52,7 @@ def conservative(name: str | None) -> str:
     return re.sub(rf"(?<=\d)[{DASHES}](?=\d)", "-", text)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def normalize_conservative(names: pd.Series) -> pd.Series:
     """NULL becomes empty. Each distinct name of a batch is normalised once."""
     names = names.fillna("")
