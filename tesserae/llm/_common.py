@@ -134,3 +134,12 @@ def sliced(batches, rows: int = 500):
     for batch in batches:
         for i in range(0, len(batch), rows):
             yield batch.slice(i, rows)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """For costly row-wise work: deal rows out evenly where the input has fewer splits than the cluster has cores. Large inputs,
+    and inputs that have been shuffled already, stay as they are."""
+    if "Exchange" in df._jdf.queryExecution().executedPlan().toString():
+        return df
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(2 * cores) if df.rdd.getNumPartitions() < cores else df

@@ -16,7 +16,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 
-from ._common import Memo, named, pieces_of, sliced
+from ._common import Memo, named, pieces_of, sliced, spread
 
 SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 
@@ -163,7 +163,7 @@ def encode_documents(docs: DataFrame, ranks: bytes, pattern: str, id_col: str =
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
     schema = SCHEMA + (", ids array<int>" if keep_ids else "")
-    return docs.select(named(id_col).cast("long").alias("doc_id"), named(text_col).alias("text")).mapInArrow(run, schema)
+    return spread(docs.select(named(id_col).cast("long").alias("doc_id"), named(text_col).alias("text"))).mapInArrow(run, schema)
 
 
 def op9_byte_bpe(spark, sf_dir):

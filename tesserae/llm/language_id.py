@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ._common import named, sliced
+from ._common import named, sliced, spread
 
 #: First code point of each script range (fixed values; letters outside belong to the range below).
 SCRIPTS = [
@@ -200,7 +200,7 @@ def learn(labelled: DataFrame, per_language: int = 2000, max_languages: int = 50
         return Model({}, {}, {})
     by_hash = W.partitionBy("lang").orderBy(F.xxhash64("id"), "id")
     chosen = usable.filter(F.col("lang").isin(*documents)).select("id", "lang").withColumn("n", F.row_number().over(by_hash)).filter(F.col("n") <= per_language).select("id", "lang").distinct()
-    sample = usable.join(F.broadcast(chosen), ["id", "lang"])  # per_language x max_languages ids at most
+    sample = spread(usable).join(F.broadcast(chosen), ["id", "lang"])  # per_language x max_languages ids at most
 
     def count(batches):
         for batch in batches:
@@ -253,7 +253,7 @@ def identify(docs: DataFrame, model: Model, penalty: float = 12.0, text_col: str
     inner = docs.select(named(text_col).alias("0"), *[named(c).alias(str(i + 1)) for i, c in enumerate(kept)])
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in inner.schema.fields[1:]]
     schema = ", ".join([*fields, "lang_pred string", "score double", *["lang_spans array<struct<lang:string,first:bigint,words:bigint>>"] * spans])
-    out = inner.mapInArrow(run, schema)
+    out = spread(inner).mapInArrow(run, schema)
     return out.select(*[F.col(str(i + 1)).alias(c) for i, c in enumerate(kept)], *added)
 
 

@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import as_bytes, components, durable, named, skew_join
+from ._common import as_bytes, components, durable, named, skew_join, spread
 
 #: Fingerprints that the pivot tree's shape is fitted on, at most.
 SAMPLE = 20_000
@@ -59,7 +59,7 @@ def fingerprints(docs: DataFrame, shingle: int, seed: int) -> DataFrame:
             found = np.array([fingerprint(t, shingle, seed) for t in as_bytes(batch.column(1))], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.int64())], names=["doc_id", "fp"])
 
-    return docs.mapInArrow(run, "doc_id long, fp long")
+    return spread(docs).mapInArrow(run, "doc_id long, fp long")
 
 
 def _apart(a, b):

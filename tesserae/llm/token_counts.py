@@ -13,7 +13,7 @@ from heapq import heapify, heappop, heappush
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from ._common import Memo, named, pieces_of, sliced
+from ._common import Memo, named, pieces_of, sliced, spread
 
 SCHEMA = "doc_id long, n_bytes long, n_tokens long, over_limit boolean"
 
@@ -111,7 +111,7 @@ def count_tokens(docs: DataFrame, vocabulary: str, pattern: str, limit: int = 51
                 names=["doc_id", "n_bytes", "n_tokens", "over_limit"],
             )
 
-    return docs.select(named(id_col).cast("long").alias("doc_id"), named(text_col).alias("text")).mapInArrow(run, SCHEMA)
+    return spread(docs.select(named(id_col).cast("long").alias("doc_id"), named(text_col).alias("text"))).mapInArrow(run, SCHEMA)
 
 
 def op1_token_counts(spark, sf_dir):
