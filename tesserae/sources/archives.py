@@ -92,3 +92,11 @@ def change_signature(discovered: dict[str, str]) -> str:
 def fallbacks(resolved_via: dict[str, str]) -> list[str]:
     """Resources that were not found by discovery."""
     return sorted(k for k, via in resolved_via.items() if via != "discovery")
+
+
+def check_shape_container(content: bytes, encoding: str = "UTF-8", datum: str = "JGD_2011") -> None:
+    """A shapefile's archive states its encoding and datum exactly once each; anything else is not what the reader assumes."""
+    for suffix, wanted in ((".cpg", encoding), (".prj", datum)):
+        found = [data.decode("ascii", "replace").strip() for _, data in read_members(content, suffix)]
+        if len(found) != 1 or wanted.lower() not in found[0].lower():
+            raise BuildError("SCHEMA_CHANGED", f"{suffix} is not as expected", found=found[:3], expected=wanted)

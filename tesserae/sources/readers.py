@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..errors import BuildError
 from .archives import Limits, check_magic, read_members
-from .binary import read_dbf, read_doc, read_shp, read_xlsx, table_rows
+from .binary import read_dbf, read_doc, read_shp, read_xls, read_xlsx, table_rows
 
 PLACE = "source_file string, member string, row_ordinal long"
 
@@ -126,6 +126,21 @@ def xlsx_table(spark: SparkSession, path: str, columns: list[str], first_row: in
     return _decoded(spark, path, columns, rows_of)
 
 
+def xls_table(spark: SparkSession, path: str, columns: list[str], first_row: int, sheet: str) -> DataFrame:
+    """Rows of a named sheet of BIFF8 workbooks from ``first_row`` (from 1) on; blank rows end the table."""
+
+    def rows_of(content):
+        check_magic("xls", content)
+        rows = []
+        for r in read_xls(content, sheet)[first_row - 1 :]:
+            if not any(r):
+                break
+            rows.append((r + [None] * len(columns))[: len(columns)])
+        return [("", rows)]
+
+    return _decoded(spark, path, columns, rows_of)
+
+
 def tagged_union(parts: dict[str, DataFrame], required: list[str], tag: str) -> DataFrame:
     """All parts under one another with the part's name in ``tag``; a missing part is an error, not a smaller table."""
     missing = [k for k in required if k not in parts]

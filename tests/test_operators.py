@@ -7,7 +7,7 @@ from hypothesis import strategies as st
 
 from tesserae.errors import BuildError
 from tesserae.functions import geo_pack, mesh, normalize
-from tesserae.operators import bridges, gates, spatial, versioning
+from tesserae.operators import bridges, gates, points, spatial, versioning
 
 RINGS = "array<array<struct<x:double,y:double>>>"
 square = lambda x0, y0, x1, y1: [(x0, y0), (x1, y0), (x1, y1), (x0, y1)]
@@ -213,3 +213,29 @@ def test_chunks_come_back(spark):
     df = spark.createDataFrame([("c", 139.0, 35.0, 5, 1, [[(139.0, 35.0), (139.1, 35.0), (139.1, 35.1)]]), ("c", 139.0, 35.0, 4, 1, [[(139.0, 35.0), (139.1, 35.0), (139.1, 35.1)]])], f"chunk string, ox double, oy double, code long, unit long, rings {RINGS}")
     (row,) = geo_pack.pack_chunks(df).collect()
     assert [c for c, _ in geo_pack.unpack_cells(bytes(row.data), origin)] == [4, 5]
+
+
+def test_point_tables(spark):
+    stations = spark.createDataFrame([("s1",), ("s2",)], "n02_group_code string")
+    geometry = lines(spark, [(1, [[(139.0, 35.0), (139.2, 35.0), (139.2, 35.4)]])]).selectExpr("'s1' n02_group_code", "parts")
+    bridge = spark.createDataFrame([("s1", "point_on_line"), ("s2", None)], "n02_group_code string, placement_point string")
+    out = points.station_points(stations, geometry, bridge)
+    assert {tuple(r) for r in out.collect()} == {("s1", 139.2, 35.1, "point_on_line"), ("s2", None, None, None)}
+    points.check_points(out, stations, ["n02_group_code"], bridge)
+    stops = points.stop_points(stations, spark.createDataFrame([("s2", 139.123456789, 35.0)], "n02_group_code string, x double, y double"), "n02_group_code")
+    assert {tuple(r) for r in stops.collect()} == {("s1", None, None), ("s2", 139.123456789, 35.0)}
+    swapped = out.selectExpr("n02_group_code", "latitude longitude", "longitude latitude", "placement_point")
+    for bad in (swapped, out.limit(1), out.selectExpr("n02_group_code", "longitude", "latitude", "'centroid' placement_point")):
+        with pytest.raises(BuildError):
+            points.check_points(bad, stations, ["n02_group_code"], bridge)
+
+
+def test_schools(spark):
+    schools = spark.createDataFrame([("c1", "100", "本町一丁目5", "001", "c2; c9"), ("c2", "100", "本町9", "002", None), ("c3", "100", "山1", None, ""), ("c4", "200", "本町1", "001", None)], "school_code string, lg_code string, address string, postal_code string, successor_school_codes_raw string")
+    towns = spark.createDataFrame([("a1", "100", "本町"), ("a2", "100", "本町一丁目"), ("a3", "100", "本町")], "address_id string, lg_code string, name string")
+    postal = spark.createDataFrame([("a2", "001"), ("a1", "009")], "address_id string, postal_code string")
+    found = {(r.school_code, r.address_id): (r.relation_type, r.postal_check) for r in points.school_bridge(schools, towns, postal).collect()}
+    assert found == {("c1", "a2"): ("located_in", "matches"), ("c2", "a1"): ("ambiguous", "differs"), ("c2", "a3"): ("ambiguous", "differs"), ("c3", None): ("municipality_only", None), ("c4", None): ("municipality_only", None)}
+    assert {tuple(r) for r in points.succession(schools).collect()} == {("c1", "c2", True), ("c1", "c9", False)}
+    edges = points.lineage_edges(spark.createDataFrame([("1", "2", "2001", "x"), ("1", "3", "2001", "x"), ("4", "5", "2001", "x"), ("6", None, "2001", "x")], "old string, new string, date string, event_type string")).collect()
+    assert {(r.old, r.new): (r.is_unique, r.parse_status) for r in edges} == {("1", "2"): (False, "parsed"), ("1", "3"): (False, "parsed"), ("4", "5"): (True, "parsed"), ("6", None): (False, "incomplete")}

@@ -172,6 +172,37 @@ def test_xlsx(spark, tmp_path):
     assert [(r.a, r.b, r.c) for r in readers.xlsx_table(spark, str(tmp_path / "a.xlsx"), ["a", "b", "c"], 2).orderBy("row_ordinal").collect()] == [("札幌", None, "5"), ("x", None, None)]
 
 
+def biff(sheet, strings, cells):
+    record = lambda kind, data: struct.pack("<HH", kind, len(data)) + data
+    body = b"".join(struct.pack("<HB", len(t), 1) + t.encode("utf-16-le") for t in strings)
+    head = record(0x0809, b"\0\x06\x05\0" + bytes(12))
+    name = bytes([len(sheet), 1]) + sheet.encode("utf-16-le")
+    cut = 3 + 2  # the first string goes on in a CONTINUE record
+    sst = record(0x00FC, struct.pack("<II", len(strings), len(strings)) + body[:cut]) + record(0x003C, b"\x01" + body[cut:])
+    place = len(head) + 4 + 6 + len(name) + len(sst) + 4
+    book = head + record(0x0085, struct.pack("<IH", place, 0) + name) + sst + record(0x000A, b"")
+    assert len(book) == place
+    return book + head + b"".join(record(k, d) for k, d in cells) + record(0x000A, b"")
+
+
+def test_xls(spark, tmp_path):
+    cells = [(0x00FD, struct.pack("<HHHI", 1, 0, 0, 0)), (0x0203, struct.pack("<HHHd", 1, 2, 0, 2.5)), (0x027E, struct.pack("<HHHI", 2, 0, 0, 7 << 2 | 2)), (0x00BD, struct.pack("<HHHIHIH", 2, 1, 0, 150 << 2 | 3, 0, 4 << 2 | 2, 2)), (0x00FD, struct.pack("<HHHI", 1, 1, 0, 1))]
+    stream = biff("公開データ", ["札幌市", "011"], cells)
+    assert binary.biff_rows(stream, "公開データ") == [[], ["札幌市", "011", "2.5"], ["7", "1.5", "4"]]
+    with pytest.raises(BuildError):
+        binary.biff_rows(stream, "other")
+    (tmp_path / "a.xls").write_bytes(compound({"Workbook": stream}))
+    assert [(r.a, r.b, r.c) for r in readers.xls_table(spark, str(tmp_path / "a.xls"), ["a", "b", "c"], 2, "公開データ").orderBy("row_ordinal").collect()] == [("札幌市", "011", "2.5"), ("7", "1.5", "4")]
+
+
+def test_shape_container():
+    good = {"a.cpg": b"UTF-8", "a.prj": b"GEOGCS[JGD_2011]"}
+    archives.check_shape_container(zipped(good))
+    for bad in ({"a.cpg": b"UTF-8"}, good | {"b.cpg": b"UTF-8"}, good | {"a.cpg": b"cp932"}, good | {"a.prj": b"WGS84"}):
+        with pytest.raises(BuildError):
+            archives.check_shape_container(zipped(bad))
+
+
 def test_outputs_are_reproducible(spark, tmp_path):
     a = spark.createDataFrame([("02", 2, True, 0.5), ("01", 1, False, None)], "k string, n long, b boolean, d double")
     b = a.orderBy("n").repartition(3)
