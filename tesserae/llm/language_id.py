@@ -198,8 +198,12 @@ def learn(labelled: DataFrame, per_language: int = 2000, max_languages: int = 50
     documents = {r.lang: r["count"] for r in counted}
     if not documents:
         return Model({}, {}, {})
+    # Rows with the least hashes are chosen: of a frequent language only hashes under a bound that about twice the rows wanted pass are ranked.
+    bounds = {x: -(2**63) + min(2**64 - 1, 2**64 * 2 * per_language // n) for x, n in documents.items()}
+    bound = F.element_at(F.create_map(*[F.lit(v) for x in bounds.items() for v in x]), F.col("lang"))
     by_hash = W.partitionBy("lang").orderBy(F.xxhash64("id"), "id")
-    chosen = usable.filter(F.col("lang").isin(*documents)).select("id", "lang").withColumn("n", F.row_number().over(by_hash)).filter(F.col("n") <= per_language).select("id", "lang").distinct()
+    ranked = usable.filter(F.col("lang").isin(*documents)).select("id", "lang").filter(F.xxhash64("id") <= bound).withColumn("n", F.row_number().over(by_hash))
+    chosen = ranked.filter(F.col("n") <= per_language).select("id", "lang").distinct()
     sample = spread(usable).join(F.broadcast(chosen), ["id", "lang"])  # per_language x max_languages ids at most
 
     def count(batches):
