@@ -15,7 +15,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import as_bytes, named, rest, skew_join
+from ._common import as_bytes, named, rest, skew_join, sliced
 
 BLANK = b" \t\n\x0b\x0c\r"
 
@@ -33,7 +33,7 @@ def line_hashes(docs: DataFrame, min_chars: int) -> DataFrame:
     """(doc, own, pos, h1, h2) of each line long enough to be judged."""
 
     def run(batches):
-        for batch in batches:
+        for batch in sliced(batches):
             row, pos, digests = [], [], []
             for i, text in enumerate(as_bytes(batch.column("text"))):
                 for j, line in enumerate(text.split(b"\n")):
@@ -88,7 +88,7 @@ def dedup_lines(docs: DataFrame, min_chars: int = 40, min_docs: int = 5, id_col:
     joined = base.join(lost.hint("shuffle_hash"), F.col("doc").eqNullSafe(F.col("lost_doc")) & (F.col("own") == F.col("lost_own")), "left").select("doc", "text", "lost", "carried")
 
     def reassemble(batches):
-        for batch in batches:
+        for batch in sliced(batches):
             texts, counts, dropped = [], [], []
             for text, lost in zip(as_bytes(batch.column("text")), batch.column("lost").to_pylist(), strict=True):
                 parts = text.split(b"\n")

@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import as_bytes, components, durable, named, skew_join, spread
+from ._common import as_bytes, components, durable, named, skew_join, sliced, spread
 
 #: Fingerprints that the pivot tree's shape is fitted on, at most.
 SAMPLE = 20_000
@@ -55,7 +55,7 @@ def fingerprints(docs: DataFrame, shingle: int, seed: int) -> DataFrame:
     """(doc_id, fp): fp as a signed 64-bit integer."""
 
     def run(batches):
-        for batch in batches:
+        for batch in sliced(batches):
             found = np.array([fingerprint(t, shingle, seed) for t in as_bytes(batch.column(1))], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.int64())], names=["doc_id", "fp"])
 

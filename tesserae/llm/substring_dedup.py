@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ._common import as_bytes, named, text_hashes
+from ._common import as_bytes, named, sliced, text_hashes
 
 BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 SCHEMA = "h1 long, h2 long, c int, t1 long, t2 long, run long"
@@ -177,7 +177,7 @@ def dedup_substrings(docs: DataFrame, window: int = 35, start: int = 9, id_col:
     judged = texts.join(found.hint("shuffle_hash"), ["t1", "t2"], "left").select("doc_id", "text", "copies", "alive")
 
     def cut(batches):
-        for batch in batches:
+        for batch in sliced(batches):
             n_words, n_removed, kept = [], [], []
             for text, copies, alive in zip(as_bytes(batch.column("text")), batch.column("copies").to_pylist(), batch.column("alive").to_pylist(), strict=True):
                 words = text.split()
