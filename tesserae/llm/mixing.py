@@ -107,8 +107,18 @@ def mix_sources(docs: DataFrame, target_entropy: float | None = 0.95, max_repeti
     # The last, partial pass: which block does each source's budget end in, and how much is left there?
     partial = place(slim.join(plan, F.col("s").eqNullSafe(F.col("ps"))).filter("left > 0"), F.col("id"), F.col("own"), F.col("whole"))
     blocks = partial.groupBy("s", "mix_block").agg(F.sum("t").alias("bt"), F.first("left").alias("left"))
-    running = blocks.withColumn("before", F.sum("bt").over(W.partitionBy("s").orderBy("mix_block")) - F.col("bt"))
-    edge = durable(running.filter("before < left AND before + bt >= left").select("s", F.col("mix_block").alias("edge"), (F.col("left") - F.col("before")).alias("room")))  # one block a source
+    blocks = durable(blocks.withColumn("span", F.shiftright("mix_block", 48)))
+
+    def crossing(df, order):
+        """The row of each source in which its budget ends, with the budget left before it."""
+        running = df.withColumn("before", F.sum("bt").over(W.partitionBy("s").orderBy(order)) - F.col("bt"))
+        return running.filter("before < left AND before + bt >= left").withColumn("room", F.col("left") - F.col("before"))
+
+    # 65,536 spans of blocks a source at most, then the blocks of one span: no window holds all blocks of a source.
+    spans = crossing(blocks.groupBy("s", "span").agg(F.sum("bt").alias("bt"), F.first("left").alias("left")), "span")
+    spans = F.broadcast(spans.select(F.col("s").alias("es"), F.col("span").alias("at"), "room"))  # one span a source
+    inner = blocks.join(spans, F.col("s").eqNullSafe(F.col("es")) & (F.col("span") == F.col("at"))).withColumn("left", F.col("room"))
+    edge = durable(crossing(inner.select("s", "mix_block", "bt", "left"), "mix_block").select("s", F.col("mix_block").alias("edge"), "room"))  # one block a source
     at_edge = partial.join(F.broadcast(edge.withColumnRenamed("s", "es")), F.col("s").eqNullSafe(F.col("es")) & (F.col("mix_block") == F.col("edge")))
     inside = at_edge.withColumn("before", F.sum("t").over(W.partitionBy("s").orderBy("mix_order", "id")) - F.col("t"))
     last = inside.filter("before < room").groupBy(F.col("s").alias("ls")).agg(F.max("edge").alias("edge"), F.max(F.struct("mix_order", "id")).alias("last"))
