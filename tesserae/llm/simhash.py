@@ -254,7 +254,11 @@ def keep_representatives(docs: DataFrame, radius: int = 2, shingle: int = 3, see
     Rows that share an id are one document: they stay or go together, and go if any of their texts repeats that of a
     smaller id. Rows with a null id stay only where no id of their component is known. An empty table stays empty.
     """
-    found = near_duplicates(docs, radius, shingle, seed, id_col, text_col)
+    return keep_least(docs, near_duplicates(docs, radius, shingle, seed, id_col, text_col), id_col)
+
+
+def keep_least(docs: DataFrame, found: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """``docs`` without the documents that ``found`` (doc_id, component_id) gives another component's id."""
     gone = found.filter(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("gone id")).distinct()
     return docs.join(gone.hint("shuffle_hash"), named(id_col).cast("long").eqNullSafe(F.col("`gone id`")), "left_anti")
 
