@@ -187,14 +187,17 @@ def viterbi(scores: np.ndarray, penalty: float) -> np.ndarray:
     return labels
 
 
-def learn(labelled: DataFrame, per_language: int = 2000, max_languages: int = 50, max_grams: int = 20_000, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Model:
-    """Learn from a bounded sample: whole texts of at most ``per_language`` documents of each of the ``max_languages``
-    most frequent languages, chosen by a hash of the id; of each language its ``max_grams`` most frequent n-grams are kept.
+def learn(labelled: DataFrame, per_language: int = 2000, max_languages: int = 200, max_grams: int = 20_000, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Model:
+    """Learn every language from a bounded sample: whole texts of at most ``per_language`` documents of each, chosen by a hash
+    of the id; of each language its ``max_grams`` most frequent n-grams are kept. More than ``max_languages`` languages, which
+    the model is not made to hold, are an error: none is left out.
 
     Rows with a null text, language or id are not learned from. No usable rows: a model without languages.
     """
     usable = labelled.select(named(id_col).cast("long").alias("id"), named(text_col).alias("text"), named(lang_col).cast("string").alias("lang")).dropna()
-    counted = usable.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_languages).collect()
+    counted = usable.groupBy("lang").count().limit(max_languages + 1).collect()
+    if len(counted) > max_languages:
+        raise ValueError(f"more than {max_languages} languages to learn")
     documents = {r.lang: r["count"] for r in counted}
     if not documents:
         return Model({}, {}, {})

@@ -1,4 +1,7 @@
 import corpus_pipeline
+import pytest
+
+from tesserae.llm import language_id
 
 DOCS = "doc_id long, text string, lang string, n_chars long"
 
@@ -16,3 +19,13 @@ def test_texts_that_no_learned_language_fits_go(spark):
     rows = [(i, "some plain english words and more of them", "en", 41) for i in range(30)]
     rows += [(100, "漢字だけの文", None, 6), (101, "漢字 with english words", None, 21), (102, "12 34", None, 5)]
     assert stage(spark, rows) == [*range(30), 101]
+
+
+def test_every_language_is_learned(spark):
+    rows = [(100 * k + i, f"{chr(97 + k % 26)}{chr(97 + k // 26)}{'xyz'[k % 3]} " * 5, f"l{k:02d}") for k in range(60) for i in range(2)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language_id.learn(df)
+    assert model.languages == [f"l{k:02d}" for k in range(60)]
+    assert all(r.lang_pred == r.lang for r in language_id.identify(df, model).collect())
+    with pytest.raises(ValueError, match="more than 59 languages"):
+        language_id.learn(df, max_languages=59)
