@@ -110,7 +110,8 @@ def collisions(ids: DataFrame, id_col: str = "entity_id") -> DataFrame:
 def walk(roots: DataFrame, edges: DataFrame, rounds: int = 100) -> DataFrame:
     """(root, code, since, all_unique): where the walks from ``roots`` (``code``) over ``edges`` (old, new, date, is_unique) end.
 
-    A step must be later than the one before and change the code, so each walk ends. One join a round; the frontier alone travels.
+    A step must be later than the one before and change the code, so each walk ends; walks that have not after ``rounds`` steps are an error.
+    One join a round; the frontier alone travels.
     """
     step = roots.select(F.col("code").alias("root"), "code", F.lit("").alias("since"), F.lit(True).alias("all_unique"))
     reached = [step]
@@ -120,6 +121,8 @@ def walk(roots: DataFrame, edges: DataFrame, rounds: int = 100) -> DataFrame:
         if step.isEmpty():
             break
         reached.append(step)
+    else:
+        raise RuntimeError(f"walks have not ended in {rounds} rounds")
     all_ = reduce(DataFrame.unionByName, reached)
     on = all_.alias("w").join(edges.alias("e"), (F.col("w.code") == F.col("e.old")) & (F.col("e.date") > F.col("w.since")) & (F.col("e.old") != F.col("e.new")), "left_anti")
     return on.select("root", "code", "since", "all_unique")
