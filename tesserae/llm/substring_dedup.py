@@ -2,7 +2,8 @@
 
 A window of ``window`` words can repeat only if each part of it repeats. Starting from a short length, every level keeps
 the windows whose part of that length occurs again, and only these are extended to twice that length, up to
-the window itself, or until no candidates are left. The part that a window is judged by at a level is the one with the least hash
+the window itself, or until no candidates are left (all levels are one plan; where a level finds nothing, adaptive execution
+takes the levels after it out). The part that a window is judged by at a level is the one with the least hash
 among all its parts of that length (the leftmost, on ties): equal windows then pick equal parts, neighbours mostly share
 theirs, and a level shuffles about ``2 / (window - length + 2)`` rows a word instead of one.
 
@@ -23,11 +24,15 @@ from pyspark.sql import functions as F
 from ._common import as_bytes, named, sliced, text_hashes
 
 BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
+#: Hashes of earlier batches that a task keeps in mind, at most.
+REMEMBERED = 1 << 20
 SCHEMA = "h1 long, h2 long, c int, t1 long, t2 long, run long"
 
 
 def word_hashes(words: list[bytes]) -> np.ndarray:
-    return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
+    """Both halves of the 128-bit hash of each word: two rows."""
+    digests = np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, words)), np.uint64)
+    return np.ascontiguousarray(digests.reshape(-1, 2).T)
 
 
 def window_hashes(words: np.ndarray, length: int, base: int) -> np.ndarray:
@@ -71,8 +76,8 @@ def leftmost_least(values: np.ndarray, span: int) -> np.ndarray:
 
 def runs_at(words: np.ndarray, length: int, window: int, alive: np.ndarray | None):
     """(h1, h2, lo, hi, place): the part at ``place`` stands for the windows lo..hi, among those alive (None: all)."""
-    n = len(words) - window + 1
-    h1 = window_hashes(words, length, BASES[0])
+    n = words.shape[1] - window + 1
+    h1 = window_hashes(words[0], length, BASES[0])
     chosen = leftmost_least(h1, window - length + 1)[:n]
     starts = np.arange(n) if alive is None else alive
     chosen = chosen[starts]
@@ -80,7 +85,7 @@ def runs_at(words: np.ndarray, length: int, window: int, alive: np.ndarray | Non
     new[1:] = (chosen[1:] != chosen[:-1]) | (starts[1:] != starts[:-1] + 1)
     first = np.flatnonzero(new)
     last = np.append(first[1:], len(starts)) - 1
-    h2 = window_hashes(words, length, BASES[1])[chosen[first]] if length == window else np.zeros(len(first), np.uint64)
+    h2 = window_hashes(words[1], length, BASES[1])[chosen[first]] if length == window else np.zeros(len(first), np.uint64)
     return h1[chosen[first]], h2, starts[first], starts[last], chosen[first]
 
 
@@ -93,14 +98,54 @@ def spread(runs) -> np.ndarray:
     return np.unique(np.repeat(lo, sizes) + within)
 
 
-def level_rows(texts: DataFrame, length: int, window: int) -> DataFrame:
+class Told:
+    """Hashes of a task's earlier batches, within a bound: which are known, and which of them others have been told of."""
+
+    def __init__(self, most: int = REMEMBERED):
+        self.most, self.pending = most, None
+        self.h1 = self.h2 = np.zeros(0, np.uint64)
+        self.told = np.zeros(0, bool)
+
+    def find(self, h1: np.ndarray, h2: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(known, told, place) of hashes."""
+        if self.pending is not None:
+            pending, self.pending = self.pending, None
+            self._merge(*pending)
+        if not len(self.h1):
+            return np.zeros(len(h1), bool), np.zeros(len(h1), bool), np.zeros(len(h1), np.int64)
+        at = np.minimum(np.searchsorted(self.h1, h1), len(self.h1) - 1)
+        known = (self.h1[at] == h1) & (self.h2[at] == h2)
+        return known, known & self.told[at], at
+
+    def add(self, h1: np.ndarray, h2: np.ndarray, told: np.ndarray) -> None:
+        """Each hash once; kept in mind when the next batch comes."""
+        self.pending = h1, h2, told
+
+    def _merge(self, h1, h2, told):
+        known, _, at = self.find(h1, h2)
+        self.told[at[known]] |= told[known]
+        new = ~known
+        if len(self.h1) + new.sum() > self.most:  # those that repeat stay, then those of this batch
+            keep = self.told if self.told.sum() <= self.most // 2 else np.zeros(len(self.h1), bool)
+            self.h1, self.h2, self.told = self.h1[keep], self.h2[keep], self.told[keep]
+            if new.sum() > self.most // 2:
+                new &= told
+                new &= np.cumsum(new) <= self.most // 2
+        both = np.concatenate([self.h1, h1[new]])
+        order = np.argsort(both, kind="stable")
+        self.h1, self.h2, self.told = both[order], np.concatenate([self.h2, h2[new]])[order], np.concatenate([self.told, told[new]])[order]
+
+
+def level_rows(texts: DataFrame, length: int, window: int, remembered: int = REMEMBERED) -> DataFrame:
     """A row for each part to be counted at this level.
 
-    What occurs twice within a batch is known to repeat: its places go on under a hash of their own, with
-    count 2, and one row without a place tells other batches. So a hash has one row a batch at most, however hot it is.
+    What occurs twice within a batch, or again in a later batch of the task, is known to repeat: its places go on under a hash of
+    their own, with count 2, and one row without a place tells other tasks. So a hot hash has about as many rows as
+    there are tasks, as in any aggregation on the map side.
     """
 
     def run(batches):
+        memory = Told(remembered)
         for batch in batches:
             alive = batch.column("alive").to_pylist() if "alive" in batch.schema.names else None
             parts = []
@@ -123,9 +168,12 @@ def level_rows(texts: DataFrame, length: int, window: int) -> DataFrame:
             new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
             moved[1:] = new[1:] | (r[1:] != r[:-1]) | (p[1:] != p[:-1])
             group = np.cumsum(new) - 1
-            twice = np.bincount(group, weights=moved)[group] > 1
+            known, told, _ = memory.find(a[new], b[new])
+            repeats = (np.bincount(group, weights=moved) > 1) | known
+            memory.add(a[new], b[new], repeats)
+            twice = repeats[group]
             count = np.where(twice, 2, moved).astype(np.int32)  # several runs of windows at one place count once
-            tell = order[new & twice]
+            tell = order[new][repeats & ~told]
             # back to the order of the texts: rows of one text lie together and compress
             twice, count = (x[np.argsort(order)] for x in (twice, count))
             own = window_hashes(np.stack([t1.view(np.uint64), lo.astype(np.uint64)], 1).reshape(-1), 2, BASES[1])[::2]
@@ -140,7 +188,7 @@ def level_rows(texts: DataFrame, length: int, window: int) -> DataFrame:
     return texts.mapInArrow(run, SCHEMA)
 
 
-def dedup_substrings(docs: DataFrame, window: int = 35, start: int = 9, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def dedup_substrings(docs: DataFrame, window: int = 35, start: int = 9, id_col: str = "doc_id", text_col: str = "text", remembered: int = REMEMBERED) -> DataFrame:
     """(doc_id, n_words, n_removed, kept_text): each word covered by a window whose words also start anywhere else is removed.
 
     Words are ``[^\\x20\\x09-\\x0D]+``, unchanged; kept words are joined by one space. All windows are judged on the input,
@@ -165,9 +213,9 @@ def dedup_substrings(docs: DataFrame, window: int = 35, start: int = 9, id_col:
     found, length = None, start
     while True:
         if found is None:
-            level = level_rows(standing.select("t1", "t2", "text"), length, window)
+            level = level_rows(standing.select("t1", "t2", "text"), length, window, remembered)
         else:
-            level = level_rows(standing.join(found.hint("shuffle_hash"), ["t1", "t2"]).select("t1", "t2", "text", "alive"), length, window)
+            level = level_rows(standing.join(found.hint("shuffle_hash"), ["t1", "t2"]).select("t1", "t2", "text", "alive"), length, window, remembered)
         again = level.withColumn("n", F.sum("c").over(W.partitionBy("h1", "h2"))).filter("n > 1 AND run IS NOT NULL")
         found = again.groupBy("t1", "t2").agg(F.collect_list("run").alias("alive"))
         if length == window:
@@ -208,3 +256,19 @@ def op8_substring_dedup(spark, sf_dir):
 
     out = dedup_substrings(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+SQL = {
+    "op8_substring_dedup": r"""
+        WITH w AS (SELECT row_number() OVER () AS n, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+        starts AS (SELECT n, unnest(range(1, len(ws) - 33)) AS i FROM w WHERE len(ws) >= 35),
+        windows AS (SELECT n, i, array_to_string(ws[i:i + 34], ' ') AS k FROM starts JOIN w USING (n)),
+        twice AS (SELECT k FROM windows GROUP BY k HAVING count(*) > 1),
+        gone AS (SELECT DISTINCT n, unnest(range(i, i + 35)) AS p FROM windows WHERE k IN (SELECT k FROM twice)),
+        words AS (SELECT n, unnest(ws) AS word, unnest(range(1, len(ws) + 1)) AS p FROM w),
+        kept AS (SELECT n, string_agg(word, ' ' ORDER BY p) AS kept FROM words ANTI JOIN gone USING (n, p) GROUP BY n),
+        lost AS (SELECT n, count(*) AS n_removed FROM gone GROUP BY n)
+        SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+        FROM w LEFT JOIN kept USING (n) LEFT JOIN lost USING (n)
+    """,
+}
