@@ -137,12 +137,27 @@ def payload_of(headers: dict[str, str], block: bytes) -> tuple[bytes | None, int
     return body, len(body)
 
 
+# Schemes under which Spark knows a store, and those under which Arrow does.
+SCHEMES = {"s3a": "s3", "s3n": "s3", "wasb": "abfs", "wasbs": "abfss"}
+
+
+def arrow_uri(uri: str) -> str:
+    """A place as Spark names it, as Arrow's file systems name it: plain paths for local and mounted stores."""
+    scheme, colon, rest = uri.partition(":")
+    if not colon or uri.startswith("/"):
+        return uri
+    if scheme == "file":
+        return "/" + rest.lstrip("/")
+    if scheme == "dbfs":
+        return "/dbfs/" + rest.lstrip("/")
+    return f"{SCHEMES.get(scheme, scheme)}:{rest}"
+
+
 def _store(uri: str):
     """(file system, path) of a shared place, on any executor."""
     from pyarrow import fs
 
-    if uri.startswith("file:/"):
-        uri = "/" + uri[5:].lstrip("/")
+    uri = arrow_uri(uri)
     return (fs.LocalFileSystem(), uri) if uri.startswith("/") else fs.FileSystem.from_uri(uri)
 
 
@@ -169,14 +184,16 @@ def write_warc(pages: DataFrame, folder: str, min_bytes: int = 0, date: str = "2
         task = TaskContext.get()
         store, top = _store(folder)
         store.create_dir(top, recursive=True)
+        place = folder.rstrip("/")
         files, out = [], None
         for batch in batches:
             for page, url, text, refers in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if out is None or files[-1][2] >= roll:
                     if out is not None:
                         out.close()
-                    files.append([f"{top}/pages-{task.partitionId():05d}-{task.taskAttemptId()}-{len(files):04d}.warc.gz", 0, 0])
-                    out = store.open_output_stream(files[-1][0], compression=None)
+                    name = f"pages-{task.partitionId():05d}-{task.taskAttemptId()}-{len(files):04d}.warc.gz"
+                    files.append([f"{place}/{name}", 0, 0])
+                    out = store.open_output_stream(f"{top.rstrip('/')}/{name}", compression=None)
                 data = record_bytes(f"urn:page:{'' if page is None else page}", url or "about:blank", text.encode(), None if refers is None else f"urn:page:{refers}", date, level)
                 out.write(data)
                 files[-1][1] += 1
@@ -184,8 +201,7 @@ def write_warc(pages: DataFrame, folder: str, min_bytes: int = 0, date: str = "2
         if out is not None:
             out.close()
         names, counts, sizes = zip(*files, strict=True) if files else ((), (), ())
-        prefix = "" if folder.startswith("/") or folder.startswith("file:/") else re.match(r"\w+://[^/]*", folder)[0]
-        yield pa.RecordBatch.from_arrays([pa.array([prefix + n for n in names], pa.string()), pa.array(counts, pa.int64()), pa.array(sizes, pa.int64())], names=["path", "records", "bytes"])
+        yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(counts, pa.int64()), pa.array(sizes, pa.int64())], names=["path", "records", "bytes"])
 
     return durable(rows.mapInArrow(write, "path string, records long, bytes long"))
 
@@ -223,11 +239,28 @@ def read_warc(files: DataFrame, payloads: bool = True) -> DataFrame:
 
 
 def op7_warc(spark, sf_dir):
+    """Writes the archives to the shared folder, reads them back, keeps what was read and removes the archives."""
     import uuid
 
-    from ._common import shared_folder, table
+    from ._common import remove_folder, shared_folder, table
 
-    manifest = write_warc(table(spark, sf_dir, "pages"), f"{shared_folder(spark)}/warc-{uuid.uuid4().hex}")
-    records = read_warc(manifest, payloads=False)
+    folder = f"{shared_folder(spark)}/warc-{uuid.uuid4().hex}"
+    try:
+        records = durable(read_warc(write_warc(table(spark, sf_dir, "pages"), folder), payloads=False))
+    finally:
+        remove_folder(spark, folder)
     number = lambda c: F.nullif(F.substring_index(c, ":", -1), F.lit("")).cast("long")
     return records.select(number("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", number("refers_to").alias("refers_to"))
+
+
+SQL = {
+    "op7_warc": """
+        WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+        d AS (SELECT *, sha1(html) AS hex, min(page_id) OVER (PARTITION BY html) AS least FROM p),
+        -- character i of the base-32 form is made of the bits from 5 * i on
+        b AS (SELECT *, [substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', (CAST('0x' || substr(hex, 5 * i // 4 + 1, 2) AS INTEGER) >> (3 - 5 * i % 4)) % 32 + 1, 1) FOR i IN range(32)] AS digits FROM d)
+        SELECT page_id, CAST(strlen(html) AS BIGINT) AS payload_bytes, array_to_string(digits, '') AS payload_digest,
+               CASE WHEN page_id = least THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> least THEN least END AS refers_to
+        FROM b
+    """,
+}
