@@ -7,6 +7,7 @@ most of its letters.
 
 from __future__ import annotations
 
+import re
 from bisect import bisect_right
 from collections import Counter
 
@@ -16,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ._common import named, sliced, spread
+from ._common import named, rest, sliced, spread
 
 #: First code point of each script range (fixed values; letters outside belong to the range below).
 SCRIPTS = [
@@ -34,6 +35,7 @@ _STARTS = [x for x, _ in SCRIPTS]
 #: A word's score for a language lies from -CAP to 0 (its best language).
 CAP = 8.0
 UNKNOWN = "und"
+_BLANK = re.compile(r"\s")
 
 
 def script_of(letter: str) -> str:
@@ -58,25 +60,67 @@ def grams_of(word: str) -> list[str]:
     return [w[i : i + 3] for i in range(len(w) - 2)]
 
 
+def words_in_parts(text: str, size: int = 1 << 20):
+    """The words of a text, as lists of those of about ``size`` characters: a very long text is never one list of words."""
+    begin = 0
+    while begin < len(text):
+        blank = _BLANK.search(text, begin + size) if begin + size < len(text) else None
+        end = blank.start() if blank else len(text)
+        yield text[begin:end].split()
+        begin = end
+
+
 class Model:
-    """Log-probabilities of n-grams by language, and the scripts of each language."""
-
-    def __init__(self, grams: dict[str, dict[str, int]], scripts: dict[str, dict[str, int]], documents: dict[str, int]):
-        self.languages = sorted(documents)
-        self.common = max(self.languages, key=lambda x: (documents[x], x), default=UNKNOWN)
-        known = sorted({g for x in grams.values() for g in x})
-        self.gram_id = {g: i + 1 for i, g in enumerate(known)}
-        counts = np.zeros((len(known) + 1, len(self.languages)))  # row 0: grams of no language
-        for j, language in enumerate(self.languages):
-            for g, n in grams.get(language, {}).items():
-                counts[self.gram_id[g], j] = n
-        totals = counts.sum(axis=0)
-        self.log = np.log((counts + 0.5) / (totals + 0.5 * (len(known) + 1)))
-        self.log[0] = self.log.min(axis=0, initial=0.0).mean() if len(self.languages) else 0.0
-        self.candidates: dict[str, np.ndarray] = {}
-        for name in {s for x in scripts.values() for s in x}:
-            share = [scripts.get(x, {}).get(name, 0) / max(1, sum(scripts.get(x, {}).values())) for x in self.languages]
-            self.candidates[name] = np.array(share) >= 0.01
+    """Log-probabilities of n-grams by language, and the scripts of each language.
+
+    A gram is held with the languages that have it only; its weight there is over that of a gram which the language lacks.
+    """
+
+    def __init__(self, grams: list[tuple[str, str, int]], scripts: list[tuple[str, str, int]], documents: dict[str, int]):
+        """``grams`` and ``scripts``: (language, what, times)."""
+        languages = sorted(documents)
+        number = {x: j for j, x in enumerate(languages)}
+        known = sorted({g for _, g, _ in grams})
+        place = {g: i for i, g in enumerate(known)}
+        at = np.array([place[g] for _, g, _ in grams], np.int64)
+        of = np.array([number[x] for x, _, _ in grams], np.int32)
+        times = np.array([n for _, _, n in grams], np.float64)
+        order = np.lexsort((of, at))
+        totals = np.bincount(of, weights=times, minlength=len(languages)) if len(of) else np.zeros(len(languages))
+        missing = np.log(0.5) - np.log(totals + 0.5 * (len(known) + 1))
+        begins = np.searchsorted(at[order], np.arange(len(known) + 1))
+        letters = Counter()
+        for x, _, n in scripts:
+            letters[x] += n
+        candidates = {name: np.zeros(len(languages), bool) for name in {s for _, s, _ in scripts}}
+        for x, name, n in scripts:
+            candidates[name][number[x]] = n >= 0.01 * letters[x]
+        common = max(languages, key=lambda x: (documents[x], x), default=UNKNOWN)
+        self._set(languages, common, known, begins, of[order], np.log(2 * times[order] + 1), missing, candidates)
+
+    def _set(self, *state):
+        self.state = state
+        self.languages, self.common, known, self.begins, self.of, self.over, self.missing, self.candidates = state
+        self.gram_id = {g: i for i, g in enumerate(known)}
+
+    @classmethod
+    def restored(cls, state: tuple) -> Model:
+        """The model whose ``state`` (plain values only) was sent."""
+        own = cls.__new__(cls)
+        own._set(*state)
+        return own
+
+    def gram_scores(self, words: list[str]) -> np.ndarray:
+        """For each word and language the sum over its n-grams, but for a number that is equal for all languages (n-grams that none has)."""
+        get, k = self.gram_id.get, len(self.languages)
+        ids = np.array([get(g, -1) for w in words for g in grams_of(w)], np.int64)
+        word = np.repeat(np.arange(len(words)), [len(w) for w in words])  # a word has a triple for each letter
+        word, ids = word[ids >= 0], ids[ids >= 0]
+        total = np.bincount(word, minlength=len(words))[:, None] * self.missing[None, :]
+        begins = self.begins[ids]
+        n = self.begins[ids + 1] - begins
+        flat = np.repeat(begins - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        return total + np.bincount(np.repeat(word, n) * k + self.of[flat], weights=self.over[flat], minlength=len(words) * k).reshape(-1, k)
 
     def score(self, tokens: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """For each token its letters, whether it is scored, and its score for each language. Tokens without letters, or in
@@ -88,7 +132,7 @@ class Model:
         for i, w in enumerate(words):
             if w:
                 by_script.setdefault(main_script(w), []).append(i)
-        get, scored = self.gram_id.get, np.zeros(len(words), bool)
+        scored = np.zeros(len(words), bool)
         for script, at in by_script.items():
             fit = self.candidates.get(script)
             if fit is None or not fit.any():
@@ -98,9 +142,7 @@ class Model:
             if fit.sum() == 1:
                 found[:, fit] = 0.0
             else:
-                grams = [get(g, 0) for i in at for g in grams_of(words[i])]
-                starts = np.cumsum(letters[at]) - letters[at]  # a word has a triple for each letter
-                total = np.add.reduceat(self.log[grams][:, fit], starts, axis=0)
+                total = self.gram_scores([words[i] for i in at])[:, fit]
                 found[:, fit] = np.maximum(total - total.max(axis=1, keepdims=True), -CAP)
             scores[at] = found
         return letters, scored, scores
@@ -135,104 +177,121 @@ class Labeller:
             return UNKNOWN, 0.0, labels
         if len(self.row) > self.entries:
             self._reset()
-        tokens = text.split()
-        if missing := list({t: None for t in tokens if t not in self.row}):
-            self._learn(missing)
-        at = np.fromiter(map(self.row.__getitem__, tokens), np.int64, len(tokens))
+        parts = []
+        for tokens in words_in_parts(text):
+            if missing := list({t: None for t in tokens if t not in self.row}):
+                self._learn(missing)
+            parts.append(np.fromiter(map(self.row.__getitem__, tokens), np.int32, len(tokens)))
+        at = np.concatenate(parts) if parts else np.zeros(0, np.int32)
         letters = self.letters[at]
         all_letters = int(letters.sum())
-        labels = np.full(len(tokens), -1)
+        labels = np.full(len(at), -1, np.int32)
         if not all_letters:
             return UNKNOWN, 0.0, labels
         told = np.flatnonzero(self.scored[at])
         if not len(told):
             return self.model.common, 0.0, labels
-        labels[told] = viterbi(self.scores[at[told]].astype(np.float64), self.penalty)
+        labels[told] = viterbi(self.scores, self.penalty, at[told])
         weight = np.bincount(labels[told], weights=letters[told], minlength=len(self.model.languages))
         best = int(weight.argmax())
         return self.model.languages[best], float(weight[best] / all_letters), labels
 
 
-def viterbi(scores: np.ndarray, penalty: float) -> np.ndarray:
-    """The best labels of a sequence: sum of scores less ``penalty`` for each switch.
+def viterbi(scores: np.ndarray, penalty: float, at: np.ndarray | None = None, step: int = 1 << 16) -> np.ndarray:
+    """The best labels of a sequence: sum of scores less ``penalty`` for each switch. ``at`` names the sequence's rows of ``scores``.
 
     If no stretch gains more than the penalty by leaving the label with the best sum, then that label throughout is best, and the
-    recursion is not run: a path with ``m`` switches gains less than ``m`` penalties over it.
+    recursion is not run: a path with ``m`` switches gains less than ``m`` penalties over it. Rows are taken ``step`` at a time; of
+    the recursion, a bit for each row and label is kept (whether the best path stays), and each row's best label.
     """
-    n, k = scores.shape
+    at = np.arange(len(scores)) if at is None else at
+    n, k = len(at), scores.shape[1]
     if k == 1:
-        return np.zeros(n, np.int64)
-    one = int(scores.sum(axis=0).argmax())
-    gain = np.cumsum((np.delete(scores, one, axis=1) - scores[:, one : one + 1]).max(axis=1))
-    if (gain - np.minimum.accumulate(np.concatenate([[0.0], gain[:-1]]))).max() <= penalty:
-        return np.full(n, one)
-    value = scores[0].tolist()
-    back = np.empty((n, k), np.int32)
-    for t, row in enumerate(scores[1:].tolist(), 1):
-        top = max(value)
-        best = value.index(top)
-        switch = top - penalty
-        for j in range(k):
-            if value[j] >= switch:
-                back[t, j] = j
-                row[j] += value[j]
-            else:
-                back[t, j] = best
-                row[j] += switch
-        value = row
-    labels = np.empty(n, np.int64)
-    labels[-1] = value.index(max(value))
+        return np.zeros(n, np.int32)
+
+    def taken():
+        for i in range(0, n, step):
+            yield i, scores[at[i : i + step]].astype(np.float64)
+
+    one = int(sum(x.sum(axis=0) for _, x in taken()).argmax())
+    gained, low, most = 0.0, 0.0, -np.inf
+    for _, x in taken():
+        gain = gained + np.cumsum((np.delete(x, one, axis=1) - x[:, one : one + 1]).max(axis=1))
+        lows = np.minimum(low, np.minimum.accumulate(np.concatenate([[gained], gain[:-1]])))
+        most = max(most, float((gain - lows).max()))
+        gained, low = float(gain[-1]), min(float(lows[-1]), float(gain[-1]))
+    if most <= penalty:
+        return np.full(n, one, np.int32)
+    stays, best_of, value = np.empty((n, -(-k // 8)), np.uint8), np.empty(n, np.int32), None
+    for i, x in taken():
+        stay, bests = np.ones((len(x), k), bool), np.zeros(len(x), np.int32)
+        for t, row in enumerate(x.tolist()):
+            if value is not None:
+                top = max(value)
+                best = value.index(top)
+                switch, kept = top - penalty, stay[t]
+                bests[t] = best
+                for j in range(k):
+                    if value[j] >= switch:
+                        row[j] += value[j]
+                    else:
+                        kept[j] = False
+                        row[j] += switch
+            value = row
+        stays[i : i + len(x)], best_of[i : i + len(x)] = np.packbits(stay, axis=1), bests
+    labels = np.empty(n, np.int32)
+    now = labels[-1] = value.index(max(value))
     for t in range(n - 1, 0, -1):
-        labels[t - 1] = back[t, labels[t]]
+        if not stays[t, now >> 3] >> (7 - (now & 7)) & 1:
+            now = best_of[t]
+        labels[t - 1] = now
     return labels
 
 
-def learn(labelled: DataFrame, per_language: int = 2000, max_languages: int = 200, max_grams: int = 20_000, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Model:
-    """Learn every language from a bounded sample: whole texts of at most ``per_language`` documents of each, chosen by a hash
-    of the id; of each language its ``max_grams`` most frequent n-grams are kept. More than ``max_languages`` languages, which
-    the model is not made to hold, are an error: none is left out.
+def learn(labelled: DataFrame, per_language: int = 2000, sample: int = 200_000, max_languages: int | None = None, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Model:
+    """Learn every language from a bounded sample: whole texts of at most ``per_language`` documents of each, and of
+    ``sample`` documents in all if there are so many languages (one of each at least), chosen by a hash of the id. All n-grams of
+    the sample are kept. The model holds every language; a caller who cannot have more than ``max_languages`` gets an error beyond that.
 
     Rows with a null text, language or id are not learned from. No usable rows: a model without languages.
     """
     usable = labelled.select(named(id_col).cast("long").alias("id"), named(text_col).alias("text"), named(lang_col).cast("string").alias("lang")).dropna()
-    counted = usable.groupBy("lang").count().limit(max_languages + 1).collect()
-    if len(counted) > max_languages:
+    counted = usable.groupBy("lang").count()
+    documents = dict(map(tuple, (counted.limit(max_languages + 1) if max_languages else counted).collect()))
+    if max_languages and len(documents) > max_languages:
         raise ValueError(f"more than {max_languages} languages to learn")
-    documents = {r.lang: r["count"] for r in counted}
     if not documents:
-        return Model({}, {}, {})
+        return Model([], [], {})
+    wanted = max(1, min(per_language, sample // len(documents)))
     # Rows with the least hashes are chosen: of a frequent language only hashes under a bound that about twice the rows wanted pass are ranked.
-    bounds = {x: -(2**63) + min(2**64 - 1, 2**64 * 2 * per_language // n) for x, n in documents.items()}
-    bound = F.element_at(F.create_map(*[F.lit(v) for x in bounds.items() for v in x]), F.col("lang"))
+    bounds = [(x, -(2**63) + min(2**64 - 1, 2**64 * 2 * wanted // n)) for x, n in documents.items()]
+    bounds = F.broadcast(labelled.sparkSession.createDataFrame(bounds, "lang string, bound long"))  # a row for each language
     by_hash = W.partitionBy("lang").orderBy(F.xxhash64("id"), "id")
-    ranked = usable.filter(F.col("lang").isin(*documents)).select("id", "lang").filter(F.xxhash64("id") <= bound).withColumn("n", F.row_number().over(by_hash))
-    chosen = ranked.filter(F.col("n") <= per_language).select("id", "lang").distinct()
-    sample = spread(usable).join(F.broadcast(chosen), ["id", "lang"])  # per_language x max_languages ids at most
+    ranked = usable.select("id", "lang").join(bounds, "lang").filter(F.xxhash64("id") <= F.col("bound")).withColumn("n", F.row_number().over(by_hash))
+    chosen = ranked.filter(F.col("n") <= wanted).select("id", "lang").distinct()
+    texts = spread(usable).join(F.broadcast(chosen), ["id", "lang"])  # ``sample`` ids at most, or one of each language
 
     def count(batches):
         for batch in batches:
             found: dict[tuple[str, str, str], int] = Counter()
             for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist(), strict=True):
-                for token, n in Counter(text.split()).items():
-                    if word := letters_of(token):
-                        for g in grams_of(word):
-                            found[lang, "gram", g] += n
-                        for c in word:
-                            found[lang, "script", script_of(c)] += n
+                for tokens in words_in_parts(text):
+                    for token, n in Counter(tokens).items():
+                        if word := letters_of(token):
+                            for g in grams_of(word):
+                                found[lang, "gram", g] += n
+                            for c in word:
+                                found[lang, "script", script_of(c)] += n
             keys = list(zip(*found, strict=True)) or [(), (), ()]
             yield pa.RecordBatch.from_arrays([*[pa.array(x, pa.string()) for x in keys], pa.array(list(found.values()), pa.int64())], names=["lang", "kind", "what", "n"])
 
-    sums = sample.select("lang", "text").mapInArrow(count, "lang string, kind string, what string, n long").groupBy("lang", "kind", "what").agg(F.sum("n").alias("n"))
-    kept = sums.withColumn("rank", F.row_number().over(W.partitionBy("lang", "kind").orderBy(F.desc("n"), "what"))).filter(F.col("rank") <= max_grams).collect()
-    grams: dict[str, dict[str, int]] = {}
-    scripts: dict[str, dict[str, int]] = {}
-    for r in kept:
-        (grams if r.kind == "gram" else scripts).setdefault(r.lang, {})[r.what] = r.n
-    return Model(grams, scripts, documents)
+    sums = texts.select("lang", "text").mapInArrow(count, "lang string, kind string, what string, n long").groupBy("lang", "kind", "what").agg(F.sum("n").alias("n")).toArrow()
+    rows = list(zip(*(sums.column(c).to_pylist() for c in ("kind", "lang", "what", "n")), strict=True))
+    return Model([r[1:] for r in rows if r[0] == "gram"], [r[1:] for r in rows if r[0] == "script"], documents)
 
 
 def identify(docs: DataFrame, model: Model, penalty: float = 12.0, text_col: str = "text", spans: bool = False) -> DataFrame:
-    """All columns of ``docs`` plus ``lang_pred`` and ``score`` (replacing columns of those names), and with ``spans`` the
+    """All columns of ``docs`` plus ``lang_pred`` and ``score`` (replacing columns of those names, in any case), and with ``spans`` the
     labelled spans: ``lang_spans array<struct<lang, first, words>>``, in words separated by blanks.
 
     ``score`` is the share of the text's letters in words labelled with ``lang_pred``. A text that is null or has no
@@ -240,9 +299,11 @@ def identify(docs: DataFrame, model: Model, penalty: float = 12.0, text_col: str
     commonest language with score 0. Nothing is shuffled; rows stay rows, repeated or with null ids; an empty table stays empty.
     """
     added = ["lang_pred", "score", *["lang_spans"] * spans]
-    kept = [c for c in docs.columns if c not in added]
+    kept = rest(docs, *added)
+    shared = docs.sparkSession.sparkContext.broadcast(model.state)
+
     def run(batches):
-        labeller = Labeller(model, penalty)
+        labeller = Labeller(Model.restored(shared.value), penalty)
         names = labeller.model.languages
         for batch in sliced(batches):
             found = [labeller.label(t or "") for t in batch.column("0").to_pylist()]
