@@ -65,6 +65,13 @@ class PerfectHash:
         x = (x ^ (x >> 32)) * 0xD6E8FEB86659FD93 & 0xFFFFFFFFFFFFFFFF
         return (x ^ (x >> 32)) % self.n
 
+    @classmethod
+    def restored(cls, shift: list[int], key: list[bytes]) -> PerfectHash:
+        """The hash whose parts were found elsewhere."""
+        own = cls.__new__(cls)
+        own.n, own.buckets, own.shift, own.key = len(key), len(shift), shift, key
+        return own
+
     def find(self, key: bytes) -> int:
         """The slot of a key, or -1 where it is none of the keys."""
         if not self.n:
@@ -78,17 +85,22 @@ class PerfectHash:
 class Codec:
     """Encoder and decoder of a rank vocabulary, without special tokens."""
 
-    def __init__(self, content: bytes, pattern: str):
+    def __init__(self, content: bytes, pattern: str, placed: tuple[list[int], list[int]] | None = None):
+        """``placed``: the parts of the perfect hash (``parts``), if it was built before."""
         import regex
 
         self.ranks = read_ranks(content)
-        self.whole = PerfectHash(list(self.ranks))
-        self.id_at = [self.ranks[k] for k in self.whole.key]
         self.piece_of = {i: p for p, i in self.ranks.items()}
+        self.whole = PerfectHash.restored(placed[0], [self.piece_of[i] for i in placed[1]]) if placed else PerfectHash(list(self.ranks))
+        self.id_at = placed[1] if placed else [self.ranks[k] for k in self.whole.key]
         self.pair_rank = [self.ranks.get(bytes((a, b)), -1) for a in range(256) for b in range(256)]
         self.pattern = regex.compile(pattern)
         self.memo = Memo(self._packed)
 
+    def parts(self) -> tuple[list[int], list[int]]:
+        """What the perfect hash is made of: displacements, and the identifier in each slot."""
+        return self.whole.shift, self.id_at
+
     def _packed(self, piece: str) -> bytes:
         raw = piece.encode()
         slot = self.whole.find(raw)
@@ -139,26 +151,27 @@ class Codec:
 def encode_documents(docs: DataFrame, ranks: bytes, pattern: str, id_col: str = "doc_id", text_col: str = "text", keep_ids: bool = False) -> DataFrame:
     """Encode every whole text and decode the ids again; one output row per input row, no shuffle.
 
-    ``ranks`` is the content of the rank file (fixed size). ``keep_ids`` adds ``ids array<int>``. A null text is empty:
-    no tokens, digests of no bytes. A null id stays null, repeated rows repeat, an empty table gives no rows, other columns
-    are ignored.
+    ``ranks`` is the content of the rank file (fixed size); the perfect hash over it is built once, on the driver. ``keep_ids`` adds
+    ``ids array<int>``. A null text is empty: no tokens, digests of no bytes. A null id stays null, repeated rows repeat (a text that
+    follows itself is encoded once), an empty table gives no rows, other columns are ignored.
     """
-    shared = docs.sparkSession.sparkContext.broadcast((ranks, pattern))
+    shared = docs.sparkSession.sparkContext.broadcast((ranks, pattern, Codec(ranks, pattern).parts()))
 
     def run(batches):
         codec = Codec(*shared.value)
+        before, result = None, None
         for batch in sliced(batches):
-            packed = [codec.encode(text or "") for text in batch.column(1).to_pylist()]
-            columns = [
-                batch.column(0),
-                pa.array([len(x) // 4 for x in packed], pa.int64()),
-                pa.array([hashlib.sha256(x).hexdigest() for x in packed], pa.string()),
-                pa.array([hashlib.sha256(codec.decode(x)).hexdigest() for x in packed], pa.string()),
-            ]
+            found = []
+            for text in batch.column(1).to_pylist():
+                if result is None or text != before:
+                    packed = codec.encode(text or "")
+                    before, result = text, (packed, hashlib.sha256(packed).hexdigest(), hashlib.sha256(codec.decode(packed)).hexdigest())
+                found.append(result)
+            columns = [batch.column(0), pa.array([len(x[0]) // 4 for x in found], pa.int64()), pa.array([x[1] for x in found], pa.string()), pa.array([x[2] for x in found], pa.string())]
             names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
             if keep_ids:
-                ends = np.cumsum([0, *(len(x) // 4 for x in packed)]).astype(np.int32)
-                columns.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(packed), np.int32))))
+                ends = np.cumsum([0, *(len(x[0]) // 4 for x in found)]).astype(np.int32)
+                columns.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(x[0] for x in found), np.int32))))
                 names.append("ids")
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
