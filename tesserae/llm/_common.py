@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 from collections.abc import Iterable
 
@@ -15,13 +16,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share: the session's ``spark.checkpoint.dir``; one is made only where none is set."""
+    """The folder that driver and executors share: the session's ``spark.checkpoint.dir``. Where none is set, one is made for a
+    local master; on a cluster that is an error, as no folder of one machine would do."""
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoint-"))
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if folder is None and not context.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
+        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="checkpoint-"))
     return context.getCheckpointDir()
 
 
+def remove_folder(spark: SparkSession, folder: str) -> None:
+    """Delete a folder through the file system that Spark itself uses for it."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def durable(df: DataFrame) -> DataFrame:
     """Cut lineage with a checkpoint in the shared folder."""
     shared_folder(df.sparkSession)
@@ -33,8 +44,8 @@ def partitions(spark: SparkSession) -> int:
 
 
 def rest(df: DataFrame, *used: str) -> list[str]:
-    """Columns that an operator only carries along."""
-    return [c for c in df.columns if c not in used]
+    """Columns that an operator only carries along: those whose names differ from ``used`` by more than case, as Spark sees names."""
+    return [c for c in df.columns if c.lower() not in {u.lower() for u in used}]
 
 
 def named(column: str) -> Column:
@@ -97,7 +108,7 @@ def skew_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "in
     )
 
 
-def components(links: DataFrame, rounds: int = 50) -> DataFrame:
+def components(links: DataFrame) -> DataFrame:
     """Connected components of the links ``(a long, b long)``: ``(node, root)``, root the least node reachable.
 
     Alternates the large-star and the small-star step (Kiveris and others, 2014) until the links stand still. The least
@@ -112,7 +123,7 @@ def components(links: DataFrame, rounds: int = 50) -> DataFrame:
     before = state(pairs)
     if not before[0]:
         return pairs.select(F.col("a").alias("node"), F.col("b").alias("root"))
-    for _ in range(rounds):
+    while True:  # the steps are known to settle, in about the square of the logarithm of the links
         both = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
         large = skew_join(both, least, ["a"]).filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b").distinct()
@@ -124,8 +135,6 @@ def components(links: DataFrame, rounds: int = 50) -> DataFrame:
         if now == before:
             break
         before = now
-    else:
-        raise RuntimeError(f"components have not settled in {rounds} rounds")
     return pairs.select(F.col("a").alias("node"), F.col("b").alias("root"))
 
 
@@ -139,7 +148,7 @@ def sliced(batches, rows: int = 500):
 def spread(df: DataFrame) -> DataFrame:
     """For costly row-wise work: deal rows out evenly where the input has fewer splits than the cluster has cores. Large inputs,
     and inputs that have been shuffled already, stay as they are."""
-    if "Exchange" in df._jdf.queryExecution().executedPlan().toString():
+    if re.search(r"(?m)^[ :+*()\d-]*Exchange\b", df._jdf.queryExecution().executedPlan().toString()):  # a node's name begins its line
         return df
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(2 * cores) if df.rdd.getNumPartitions() < cores else df

@@ -59,12 +59,12 @@ def dedup_lines(docs: DataFrame, min_chars: int = 40, min_docs: int = 5, id_col:
     A key of at least ``min_chars`` code points found in at least ``min_docs`` different documents keeps its lines in the
     document with the largest id only. A null or empty text is one empty line, never dropped, and comes back as an empty text. Documents are
     told apart by id: rows that repeat an id count once and are treated alike; rows with a null id count as one document
-    that sorts below all others. ``n_lines`` and ``n_dropped`` replace columns of those names. An empty table gives an empty result.
+    that sorts below all others. ``n_lines`` and ``n_dropped`` replace columns of those names, in any case. An empty table gives an empty result.
 
     The counting shuffles on (hash, document) and then on partial counts, so no line is hot; the join that brings
     verdicts back has one row for each repeated hash on its small side and is left to adaptive skew splitting.
     """
-    carried = [c for c in rest(docs, id_col, text_col) if c not in ("n_lines", "n_dropped")]
+    carried = rest(docs, id_col, text_col, "n_lines", "n_dropped")
     base = docs.select(
         named(id_col).cast("long").alias("doc"),
         F.xxhash64(named(text_col)).alias("own"),  # tells apart rows that share an id
@@ -106,7 +106,7 @@ def dedup_lines(docs: DataFrame, min_chars: int = 40, min_docs: int = 5, id_col:
     schema = f"doc long, text string, n_lines long, n_dropped long, carried {base.schema['carried'].dataType.simpleString()}"
     out = joined.mapInArrow(reassemble, schema)
     kept = {id_col: F.col("doc"), text_col: F.col("text")} | {c: F.col(f"carried.c{i}") for i, c in enumerate(carried)}
-    return out.select(*[kept[c].alias(c) for c in docs.columns if c in kept], "n_lines", "n_dropped")
+    return out.select(*[kept[c].alias(c) for c in docs.columns if c in kept], F.col("n_lines"), F.col("n_dropped"))
 
 
 def op2_line_dedup(spark, sf_dir):

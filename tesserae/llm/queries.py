@@ -16,5 +16,5 @@ def queries() -> dict:
 def oracle_sql() -> dict[str, str]:
     import corpus_pipeline
 
-    found = line_dedup.SQL | topk.SQL
+    found = line_dedup.SQL | topk.SQL | warc.SQL | substring_dedup.SQL
     return found | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})
