@@ -29,3 +29,10 @@ def test_every_language_is_learned(spark):
     assert all(r.lang_pred == r.lang for r in language_id.identify(df, model).collect())
     with pytest.raises(ValueError, match="more than 59 languages"):
         language_id.learn(df, max_languages=59)
+
+
+def test_labels_go_on(spark):
+    rows = [(i, "some plain english words and more of them", "en", 41) for i in range(30)] + [(100 + i, "einige deutsche wörter und noch mehr davon", "de", 42) for i in range(30)]
+    wrong = [(200, "more plain english words", "de", 24), (201, "noch mehr deutsche wörter", None, 25)]
+    out = corpus_pipeline.identify_language(spark, spark.createDataFrame(rows + wrong, DOCS), "").collect()
+    assert {r.doc_id: r.lang for r in out if r.doc_id >= 200} == {200: "en", 201: "de"} and len(out) == 62
