@@ -2,7 +2,7 @@
 
 # The codes of the error taxonomy.
 CODES = (
-    "FETCH_FAILED", "SCHEMA_CHANGED", "LICENSE_REVIEW_REQUIRED", "ROW_COUNT_ANOMALY", "DUPLICATE_KEY_ANOMALY",
+    "SOURCE_FETCH_FAILED", "SOURCE_SCHEMA_CHANGED", "LICENSE_REVIEW_REQUIRED", "ROW_COUNT_ANOMALY", "DUPLICATE_KEY_ANOMALY",
     "UNMATCHED_RATE_SPIKE", "AMBIGUOUS_RATE_SPIKE", "REQUIRED_SOURCE_MISSING", "CHECKSUM_MISMATCH", "VALIDATION_FAILED",
     "DATA_LOSS_SUSPECTED", "IDENTITY_COLLISION", "UNSAFE_ARCHIVE",
 )

@@ -24,7 +24,7 @@ class Limits:
 def check_magic(kind: str, content: bytes) -> None:
     """An error page saved under an archive's name must not reach a parser."""
     if kind in MAGIC and not content.startswith(MAGIC[kind]):
-        raise BuildError("FETCH_FAILED", f"not a {kind} file", begins=content[:16])
+        raise BuildError("SOURCE_FETCH_FAILED", f"not a {kind} file", begins=content[:16])
 
 
 def safe_members(archive: zipfile.ZipFile, limits: Limits = Limits()) -> list[zipfile.ZipInfo]:
@@ -44,11 +44,13 @@ def safe_members(archive: zipfile.ZipFile, limits: Limits = Limits()) -> list[zi
 
 
 def read_members(content: bytes, suffix: str = "", limits: Limits = Limits(), depth: int = 2):
-    """(name, bytes) of the members that end in ``suffix``, those of archives in the archive included."""
+    """(name, bytes) of the members that end in ``suffix``, those of archives in the archive included, ``depth`` archives deep; a deeper one is an error."""
     check_magic("zip", content)
     with zipfile.ZipFile(io.BytesIO(content)) as archive:
         for i in safe_members(archive, limits):
-            if i.filename.lower().endswith(".zip") and depth > 1:
+            if i.filename.lower().endswith(".zip") and suffix.lower() != ".zip":
+                if depth <= 1:
+                    raise BuildError("UNSAFE_ARCHIVE", "archives too deep in one another", member=i.filename)
                 for name, data in read_members(archive.read(i), suffix, limits, depth - 1):
                     yield f"{i.filename}/{name}", data
             elif i.filename.lower().endswith(suffix.lower()):
@@ -81,7 +83,7 @@ class SchemaInfo:
 def check_drift(resource: str, found: SchemaInfo, expected: SchemaInfo) -> None:
     """Any difference stops the build: columns added, removed or re-ordered, another encoding, other members but for digits."""
     if found.fingerprint != expected.fingerprint:
-        raise BuildError("SCHEMA_CHANGED", f"{resource} does not look as pinned", found=found.columns, expected=expected.columns, encoding=found.encoding)
+        raise BuildError("SOURCE_SCHEMA_CHANGED", f"{resource} does not look as pinned", found=found.columns, expected=expected.columns, encoding=found.encoding)
 
 
 def change_signature(discovered: dict[str, str]) -> str:
@@ -99,4 +101,4 @@ def check_shape_container(content: bytes, encoding: str = "UTF-8", datum: str =
     for suffix, wanted in ((".cpg", encoding), (".prj", datum)):
         found = [data.decode("ascii", "replace").strip() for _, data in read_members(content, suffix)]
         if len(found) != 1 or wanted.lower() not in found[0].lower():
-            raise BuildError("SCHEMA_CHANGED", f"{suffix} is not as expected", found=found[:3], expected=wanted)
+            raise BuildError("SOURCE_SCHEMA_CHANGED", f"{suffix} is not as expected", found=found[:3], expected=wanted)

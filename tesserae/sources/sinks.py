@@ -86,27 +86,49 @@ def write_points(tables: dict[str, DataFrame], path: str, keys: dict[str, list[s
         os.remove(path)
 
 
-# A column's type in SQLite.
-SQLITE = {"string": "TEXT", "bigint": "INTEGER", "int": "INTEGER", "boolean": "INTEGER", "double": "REAL"}
+# A column's type in SQLite; others are written as text (dates and times in ISO form, decimals in full, nested values as JSON).
+SQLITE = {"string": "TEXT", "bigint": "INTEGER", "int": "INTEGER", "smallint": "INTEGER", "tinyint": "INTEGER", "boolean": "INTEGER", "double": "REAL", "float": "REAL", "binary": "BLOB"}
 
 
-def write_sqlite_gz(tables: dict[str, DataFrame], path: str, keys: dict[str, list[str]], checks: dict[str, list[str]] | None = None) -> None:
-    """All tables in a gzip SQLite file; ``checks`` are CHECK constraints, and a row that breaks one stops the export. The plain file is not kept."""
+def _for_sqlite(df: DataFrame) -> DataFrame:
+    """Columns that SQLite has no type for, as text."""
+    nested = ("array", "map", "struct")
+    return df.select(*[F.col(f"`{c}`") if t in SQLITE else (F.to_json(f"`{c}`") if t.startswith(nested) else F.col(f"`{c}`").cast("string")).alias(c) for c, t in df.dtypes])
+
+
+def write_sqlite_gz(tables: dict[str, DataFrame], path: str, keys: dict[str, list[str]], checks: dict[str, list[str]] | None = None, foreign: dict[str, list[tuple[str, str, str]]] | None = None) -> None:
+    """All tables in a gzip SQLite file. ``checks`` are CHECK constraints; ``foreign`` are (column, table, column there), whose target is the other table's
+    key. A row that breaks one stops the export. The plain file is not kept."""
     con = sqlite3.connect(":memory:")
+    targets = {t: sorted({c for rows in (foreign or {}).values() for _, t2, c in rows if t2 == t}) for t in tables}
     for name in sorted(tables):
-        df = tables[name]
+        df = _for_sqlite(tables[name])
         columns = [f'"{c}" {SQLITE[t]}' for c, t in df.dtypes] + [f"CHECK ({c})" for c in (checks or {}).get(name, [])]
+        columns += [f'UNIQUE ("{c}")' for c in targets[name]] + [f'FOREIGN KEY ("{c}") REFERENCES "{t}" ("{there}")' for c, t, there in (foreign or {}).get(name, [])]
         con.execute(f'CREATE TABLE "{name}" ({", ".join(columns)})')
         try:
             con.executemany(f'INSERT INTO "{name}" VALUES ({", ".join("?" * len(df.columns))})', (list(r.values()) for r in _rows(df, keys[name]).to_pylist()))
         except sqlite3.IntegrityError as e:
             raise BuildError("VALIDATION_FAILED", f"a row of {name} breaks a constraint", reason=str(e)) from e
     con.commit()
+    lost = con.execute("PRAGMA foreign_key_check").fetchall()
+    if lost:
+        raise BuildError("VALIDATION_FAILED", "rows without the row that they name", tables=sorted({(r[0], r[2]) for r in lost}), rows=len(lost))
     data = con.serialize()
     with open(path, "wb") as f:
         f.write(_gzip(data))
 
 
+def write_tables_zip(tables: dict[str, DataFrame], path: str, keys: dict[str, list[str]]) -> None:
+    """All tables as Parquet in one archive, in the order of their names."""
+    files = {}
+    for name, df in tables.items():
+        out = io.BytesIO()
+        pq.write_table(_rows(df, keys[name]).replace_schema_metadata(None), out, compression="zstd")
+        files[f"{name}.parquet"] = out.getvalue()
+    write_zip(files, path)
+
+
 def write_diff(diff: dict, folder: str) -> None:
     """The release's differences as JSON with sorted keys and as Markdown."""
     with open(f"{folder}/diff.json", "w", encoding="utf-8") as f:

@@ -46,7 +46,7 @@ def test_drift():
         with pytest.raises(BuildError):
             archives.check_drift("r", archives.SchemaInfo(**({"columns": base.columns, "encoding": "utf-8", "container": "zip", "members": base.members} | change)), base)
     assert archives.change_signature({"b": "2", "a": "1"}) == "a\t1\nb\t2" and archives.fallbacks({"a": "discovery", "b": "pinned"}) == ["b"]
-    assert len(CODES) == 13 and "k=1" in str(BuildError("FETCH_FAILED", "m", k=1))
+    assert len(CODES) == 13 and "k=1" in str(BuildError("SOURCE_FETCH_FAILED", "m", k=1))
 
 
 def dbf(names, rows, encoding="cp932"):
@@ -99,7 +99,7 @@ def test_csv_in_zip(spark, tmp_path):
     (tmp_path / "b.csv").write_bytes("\ufeffx,y\n1,2\n".encode())
     assert readers.plain_csv(spark, str(tmp_path / "b.csv"), ["x", "y"]).count() == 1
     for columns in (["y", "x"], ["x"]):
-        with pytest.raises(Exception, match="SCHEMA_CHANGED"):
+        with pytest.raises(Exception, match="SOURCE_SCHEMA_CHANGED"):
             readers.plain_csv(spark, str(tmp_path / "b.csv"), columns).count()
     snaps = readers.snapshots(spark, str(tmp_path / "a.zip"), "s", out).collect()
     assert snaps[0].row_count == 2 and snaps[0].source == "s" and len(snaps[0].sha256) == 64
@@ -157,8 +157,11 @@ def test_word_tables(spark, tmp_path):
     for word, table in ((streams[0], b"\x03" + streams[1][1:]), (streams[0][:-20], streams[1]), word_streams([("ab", True)], 9), word_streams([])):
         with pytest.raises(BuildError):
             binary.piece_text(word, table)
-    with pytest.raises(BuildError):
-        binary.table_rows("a\x07b\x07c\x07\x07x\x07y\x07\x07d\x07e\x07f\x07\x07", 3)
+    for text, told in (("a\x07b\x07c\x07\x07x\x07y\x07\x07d\x07e\x07f\x07\x07", "another shape inside"), ("x\x07y\x07\x07", "no row has"), ("plain", "no row has")):
+        with pytest.raises(Exception, match=told):
+            readers.table_rows(spark.createDataFrame([("f", text)], "source_file string, text string"), ["a", "b", "c"]).collect()
+    around = readers.table_rows(spark.createDataFrame([("f", "p\x07q\x07\x07title\r a \x07b\x07c\0\x07\x07d\x07\x07f\x07\x07")], "source_file string, text string"), ["a", "b", "c"])
+    assert [tuple(r)[2:] for r in around.collect()] == [(0, "a", "b", "c")]
     with pytest.raises(BuildError):
         binary.read_doc(b"<html>" * 200)
 
@@ -172,6 +175,47 @@ def test_xlsx(spark, tmp_path):
     assert [(r.a, r.b, r.c) for r in readers.xlsx_table(spark, str(tmp_path / "a.xlsx"), ["a", "b", "c"], 2).orderBy("row_ordinal").collect()] == [("札幌", None, "5"), ("x", None, None)]
 
 
+def test_sheets_are_read_whole_or_not_at_all():
+    whole = readers._sheet_rows([["a", "b"], ["c"], [], [None, None]], 3, False)
+    assert whole == [["a", "b", None], ["c", None, None]] and readers._sheet_rows([], 3, False) == []
+    for cells, notes in (([["a"], [], ["c"]], False), ([["a", "b", "c", "d"]], False), ([["a", "b"], [], ["c", "d"]], True)):
+        with pytest.raises(BuildError, match="SOURCE_SCHEMA_CHANGED"):
+            readers._sheet_rows(cells, 3, notes)
+    assert readers._sheet_rows([["a", "b"], ["c", "d"], [], ["1) a footnote"]], 2, True) == [["a", "b"], ["c", "d"]]
+
+
+def test_archives_too_deep():
+    inner = zipped({"a.csv": b"1"})
+    assert dict(archives.read_members(zipped({"in.zip": zipped({"in.zip": inner})}), ".csv", depth=3))
+    with pytest.raises(BuildError, match="UNSAFE_ARCHIVE"):
+        list(archives.read_members(zipped({"in.zip": zipped({"in.zip": inner})}), ".csv"))
+
+
+def test_maps_land_and_keys(spark):
+    df = spark.createDataFrame([("A1", "8101", None, "01", "101"), ("B1", "8154", None, "01", None), ("A1", "8101", "D1", "x", "y"), ("A1", "8101", "D", "x", "z")], "k string, hcode string, kigo_d string, p string, c string")
+    assert [r.v for r in readers.mapped(df.filter("k = 'A1'"), "k", {"A1": "school"}, "v").collect()] == ["school"] * 3
+    with pytest.raises(Exception, match="unknown value"):
+        readers.mapped(df, "k", {"A1": "school"}, "v").collect()
+    assert [r.kigo_d for r in readers.land(df).collect()] == [None, "D"]
+    assert [r.j for r in df.select(readers.joined_key("p", "c").alias("j")).collect()] == ["01101", None, "xy", "xz"]
+
+
+def test_sqlite_types_and_references(spark, tmp_path):
+    import datetime
+    import decimal
+
+    df = spark.createDataFrame([("k", datetime.date(2026, 1, 2), datetime.datetime(2026, 1, 2, 3, 4, 5), decimal.Decimal("1.50"), [1, 2])], "k string, d date, t timestamp_ntz, n decimal(6,2), a array<int>")
+    child = spark.createDataFrame([(1, "k"), (2, None)], "i int, k string")
+    sinks.write_sqlite_gz({"p": df, "c": child}, str(tmp_path / "s"), {"p": ["k"], "c": ["i"]}, foreign={"c": [("k", "p", "k")]})
+    con = sqlite3.connect(":memory:")
+    con.deserialize(gzip.decompress((tmp_path / "s").read_bytes()))
+    assert con.execute("select * from p").fetchall() == [("k", "2026-01-02", "2026-01-02 03:04:05", "1.50", "[1,2]")]
+    with pytest.raises(BuildError, match="VALIDATION_FAILED"):
+        sinks.write_sqlite_gz({"p": df, "c": child.unionByName(spark.createDataFrame([(3, "lost")], "i int, k string"))}, str(tmp_path / "s"), {"p": ["k"], "c": ["i"]}, foreign={"c": [("k", "p", "k")]})
+    sinks.write_tables_zip({"p": df.drop("a"), "c": child}, str(tmp_path / "z.zip"), {"p": ["k"], "c": ["i"]})
+    assert zipfile.ZipFile(tmp_path / "z.zip").namelist() == ["c.parquet", "p.parquet"]
+
+
 def biff(sheet, strings, cells):
     record = lambda kind, data: struct.pack("<HH", kind, len(data)) + data
     body = b"".join(struct.pack("<HB", len(t), 1) + t.encode("utf-16-le") for t in strings)
