@@ -64,10 +64,23 @@ def point_bridge(points: DataFrame, shapes: DataFrame, current: DataFrame, succe
 
     Polygons of one code count once; a code with several successors counts once for each. Two codes with one successor stay two candidates.
     """
-    codes = containment_join(points.select(key, "x", "y"), shapes, cell).select(key, "code").distinct()
-    names = resolve_codes(shapes, current, successors)
-    hits = codes.join(names, "code")
-    return settle(points.drop("x", "y").join(hits, key, "left").withColumn("via_lineage", F.coalesce("via_lineage", F.lit(False))), [key])
+    codes = containment_join(points.select(key, "x", "y"), shapes, cell)
+    return settle(_with_candidates(points.drop("x", "y"), codes, shapes, current, successors, key), [key])
+
+
+def _with_candidates(rows: DataFrame, codes: DataFrame, shapes: DataFrame, current: DataFrame, successors: DataFrame, key: str, *more: str) -> DataFrame:
+    """``rows`` with a row for each candidate of the ``codes`` (key, code, ...) found for them; one with NULLs where none was. The codes of an entity meet in one
+    set, so that the entities are joined once and each of them is one row on either side."""
+    names = resolve_codes(shapes, current, successors).groupBy("code").agg(F.collect_set(F.struct("lg_code", "via_lineage")).alias("means"))
+    sets = codes.groupBy(key).agg(F.collect_set(F.struct("code", *more)).alias("found"))
+    joined = rows.join(sets, key, "left").withColumn("f", F.explode_outer("found")).select(*rows.columns, "f.*")
+    out = joined.join(F.broadcast(names) if _few(shapes) else names, "code", "left").withColumn("m", F.explode_outer("means"))
+    return out.select(*rows.columns, "code", *more, "m.lg_code", F.coalesce("m.via_lineage", F.lit(False)).alias("via_lineage"))
+
+
+def _few(shapes: DataFrame, most: int = 1_000_000) -> bool:
+    """Whether the codes of the shapes, a row each, may be broadcast: counted, not guessed."""
+    return shapes.select("code").limit(most + 1).count() <= most
 
 
 def station_bridge(lines: DataFrame, shapes: DataFrame, current: DataFrame, successors: DataFrame, key: str = "id", cell: tuple[float, float] = (0.05, 0.05)) -> DataFrame:
@@ -76,42 +89,48 @@ def station_bridge(lines: DataFrame, shapes: DataFrame, current: DataFrame, succ
     hit = containment_join(first, shapes, cell).select(key, "code").distinct().withColumn("placement_point", F.lit("centroid"))
     rest = lines.join(hit.select(key).distinct(), key, "left_anti")
     second = containment_join(point_on_line(rest, key), shapes, cell).select(key, "code").distinct().withColumn("placement_point", F.lit("point_on_line"))
-    hits = hit.unionByName(second).join(resolve_codes(shapes, current, successors), "code")
-    rows = lines.drop("parts").join(hits, key, "left").withColumn("via_lineage", F.coalesce("via_lineage", F.lit(False)))
-    return settle(rows, [key])
+    return settle(_with_candidates(lines.drop("parts"), hit.unionByName(second), shapes, current, successors, key, "placement_point"), [key])
 
 
 def line_bridge(lines: DataFrame, shapes: DataFrame, current: DataFrame, successors: DataFrame, spacing: float, key: str = "id", cell: tuple[float, float] = (0.05, 0.05)) -> DataFrame:
     """(key, lg_code, boundary_code, sample_hits, municipality_count, ...): shapes that a line's sample points touch. Overlap is no choice
-    between candidates, so known codes are settled and carry no note."""
+    between candidates, so known codes are settled and carry no note; a code without a current counterpart goes to review with its note."""
     hits = containment_join(sample_line(lines, spacing, key), shapes, cell).groupBy(key, "code").agg(F.count("*").alias("sample_hits"))
     named = hits.join(resolve_codes(shapes, current, successors), "code")
     counted = named.withColumn("municipality_count", F.count("*").over(W.partitionBy(key)))
     method = F.when(F.col("via_lineage"), "spatial_sampling" + VIA_LINEAGE).otherwise("spatial_sampling")
-    return counted.withColumns({"relation_type": F.lit(OVERLAP), "match_method": method, "verification_status": F.lit(AUTO), "mismatch_note": F.lit(None).cast("string")}).withColumnRenamed("code", "boundary_code").drop("via_lineage")
+    known = F.col("lg_code").isNotNull()
+    status, note = F.when(known, AUTO).otherwise(REVIEW), F.when(~known, note_unknown(F.col("code")))
+    return counted.withColumns({"relation_type": F.lit(OVERLAP), "match_method": method, "verification_status": status, "mismatch_note": note}).withColumnRenamed("code", "boundary_code").drop("via_lineage")
+
 
+def cascade(entities: DataFrame, rules: list[tuple], key: str = "id") -> DataFrame:
+    """Ordered matching rules: ``(rule id, confidence, function(entities) -> (key, target)[, complete])``. An entity keeps the matches of the first rule that
+    matches it; what no rule matches stays, unresolved. Candidates are counted by entity and nothing is chosen among them. ``complete`` (True by
+    default) tells whether a rule's evidence names all candidates; it becomes ``candidate_count_is_complete``.
 
-def cascade(entities: DataFrame, rules: list[tuple[str, float, object]], key: str = "id") -> DataFrame:
-    """Ordered matching rules: ``(rule id, confidence, function(rest) -> (key, target))``. A later rule sees only the entities that no earlier
-    rule matched; what no rule matches stays, unresolved. Candidates are counted by entity and nothing is chosen among them."""
-    rest, out = entities, []
-    for rule, confidence, match in rules:
-        found = match(rest).select(key, "target").distinct()
-        out.append(found.withColumns({"matching_rule_id": F.lit(rule), "confidence": F.lit(confidence)}))
-        rest = rest.join(found.select(key).distinct(), key, "left_anti")
-    none = rest.select(key).withColumns({"target": F.lit(None).cast("string"), "matching_rule_id": F.lit("unresolved"), "confidence": F.lit(0.0)})
-    all_ = none
-    for df in out:
-        all_ = all_.unionByName(df)
-    return candidate_accounting(all_, key, "target")
+    Each rule is tried on all entities and the least rule is kept by an aggregate, so the plan grows by one branch a rule.
+    """
+    found = None
+    for n, (rule, confidence, match, *complete) in enumerate(rules):
+        marks = {"order": F.lit(n), "matching_rule_id": F.lit(rule), "confidence": F.lit(float(confidence)), "candidate_count_is_complete": F.lit(complete[0] if complete else True)}
+        rows = match(entities).select(key, F.col("target").cast("string").alias("target")).filter("target IS NOT NULL").distinct().withColumns(marks)
+        found = rows if found is None else found.unionByName(rows)
+    if found is None:
+        none = {"target": F.lit(None).cast("string"), "matching_rule_id": F.lit("unresolved"), "confidence": F.lit(0.0), "candidate_count_is_complete": F.lit(True)}
+        return candidate_accounting(entities.select(key).distinct().withColumns(none), key, "target")
+    first = found.groupBy(key).agg(F.min("order").alias("order"))
+    kept = entities.select(key).distinct().join(found.join(first, [key, "order"]).drop("order"), key, "left")
+    kept = kept.withColumns({"matching_rule_id": F.coalesce("matching_rule_id", F.lit("unresolved")), "confidence": F.coalesce("confidence", F.lit(0.0)), "candidate_count_is_complete": F.coalesce("candidate_count_is_complete", F.lit(True))})
+    return candidate_accounting(kept, key, "target")
 
 
 def candidate_accounting(rows: DataFrame, key: str, target: str) -> DataFrame:
-    """``candidate_group_id``, ``candidate_count``, ``candidate_count_is_complete``, ``is_unique_match``, ``relation_type``, ``verification_status``."""
+    """``candidate_group_id``, ``candidate_count``, ``is_unique_match``, ``relation_type``, ``verification_status``."""
     count = F.count(target).over(W.partitionBy(key))
     unique = F.col("candidate_count") == 1
     return rows.withColumns({"candidate_group_id": F.concat(F.lit("grp_"), F.substring(F.sha2(F.col(key).cast("string"), 256), 1, 16)), "candidate_count": count}).withColumns({
-        "candidate_count_is_complete": F.lit(True), "is_unique_match": unique,
+        "is_unique_match": unique,
         "relation_type": F.when(F.col("candidate_count") == 0, UNRESOLVED).when(unique, "exact").otherwise(AMBIGUOUS),
         "verification_status": F.when(unique, AUTO).otherwise(REVIEW),
     })

@@ -5,9 +5,10 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..errors import stop_if_any
+
 CLOCK = ("observed_from", "observed_to", "is_current", "source_snapshot_id", "match_run_id", "created_at", "updated_at")
 
 
@@ -67,35 +68,67 @@ def mint(*parts: Column) -> Column:
 
 
 def resolve_identity(towns: DataFrame, ledger: DataFrame, recodes: DataFrame) -> DataFrame:
-    """(area, code, name, entity_id, rule, review): which persistent id each town of this release has.
+    """(area, code, name, entity_id, rule, review): which persistent id each town of this release has; no id goes to two towns.
 
     ``towns``: area, code, name. ``ledger``: entity_id, area, code, name, active. ``recodes``: old_area, new_area, attested by a person.
-    I1 key unchanged; I4 key unchanged, renamed; I2 code corrected: one vanished entity of the area has the name, and one new town; I3 the area was
-    recoded, by attestation only; else minted: I5 new, I6 a retired key is back (review), and with a review also where I2 has several candidates or a
-    recode would fit but is not attested.
+    I1 key unchanged; I4 key unchanged, renamed. A new town claims the vanished entities of its area and name (I2: the code was corrected), and those of its
+    code and name whose area was recoded to its own, by attestation only (I3). It gets the one entity that it claims, if no other town claims that, by
+    whichever rule. Else it is minted: I5 new, I6 a retired key is back (always with a review). Reviews: ``I2_ambiguous`` and ``I3_ambiguous`` where claims
+    do not settle, ``I3_renamed`` where only the name speaks against an attested recode, ``I3_unattested`` where only the attestation is missing.
     """
+    key = ["area", "code"]
     live, gone = ledger.filter("active"), ledger.filter("NOT active")
-    by_key = towns.join(live.select("area", "code", F.col("entity_id").alias("same"), F.col("name").alias("was")), ["area", "code"], "left")
-    kept = by_key.filter("same IS NOT NULL").select("area", "code", "name", F.col("same").alias("entity_id"), F.when(F.col("was") == F.col("name"), "I1").otherwise("I4").alias("rule"), F.lit(None).cast("string").alias("review"))
-    new = by_key.filter("same IS NULL").select("area", "code", "name")
-    vanished = live.join(towns.select("area", "code"), ["area", "code"], "left_anti")
-    old_names = vanished.groupBy("area", "name").agg(F.count("*").alias("olds"), F.min("entity_id").alias("corrected"))
-    new = new.withColumn("news", F.count("*").over(W.partitionBy("area", "name"))).join(old_names, ["area", "name"], "left")
-    moved = vanished.join(recodes.withColumnRenamed("old_area", "area"), "area").groupBy(F.col("new_area").alias("area"), "code").agg(F.count("*").alias("moves"), F.min("entity_id").alias("recoded"))
-    elsewhere = vanished.groupBy("code", "name").agg(F.min("entity_id").alias("elsewhere"))
-    retired = gone.select("area", "code").distinct().withColumn("retired", F.lit(True))
-    new = new.join(moved, ["area", "code"], "left").join(elsewhere, ["code", "name"], "left").join(retired, ["area", "code"], "left")
-    i2 = (F.col("olds") == 1) & (F.col("news") == 1)
-    i3 = F.col("moves") == 1
-    minted = mint(F.col("area"), F.col("code"), F.coalesce(F.when(F.col("retired"), F.lit("again")), F.lit("first")))
-    return kept.unionByName(new.select(
-        "area", "code", "name",
-        F.when(i2, F.col("corrected")).when(i3, F.col("recoded")).otherwise(minted).alias("entity_id"),
-        F.when(i2, "I2").when(i3, "I3").when(F.col("retired"), "I6").otherwise("I5").alias("rule"),
-        F.when(i2 | i3, None).when(F.col("olds").isNotNull(), "I2_ambiguous").when(F.col("retired"), "I6_reinstatement_candidate").when(F.col("elsewhere").isNotNull(), "I3_unattested").alias("review"),
+    by_key = towns.join(live.select(*key, F.col("entity_id").alias("same"), F.col("name").alias("was")), key, "left")
+    kept = by_key.filter("same IS NOT NULL").select(*key, "name", F.col("same").alias("entity_id"), F.when(F.col("was") == F.col("name"), "I1").otherwise("I4").alias("rule"), F.lit(None).cast("string").alias("review"))
+    new = by_key.filter("same IS NULL").select(*key, "name")
+    vanished = live.join(towns.select(*key), key, "left_anti").select("entity_id", *key, "name")
+    recoded = vanished.join(recodes.withColumnRenamed("old_area", "area"), "area").select("entity_id", F.col("new_area").alias("area"), "code", "name")
+    corrected = new.join(vanished.drop("code"), ["area", "name"]).select(*key, "entity_id", F.lit("I2").alias("by"))
+    claims = corrected.unionByName(new.join(recoded, ["area", "code", "name"]).select(*key, "entity_id", F.lit("I3").alias("by"))).distinct()
+    claimed = claims.groupBy("entity_id").agg(F.countDistinct(*key).alias("claimants"))
+    of_town = claims.join(claimed, "entity_id").groupBy(*key).agg(
+        F.countDistinct("entity_id").alias("claims"), F.max("claimants").alias("claimants"), F.min("entity_id").alias("claim"), F.min("by").alias("by")
+    )
+    renamed = recoded.select(*key).distinct().withColumn("renamed", F.lit(True))
+    elsewhere = vanished.select("code", "name").distinct().withColumn("elsewhere", F.lit(True))
+    retired = gone.groupBy(*key).agg(F.count("*").alias("retired"))
+    new = new.join(of_town, key, "left").join(renamed, key, "left").join(elsewhere, ["code", "name"], "left").join(retired, key, "left")
+    # an id that the ledger has given before, to whichever key, is not given again
+    minted = new.withColumn("minted", mint(F.col("area"), F.col("code"), F.coalesce(F.concat(F.lit("again"), F.col("retired").cast("string")), F.lit("first"))))
+    given = ledger.select(F.col("entity_id").alias("minted"), F.lit(True).alias("given")).distinct()
+    minted = minted.join(given, "minted", "left").withColumn("minted", F.when(F.col("given"), mint(F.col("minted"), F.lit("given"))).otherwise(F.col("minted")))
+    settled = F.coalesce((F.col("claims") == 1) & (F.col("claimants") == 1), F.lit(False))
+    review = (
+        F.when(settled, None).when(F.col("claims").isNotNull(), F.concat("by", F.lit("_ambiguous")))
+        .when(F.col("retired").isNotNull(), "I6_reinstatement_candidate").when(F.col("renamed"), "I3_renamed").when(F.col("elsewhere"), "I3_unattested")
+    )
+    return kept.unionByName(minted.select(
+        *key, "name", F.when(settled, F.col("claim")).otherwise(F.col("minted")).alias("entity_id"),
+        F.when(settled, F.col("by")).when(F.col("retired").isNotNull(), "I6").otherwise("I5").alias("rule"), review.alias("review"),
     ))
 
 
+#: What a rule of identity says of an entity's line.
+LINEAGE = {"I2": "code_corrected", "I3": "municipality_recoded", "I4": "renamed"}
+
+
+def identity_lineage(ledger: DataFrame, resolved: DataFrame) -> DataFrame:
+    """(entity_id, relation_type, old_area, old_code, old_name, area, code, name): a row for each entity that was renamed, whose code was corrected, whose area was
+    recoded, or that was retired in this release (then without a present key)."""
+    was = ledger.filter("active").select("entity_id", *[F.col(c).alias(f"old_{c}") for c in ("area", "code", "name")])
+    rows = was.join(resolved.select("entity_id", "area", "code", "name", "rule"), "entity_id", "left")
+    relation = F.when(F.col("rule").isNull(), "retired")
+    for rule, name in LINEAGE.items():
+        relation = relation.when(F.col("rule") == rule, name)
+    rows = rows.withColumn("relation_type", relation).filter("relation_type IS NOT NULL")
+    return rows.select("entity_id", "relation_type", "old_area", "old_code", "old_name", "area", "code", "name")
+
+
+def check_identity(resolved: DataFrame) -> None:
+    """An id that stands for two towns stops the build."""
+    stop_if_any(collisions(resolved), "IDENTITY_COLLISION", "an id stands for more than one town")
+
+
 def retire(ledger: DataFrame, resolved: DataFrame) -> DataFrame:
     """The ledger's rows, all kept; those that no town of this release has are no longer active."""
     seen = resolved.select("entity_id").distinct().withColumn("seen", F.lit(True))
@@ -107,22 +140,40 @@ def collisions(ids: DataFrame, id_col: str = "entity_id") -> DataFrame:
     return ids.groupBy(id_col).count().filter("count > 1")
 
 
-def walk(roots: DataFrame, edges: DataFrame, rounds: int = 100) -> DataFrame:
+def version_id(columns: list[str]) -> Column:
+    """``ver_`` and 16 characters of the content's hash: equal content, equal id."""
+    return F.concat(F.lit("ver_"), F.substring(content_hash(columns), 1, 16))
+
+
+def walk(roots: DataFrame, edges: DataFrame, rounds: int | None = None) -> DataFrame:
     """(root, code, since, all_unique): where the walks from ``roots`` (``code``) over ``edges`` (old, new, date, is_unique) end.
 
-    A step must be later than the one before and change the code, so each walk ends; walks that have not after ``rounds`` steps are an error.
-    One join a round; the frontier alone travels.
+    A step must be later than the one before and change the code, so each walk ends, and the loop with the longest; a caller's own bound of ``rounds``
+    is an error where it is too low. One join a round; the frontier alone travels: a step that goes on is replaced by its successors, one that ends is kept.
     """
-    step = roots.select(F.col("code").alias("root"), "code", F.lit("").alias("since"), F.lit(True).alias("all_unique"))
-    reached = [step]
-    for _ in range(rounds):
-        step = step.alias("w").join(edges.alias("e"), (F.col("w.code") == F.col("e.old")) & (F.col("e.date") > F.col("w.since")) & (F.col("e.old") != F.col("e.new")))
-        step = step.select("root", F.col("e.new").alias("code"), F.col("e.date").alias("since"), (F.col("all_unique") & F.col("e.is_unique")).alias("all_unique")).distinct().cache()
-        if step.isEmpty():
+    spark = roots.sparkSession
+    ahead = edges.filter("old <> new").select("old", "new", "date", "is_unique").distinct()
+    step = roots.select(F.col("code").alias("root"), "code", F.lit("").alias("since"), F.lit(True).alias("all_unique")).distinct()
+    ended, n = [], 0
+    while True:
+        on = step.join(ahead, (F.col("code") == F.col("old")) & (F.col("date") > F.col("since")), "left")
+        on = _cut(on.select("root", "code", "since", "all_unique", "new", "date", "is_unique"), spark)
+        ended.append(on.filter("new IS NULL").select("root", "code", "since", "all_unique"))
+        moving = on.filter("new IS NOT NULL")
+        if moving.isEmpty():
             break
-        reached.append(step)
-    else:
-        raise RuntimeError(f"walks have not ended in {rounds} rounds")
-    all_ = reduce(DataFrame.unionByName, reached)
-    on = all_.alias("w").join(edges.alias("e"), (F.col("w.code") == F.col("e.old")) & (F.col("e.date") > F.col("w.since")) & (F.col("e.old") != F.col("e.new")), "left_anti")
-    return on.select("root", "code", "since", "all_unique")
+        n += 1
+        if rounds is not None and n >= rounds:
+            raise RuntimeError(f"walks have not ended in {rounds} rounds")
+        step = moving.select("root", F.col("new").alias("code"), F.col("date").alias("since"), (F.col("all_unique") & F.col("is_unique")).alias("all_unique")).distinct()
+    return reduce(DataFrame.unionByName, ended)
+
+
+def _cut(df: DataFrame, spark) -> DataFrame:
+    """Cut the lineage of a round: a checkpoint where the session has a folder for it, else kept in the plan."""
+    if spark.sparkContext.getCheckpointDir() is None:
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if folder is None:
+            return df
+        spark.sparkContext.setCheckpointDir(folder)
+    return df.checkpoint()

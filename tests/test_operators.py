@@ -124,6 +124,41 @@ def test_identity_rules(spark):
     assert ids[0].m == ids[2].m != ids[1].m and len(ids[0].m) == 20
 
 
+def test_an_id_goes_to_one_town(spark):
+    ledger = spark.createDataFrame([("e1", "B", "1", "one", True), ("e2", "A", "2", "two", True), ("e3", "B", "3", "three", True), ("e4", "A", "5", "five", False), ("e5", "A", "5", "five", False), ("e6", "B", "6", "six", True)], "entity_id string, area string, code string, name string, active boolean")
+    towns = spark.createDataFrame([("C1", "1", "one"), ("C2", "1", "one"), ("A", "22", "two"), ("D", "2", "two"), ("C1", "3", "drei"), ("A", "5", "five"), ("C1", "6", "six")], "area string, code string, name string")
+    recodes = spark.createDataFrame([("B", "C1"), ("B", "C2"), ("A", "D")], "old_area string, new_area string")
+    out = versioning.resolve_identity(towns, ledger, recodes)
+    found = {(r.area, r.code): (r.entity_id, r.rule, r.review) for r in out.collect()}
+    # a split recode, and an entity that a correction and a recode both claim
+    assert found["C1", "1"][1:] == found["C2", "1"][1:] == ("I5", "I3_ambiguous") and found["A", "22"][1:] == ("I5", "I2_ambiguous") and found["D", "2"][1:] == ("I5", "I3_ambiguous")
+    assert found["C1", "3"][1:] == ("I5", "I3_renamed") and found["C1", "6"] == ("e6", "I3", None)
+    versioning.check_identity(out)
+    # a key that comes back once more does not get the id that was retired after its last return
+    again = found["A", "5"][0]
+    once_more = ledger.unionByName(spark.createDataFrame([(again, "A", "5", "five", False)], ledger.schema))
+    assert versioning.resolve_identity(towns, once_more, recodes).filter("code = '5'").first().entity_id not in (again, "e4", "e5")
+    # an id that was given to a key whose town has moved on is not given again
+    first = versioning.resolve_identity(towns.filter("code = '9'").unionByName(spark.createDataFrame([("Z", "9", "nine")], towns.schema)), ledger, recodes).first().entity_id
+    moved = ledger.unionByName(spark.createDataFrame([(first, "Z", "10", "nine", True)], ledger.schema))
+    both = versioning.resolve_identity(spark.createDataFrame([("Z", "10", "nine"), ("Z", "9", "neun")], towns.schema), moved, recodes)
+    assert both.select("entity_id").distinct().count() == 2
+    with pytest.raises(BuildError, match="IDENTITY_COLLISION"):
+        versioning.check_identity(out.unionByName(out))
+    lines = {(r.entity_id, r.relation_type) for r in versioning.identity_lineage(ledger, out).collect()}
+    assert lines == {("e1", "retired"), ("e2", "retired"), ("e3", "retired"), ("e6", "municipality_recoded")}
+
+
+def test_cascade_keeps_the_first_rule_that_matches(spark):
+    entities = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c"), (4, "d")], "id long, name string")
+    rule = lambda n, rows: (f"R{n}", 1 / n, lambda e: e.join(spark.createDataFrame(rows, "id long, target string"), "id"), n < 3)
+    out = bridges.cascade(entities, [rule(1, [(1, "x")]), rule(2, [(1, "y"), (2, "y"), (2, "z")]), rule(3, [(3, "w"), (2, "q")])])
+    found = {(r.id, r.target, r.matching_rule_id, r.candidate_count, r.candidate_count_is_complete, r.relation_type) for r in out.collect()}
+    assert found == {(1, "x", "R1", 1, True, "exact"), (2, "y", "R2", 2, True, "ambiguous"), (2, "z", "R2", 2, True, "ambiguous"), (3, "w", "R3", 1, False, "exact"), (4, None, "unresolved", 0, True, "unresolved")}
+    many = bridges.cascade(entities, [rule(n, [(n, "x")]) for n in range(1, 12)])
+    assert many.count() == 4 and many._jdf.queryExecution().optimizedPlan().toString().count("LogicalRDD") < 80
+
+
 def test_walk_ends(spark):
     edges = spark.createDataFrame([("a", "b", "2001", True), ("b", "a", "2002", True), ("b", "c", "2002", False), ("c", "c", "2003", True), ("a", "d", "2004", True)], "old string, new string, date string, is_unique boolean")
     roots = spark.createDataFrame([("a",), ("z",)], "code string")
