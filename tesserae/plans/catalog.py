@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from . import bridges, releases, shapes, surface
+from . import bridges, release_queries, releases, shapes, surface
 
 QUERIES: dict = {}
 ORACLE_SQL: dict[str, str] = {}
-for _module in (bridges, shapes, releases, surface):
+for _module in (bridges, shapes, releases, surface, release_queries):
     QUERIES |= _module.QUERIES
     ORACLE_SQL |= _module.SQL

@@ -165,7 +165,7 @@ class Release:
 
     def _towns_of_postal(self, postal_code: str) -> DataFrame:
         b = self.current("bridge_address_postal_code").filter((F.col("postal_code") == postal_code) & (F.col("verification_status") != "manually_rejected"))
-        return b.select("address_id").distinct().join(self["address"].select("address_id", "lg_code", "full_name_raw"), "address_id")
+        return b.select("address_id").join(self["address"].select("address_id", "lg_code", "full_name_raw"), "address_id")
 
     def q18_postal_to_stations(self, postal_code: str) -> DataFrame:
         s = self["bridge_station_municipality"].filter("verification_status <> 'manually_rejected'").select("lg_code", "n02_group_code", "station_name_raw", "operator_name_raw", "relation_type")
