@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..durable import durable
 from ..errors import stop_if_any
 
 CLOCK = ("observed_from", "observed_to", "is_current", "source_snapshot_id", "match_run_id", "created_at", "updated_at")
@@ -151,13 +152,12 @@ def walk(roots: DataFrame, edges: DataFrame, rounds: int | None = None) -> DataF
     A step must be later than the one before and change the code, so each walk ends, and the loop with the longest; a caller's own bound of ``rounds``
     is an error where it is too low. One join a round; the frontier alone travels: a step that goes on is replaced by its successors, one that ends is kept.
     """
-    spark = roots.sparkSession
     ahead = edges.filter("old <> new").select("old", "new", "date", "is_unique").distinct()
     step = roots.select(F.col("code").alias("root"), "code", F.lit("").alias("since"), F.lit(True).alias("all_unique")).distinct()
     ended, n = [], 0
     while True:
         on = step.join(ahead, (F.col("code") == F.col("old")) & (F.col("date") > F.col("since")), "left")
-        on = _cut(on.select("root", "code", "since", "all_unique", "new", "date", "is_unique"), spark)
+        on = durable(on.select("root", "code", "since", "all_unique", "new", "date", "is_unique"))
         ended.append(on.filter("new IS NULL").select("root", "code", "since", "all_unique"))
         moving = on.filter("new IS NOT NULL")
         if moving.isEmpty():
@@ -167,13 +167,3 @@ def walk(roots: DataFrame, edges: DataFrame, rounds: int | None = None) -> DataF
             raise RuntimeError(f"walks have not ended in {rounds} rounds")
         step = moving.select("root", F.col("new").alias("code"), F.col("date").alias("since"), (F.col("all_unique") & F.col("is_unique")).alias("all_unique")).distinct()
     return reduce(DataFrame.unionByName, ended)
-
-
-def _cut(df: DataFrame, spark) -> DataFrame:
-    """Cut the lineage of a round: a checkpoint where the session has a folder for it, else kept in the plan."""
-    if spark.sparkContext.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if folder is None:
-            return df
-        spark.sparkContext.setCheckpointDir(folder)
-    return df.checkpoint()

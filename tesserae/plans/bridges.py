@@ -45,19 +45,21 @@ def lineage_resolve(spark, d):
     return B.resolve_codes(squares(spark, d), current_codes(spark, d), successor_codes(spark, d))
 
 
-_EDGES = "SELECT CAST(p_partkey AS VARCHAR) AS old, CAST((7 * p_partkey + 3) % 200 AS VARCHAR) AS new, lpad(CAST(p_size AS VARCHAR), 3, '0') AS date, p_partkey % 3 <> 0 AS is_unique FROM part WHERE p_partkey < 200"
+_EDGES = "SELECT CAST(p_partkey AS VARCHAR) AS old, CAST((7 * p_partkey + 3) % (SELECT max(p_partkey) + 1 FROM part) AS VARCHAR) AS new, lpad(CAST(p_size AS VARCHAR), 3, '0') AS date, p_partkey % 3 <> 0 AS is_unique FROM part"
 
 
 @register(QUERIES, SQL, f"""WITH RECURSIVE edges AS ({_EDGES}),
     w AS (
-        SELECT old AS root, old AS code, '' AS since, true AS all_unique FROM edges WHERE CAST(old AS INTEGER) % 4 = 0
+        SELECT old AS root, old AS code, '' AS since, true AS all_unique FROM edges
         UNION SELECT w.root, e.new, e.date, w.all_unique AND e.is_unique FROM w JOIN edges e ON w.code = e.old AND e.date > w.since AND e.old <> e.new
     )
     SELECT root, code, since, all_unique FROM w WHERE NOT EXISTS (SELECT 1 FROM edges e WHERE e.old = w.code AND e.date > w.since AND e.old <> e.new)""")
 def lineage_walk(spark, d):
-    p = table(spark, d, "part").filter("p_partkey < 200")
-    edges = p.select(F.col("p_partkey").cast("string").alias("old"), ((F.col("p_partkey") * 7 + 3) % 200).cast("string").alias("new"), F.lpad(F.col("p_size").cast("string"), 3, "0").alias("date"), (F.col("p_partkey") % 3 != 0).alias("is_unique"))
-    return versioning.walk(edges.filter("cast(old as int) % 4 = 0").select(F.col("old").alias("code")), edges)
+    """An edge for each part, a walk from each."""
+    p = table(spark, d, "part")
+    codes = (p.agg(F.max("p_partkey")).first()[0] or 0) + 1
+    edges = p.select(F.col("p_partkey").cast("string").alias("old"), ((F.col("p_partkey") * 7 + 3) % codes).cast("string").alias("new"), F.lpad(F.col("p_size").cast("string"), 3, "0").alias("date"), (F.col("p_partkey") % 3 != 0).alias("is_unique"))
+    return versioning.walk(edges.select(F.col("old").alias("code")), edges)
 
 
 @register(QUERIES, SQL, """
@@ -75,18 +77,25 @@ def reconcile_status(spark, d):
     return B.reconcile(s.filter("code % 3 <> 0"), s.filter("code % 4 <> 0"), facts)
 
 
-@register(QUERIES, SQL, """
-    WITH e AS (SELECT p_partkey AS id, p_name, p_brand FROM part WHERE p_partkey % 10 = 0), t AS (SELECT p_partkey, p_name, p_brand FROM part WHERE p_partkey % 7 = 0),
-    m1 AS (SELECT e.id, CAST(t.p_partkey AS VARCHAR) AS target, 'R1' AS rule, 1.0 AS conf FROM e JOIN t ON e.id = t.p_partkey),
-    m2 AS (SELECT DISTINCT e.id, CAST(t.p_partkey AS VARCHAR) AS target, 'R2' AS rule, 0.8 AS conf FROM e JOIN t ON e.p_name = t.p_name WHERE e.id NOT IN (SELECT id FROM m1)),
-    u AS (SELECT e.id, NULL AS target, 'unresolved' AS rule, 0.0 AS conf FROM e WHERE id NOT IN (SELECT id FROM m1) AND id NOT IN (SELECT id FROM m2)),
-    a AS (SELECT * FROM m1 UNION ALL SELECT * FROM m2 UNION ALL SELECT * FROM u),
+_TARGETS = """SELECT CASE WHEN p_partkey % 7 = 0 THEN p_partkey ELSE -1 - p_partkey END AS k, CAST(p_partkey AS VARCHAR) AS target, CASE WHEN p_partkey % 3 = 0 THEN p_name || '*' ELSE p_name END AS name, p_brand, p_size FROM part"""
+
+
+@register(QUERIES, SQL, f"""
+    WITH e AS (SELECT p_partkey AS id, p_name AS name, p_brand, p_size FROM part), t AS ({_TARGETS}),
+    m1 AS (SELECT e.id, t.target, 'R1' AS rule, 1.0 AS conf, true AS whole FROM e JOIN t ON e.id = t.k),
+    m2 AS (SELECT DISTINCT e.id, t.target, 'R2' AS rule, 0.8 AS conf, true AS whole FROM e JOIN t ON e.name = t.name AND e.p_brand = t.p_brand AND e.p_size = t.p_size WHERE e.id NOT IN (SELECT id FROM m1)),
+    m3 AS (SELECT DISTINCT e.id, t.target, 'R3' AS rule, 0.5 AS conf, false AS whole FROM e JOIN t ON e.name || '*' = t.name AND e.p_brand = t.p_brand WHERE e.id NOT IN (SELECT id FROM m1) AND e.id NOT IN (SELECT id FROM m2)),
+    u AS (SELECT e.id, NULL AS target, 'unresolved' AS rule, 0.0 AS conf, true AS whole FROM e WHERE id NOT IN (SELECT id FROM m1) AND id NOT IN (SELECT id FROM m2) AND id NOT IN (SELECT id FROM m3)),
+    a AS (SELECT * FROM m1 UNION ALL SELECT * FROM m2 UNION ALL SELECT * FROM m3 UNION ALL SELECT * FROM u),
     n AS (SELECT *, count(target) OVER (PARTITION BY id) AS c FROM a)
-    SELECT id, target, rule AS matching_rule_id, CAST(conf AS DOUBLE) AS confidence, 'grp_' || substr(sha256(CAST(id AS VARCHAR)), 1, 16) AS candidate_group_id, c AS candidate_count, true AS candidate_count_is_complete,
+    SELECT id, target, rule AS matching_rule_id, CAST(conf AS DOUBLE) AS confidence, 'grp_' || substr(sha256(CAST(id AS VARCHAR)), 1, 16) AS candidate_group_id, c AS candidate_count, whole AS candidate_count_is_complete,
            c = 1 AS is_unique_match, CASE WHEN c = 0 THEN 'unresolved' WHEN c = 1 THEN 'exact' ELSE 'ambiguous' END AS relation_type, CASE WHEN c = 1 THEN 'auto' ELSE 'review_required' END AS verification_status FROM n""")
 def rule_cascade(spark, d):
-    part = table(spark, d, "part").select("p_partkey", "p_name")
-    t = part.filter("p_partkey % 7 = 0").select(F.col("p_partkey").cast("string").alias("target"), F.col("p_partkey").alias("tk"), "p_name")
-    by_key = lambda e: e.join(t.drop("p_name"), F.col("id") == F.col("tk"))
-    by_name = lambda e: e.join(t, "p_name")
-    return B.cascade(part.filter("p_partkey % 10 = 0").withColumnRenamed("p_partkey", "id"), [("R1", 1.0, by_key), ("R2", 0.8, by_name)])
+    """Every part as an entity and as a target; some targets have another key or another name, so that each rule finds its own."""
+    part, k = table(spark, d, "part").select("p_partkey", F.col("p_name").alias("name"), "p_brand", "p_size"), F.col("p_partkey")
+    other = F.concat("name", F.lit("*"))
+    t = part.select(F.when(k % 7 == 0, k).otherwise(-1 - k).alias("k"), k.cast("string").alias("target"), F.when(k % 3 == 0, other).otherwise(F.col("name")).alias("name"), "p_brand", "p_size")
+    by_key = lambda e: e.join(t.select("k", "target"), F.col("id") == F.col("k"))
+    by_name = lambda e: e.join(t.drop("k"), ["name", "p_brand", "p_size"])
+    by_part = lambda e: e.withColumn("name", other).join(t.drop("k", "p_size"), ["name", "p_brand"])
+    return B.cascade(part.withColumnRenamed("p_partkey", "id"), [("R1", 1.0, by_key), ("R2", 0.8, by_name), ("R3", 0.5, by_part, False)])

@@ -47,16 +47,18 @@ def address_history(spark, d):
 
 _ID = """
     ledger AS (SELECT 'id' || p_partkey AS entity_id, 'a' || p_partkey % 10 AS area, 'c' || p_partkey AS code, p_name AS name, p_partkey % 17 <> 0 AS active FROM part WHERE p_partkey % 11 <> 0),
-    towns AS (SELECT CASE WHEN p_partkey % 10 = 3 THEN 'b3' WHEN p_partkey % 10 = 4 THEN 'b4' ELSE 'a' || p_partkey % 10 END AS area, CASE WHEN p_partkey % 19 = 0 THEN 'n' || p_partkey ELSE 'c' || p_partkey END AS code,
+    towns AS (SELECT CASE WHEN p_partkey % 10 = 3 THEN 'b3' WHEN p_partkey % 10 = 4 THEN 'b' || (4 + p_partkey % 20 // 10) ELSE 'a' || p_partkey % 10 END AS area, CASE WHEN p_partkey % 19 = 0 THEN 'n' || p_partkey ELSE 'c' || p_partkey END AS code,
                      CASE WHEN p_partkey % 23 = 0 THEN p_name || '*' ELSE p_name END AS name FROM part WHERE p_partkey % 29 <> 0),
     live AS (SELECT * FROM ledger WHERE active),
     vanished AS (SELECT * FROM live l WHERE NOT EXISTS (SELECT 1 FROM towns t WHERE t.area = l.area AND t.code = l.code)),
-    olds AS (SELECT area, name, count(*) AS olds, min(entity_id) AS corrected FROM vanished GROUP BY ALL),
-    moved AS (SELECT 'b3' AS area, code, count(*) AS moves, min(entity_id) AS recoded FROM vanished WHERE area = 'a3' GROUP BY code),
-    away AS (SELECT code, name, min(entity_id) AS elsewhere FROM vanished GROUP BY ALL),
-    fresh AS (SELECT t.*, count(*) OVER (PARTITION BY area, name) AS news FROM towns t WHERE NOT EXISTS (SELECT 1 FROM live l WHERE t.area = l.area AND t.code = l.code)),
-    j AS (SELECT f.*, olds, corrected, moves, recoded, elsewhere, EXISTS (SELECT 1 FROM ledger g WHERE NOT active AND g.area = f.area AND g.code = f.code) AS retired
-          FROM fresh f LEFT JOIN olds ON f.area = olds.area AND f.name = olds.name LEFT JOIN moved ON f.area = moved.area AND f.code = moved.code LEFT JOIN away ON f.code = away.code AND f.name = away.name)
+    fresh AS (SELECT * FROM towns t WHERE NOT EXISTS (SELECT 1 FROM live l WHERE t.area = l.area AND t.code = l.code)),
+    recoded AS (SELECT entity_id, r.new_area AS area, code, name FROM vanished v JOIN (VALUES ('a3', 'b3'), ('a4', 'b4'), ('a4', 'b5')) r(old_area, new_area) ON v.area = r.old_area),
+    claims AS (SELECT f.area, f.code, v.entity_id, 'I2' AS by_rule FROM fresh f JOIN vanished v ON f.area = v.area AND f.name = v.name
+               UNION SELECT f.area, f.code, r.entity_id, 'I3' FROM fresh f JOIN recoded r ON f.area = r.area AND f.code = r.code AND f.name = r.name),
+    claimed AS (SELECT entity_id, count(DISTINCT (area, code)) AS claimants FROM claims GROUP BY entity_id),
+    of_town AS (SELECT area, code, count(DISTINCT entity_id) AS claims, max(claimants) AS claimants, min(entity_id) AS claim, min(by_rule) AS by_rule FROM claims JOIN claimed USING (entity_id) GROUP BY area, code),
+    j AS (SELECT f.*, claim, by_rule, claims IS NOT NULL AS claiming, coalesce(claims = 1 AND claimants = 1, false) AS settled, (SELECT count(*) FROM ledger g WHERE NOT active AND g.area = f.area AND g.code = f.code) AS retired,
+                 EXISTS (SELECT 1 FROM recoded r WHERE r.area = f.area AND r.code = f.code) AS renamed, EXISTS (SELECT 1 FROM vanished v WHERE v.code = f.code AND v.name = f.name) AS elsewhere FROM fresh f LEFT JOIN of_town o ON f.area = o.area AND f.code = o.code)
 """
 
 
@@ -64,18 +66,31 @@ def _ledger(spark, d):
     p, k = table(spark, d, "part"), F.col("p_partkey")
     area = F.concat(F.lit("a"), (k % 10).cast("string"))
     ledger = p.filter(k % 11 != 0).select(F.concat(F.lit("id"), k.cast("string")).alias("entity_id"), area.alias("area"), F.concat(F.lit("c"), k.cast("string")).alias("code"), F.col("p_name").alias("name"), (k % 17 != 0).alias("active"))
-    towns = p.filter(k % 29 != 0).select(F.when(k % 10 == 3, "b3").when(k % 10 == 4, "b4").otherwise(area).alias("area"), F.concat(F.when(k % 19 == 0, "n").otherwise("c"), k.cast("string")).alias("code"), F.when(k % 23 == 0, F.concat("p_name", F.lit("*"))).otherwise(F.col("p_name")).alias("name"))
+    towns = p.filter(k % 29 != 0).select(F.when(k % 10 == 3, "b3").when(k % 20 == 4, "b4").when(k % 20 == 14, "b5").otherwise(area).alias("area"), F.concat(F.when(k % 19 == 0, "n").otherwise("c"), k.cast("string")).alias("code"), F.when(k % 23 == 0, F.concat("p_name", F.lit("*"))).otherwise(F.col("p_name")).alias("name"))
     return towns, ledger
 
 
 @register(QUERIES, SQL, f"""WITH {_ID}
     SELECT t.area, t.code, t.name, l.entity_id, CASE WHEN l.name = t.name THEN 'I1' ELSE 'I4' END AS rule, CAST(NULL AS VARCHAR) AS review FROM towns t JOIN live l ON t.area = l.area AND t.code = l.code
-    UNION ALL SELECT area, code, name, CASE WHEN olds = 1 AND news = 1 THEN corrected WHEN moves = 1 THEN recoded ELSE 'tsr1' || substr(sha256(concat_ws(chr(31), area, code, CASE WHEN retired THEN 'again' ELSE 'first' END)), 1, 16) END,
-        CASE WHEN olds = 1 AND news = 1 THEN 'I2' WHEN moves = 1 THEN 'I3' WHEN retired THEN 'I6' ELSE 'I5' END,
-        CASE WHEN (olds = 1 AND news = 1) OR moves = 1 THEN NULL WHEN olds IS NOT NULL THEN 'I2_ambiguous' WHEN retired THEN 'I6_reinstatement_candidate' WHEN elsewhere IS NOT NULL THEN 'I3_unattested' END FROM j""")
+    UNION ALL SELECT area, code, name, CASE WHEN settled THEN claim ELSE 'tsr1' || substr(sha256(concat_ws(chr(31), area, code, CASE WHEN retired > 0 THEN 'again' || retired ELSE 'first' END)), 1, 16) END,
+        CASE WHEN settled THEN by_rule WHEN retired > 0 THEN 'I6' ELSE 'I5' END,
+        CASE WHEN settled THEN NULL WHEN claiming THEN by_rule || '_ambiguous' WHEN retired > 0 THEN 'I6_reinstatement_candidate' WHEN renamed THEN 'I3_renamed' WHEN elsewhere THEN 'I3_unattested' END FROM j""")
 def identity_resolve(spark, d):
+    """One area is recoded to another, one is split in two; both by attestation."""
     towns, ledger = _ledger(spark, d)
-    return versioning.resolve_identity(towns, ledger, spark.createDataFrame([("a3", "b3")], "old_area string, new_area string"))
+    out = versioning.resolve_identity(towns, ledger, spark.createDataFrame([("a3", "b3"), ("a4", "b4"), ("a4", "b5")], "old_area string, new_area string"))
+    versioning.check_identity(out)
+    return out
+
+
+@register(QUERIES, SQL, f"""WITH {_ID}, rows_ AS (
+        SELECT l.entity_id, CASE WHEN l.name <> t.name THEN 'renamed' END AS relation_type, l.area AS old_area, l.code AS old_code, l.name AS old_name, t.area, t.code, t.name FROM live l JOIN towns t ON t.area = l.area AND t.code = l.code
+        UNION ALL SELECT v.entity_id, CASE j.by_rule WHEN 'I2' THEN 'code_corrected' WHEN 'I3' THEN 'municipality_recoded' ELSE 'retired' END, v.area, v.code, v.name, j.area, j.code, j.name FROM vanished v LEFT JOIN j ON j.settled AND j.claim = v.entity_id)
+    SELECT * FROM rows_ WHERE relation_type IS NOT NULL""")
+def identity_lineage(spark, d):
+    towns, ledger = _ledger(spark, d)
+    out = versioning.resolve_identity(towns, ledger, spark.createDataFrame([("a3", "b3"), ("a4", "b4"), ("a4", "b5")], "old_area string, new_area string"))
+    return versioning.identity_lineage(ledger, out)
 
 
 _ORD = """

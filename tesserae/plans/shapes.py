@@ -80,13 +80,14 @@ def mesh6_code(spark, d):
 
 
 @register(QUERIES, SQL, """
-    WITH runs AS (SELECT p_partkey * 50 AS start, 10 + p_size % 30 AS len, p_partkey % 4 AS k FROM part WHERE p_partkey < 500),
-    codes AS (SELECT DISTINCT o_orderkey * 3 % 30000 AS code FROM orders)
+    WITH runs AS (SELECT p_partkey * 50 AS start, 10 + p_size % 30 AS len, p_partkey % 4 AS k FROM part),
+    codes AS (SELECT DISTINCT o_orderkey * 3 AS code FROM orders)
     SELECT code, CASE WHEN k IS NULL THEN 'none' WHEN k = 1 THEN 'ambiguous' WHEN k = 2 THEN 'unknown' ELSE 'contains' END AS kind
     FROM codes LEFT JOIN runs ON code >= start AND code < start + len""")
 def mesh_run_lookup(spark, d):
-    runs = table(spark, d, "part").filter("p_partkey < 500").selectExpr("p_partkey * 50 AS start", "cast(10 + p_size % 30 AS long) AS len", "CASE p_partkey % 4 WHEN 1 THEN array(1, 2) WHEN 2 THEN array(65535) ELSE array(7) END AS ids")
-    codes = table(spark, d, "orders").selectExpr("o_orderkey * 3 % 30000 AS code").distinct()
+    """A run for each part, a code for each order."""
+    runs = table(spark, d, "part").selectExpr("p_partkey * 50 AS start", "cast(10 + p_size % 30 AS long) AS len", "CASE p_partkey % 4 WHEN 1 THEN array(1, 2) WHEN 2 THEN array(65535) ELSE array(7) END AS ids")
+    codes = table(spark, d, "orders").selectExpr("o_orderkey * 3 AS code").distinct()
     return mesh.run_lookup(codes, runs, 1000).select("code", "kind")
 
 
