@@ -3,42 +3,25 @@
 from __future__ import annotations
 
 import re
-import tempfile
 from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..durable import durable, shared_folder  # noqa: F401 (shared_folder is for the operators)
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the input tables, read by Spark alone so that any store works."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share: the session's ``spark.checkpoint.dir``. Where none is set, one is made for a
-    local master; on a cluster that is an error, as no folder of one machine would do."""
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if folder is None and not context.master.startswith("local"):
-            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
-        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="checkpoint-"))
-    return context.getCheckpointDir()
-
-
 def remove_folder(spark: SparkSession, folder: str) -> None:
     """Delete a folder through the file system that Spark itself uses for it."""
     place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
     place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
 
 
-def durable(df: DataFrame) -> DataFrame:
-    """Cut lineage with a checkpoint in the shared folder."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint()
-
-
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
