@@ -17,15 +17,16 @@ from pyspark.sql import functions as F
 
 from ._common import durable, named
 
-#: A segment's bits: the default, the least and the most.
-BITS, BITS_LEAST, BITS_MOST = 16, 8, 20
+#: A segment's bits: the default, which is the least that ``segment_bits`` chooses, and the most.
+BITS, BITS_MOST = 16, 20
 #: Parts that a query's candidates are ranked in before they meet.
 SLICES = 16
 
 
 def segment_bits(codes: int) -> int:
-    """The width at which a bucket of the index holds about one of ``codes`` codes, had they no pattern."""
-    return min(BITS_MOST, max(BITS_LEAST, round(math.log2(max(2, codes)))))
+    """The width at which a bucket of the index holds about one of ``codes`` codes, had they no pattern, from 16 bits on: below that, a narrower
+    segment would save probes in small tables only to add them, faster than the rows, in larger ones."""
+    return min(BITS_MOST, max(BITS, round(math.log2(max(2, codes)))))
 
 
 def _finite(vector: Column) -> Column:

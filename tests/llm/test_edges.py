@@ -166,7 +166,7 @@ def test_the_order_is_the_one_that_brute_force_realises(spark):
 
 
 def test_segments_follow_the_number_of_codes(spark, sf_dir):
-    assert [topk.segment_bits(n) for n in (0, 1, 500, 50_000, 10**6, 10**9)] == [8, 8, 9, 16, 20, 20]
+    assert [topk.segment_bits(n) for n in (0, 1, 500, 50_000, 300_000, 10**6, 10**9)] == [16, 16, 16, 16, 18, 20, 20]
     vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
     found = []
     for width in (8, 13, 20):
