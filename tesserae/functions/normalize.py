@@ -53,12 +53,19 @@ def conservative(name: str | None) -> str:
 
 
 @F.pandas_udf(StringType())
-def normalize_conservative(names: pd.Series) -> pd.Series:
-    """NULL becomes empty. Each distinct name of a batch is normalised once."""
+def _conservative(names: pd.Series) -> pd.Series:
+    """Each distinct name of a batch is normalised once."""
     names = names.fillna("")
     return names.map({n: conservative(n) for n in names.unique()})
 
 
+def normalize_conservative(name: Column) -> Column:
+    """NULL becomes empty. Of an ASCII name only white space can go, so it stays in the JVM; only the others are sent to Python."""
+    plain = F.length(name) == F.octet_length(name)
+    bare = F.regexp_replace(name, r"[\x09-\x0D\x1C-\x20]+", "")
+    return F.when(name.isNull(), "").when(plain, bare).otherwise(_conservative(F.when(~plain, name)))
+
+
 def normalize_relaxed(name: Column) -> Column:
     """Conservative, without one leading 大字 or 字."""
     return F.regexp_replace(normalize_conservative(name), "^(大字|字)", "")

@@ -161,3 +161,9 @@ def reconcile(left: DataFrame, right: DataFrame, facts: dict[str, DataFrame]) ->
         .otherwise("left_only")
     )
     return both.select("code", on("in_left").alias("in_left"), on("in_right").alias("in_right"), status.alias("status"))
+
+
+def station_lines(features: DataFrame) -> DataFrame:
+    """(station, line, operator, n_features, name_variants, name): which lines a station is on, from its features (station, line, operator, name). A station has a
+    row for each line and operator; the least name is told, and how many there are."""
+    return features.groupBy("station", "line", "operator").agg(F.count("*").alias("n_features"), F.countDistinct("name").alias("name_variants"), F.min("name").alias("name"))

@@ -112,6 +112,31 @@ def bridge_diff(current: DataFrame, previous: DataFrame, key: str, watched: tupl
     return j.agg(F.count_if(F.col("was").isNull()).alias("added"), F.count_if(F.col("here").isNull()).alias("removed"), *[F.count_if(F.col(f"{c}_0") != F.col(f"{c}_1")).alias(f"{c}_changed") for c in watched])
 
 
+def release_diff(current: dict[str, DataFrame], previous: dict[str, DataFrame] | None, keys: dict[str, str], entity: str, explained: DataFrame, name: str, code: str) -> dict:
+    """The differences of a release, for ``write_diff``. Without a previous release, a baseline record: the tables and their rows. Entities (table ``entity``) are compared
+    by names and codes, tables called ``bridge_...`` by their watched columns, others by keys; a table that one side lacks is told. Removals are not judged here (``check_removals``)."""
+    if previous is None:
+        return {"baseline": True, "tables": {t: df.count() for t, df in sorted(current.items())}}
+    out = {"baseline": False, "tables_added": sorted(set(current) - set(previous)), "tables_removed": sorted(set(previous) - set(current))}
+    for t in sorted(set(current) & set(previous)):
+        a, b = current[t], previous[t]
+        if t == entity:
+            out[t] = entity_diff(a, b, explained, keys[t], name, code).first().asDict()
+        elif t.startswith("bridge_"):
+            watched = tuple(c for c in ("relation_type", "confidence", "verification_status") if c in a.columns and c in b.columns)
+            out[t] = bridge_diff(a, b, keys[t], watched).first().asDict()
+        else:
+            out[t] = diff_keys(a, b, keys[t])
+    return out
+
+
+def metrics_delta(now: DataFrame, before: DataFrame) -> DataFrame:
+    """(metric, value, previous, change, pct_change) of metrics (metric, value) of two releases; a metric that one lacks has NULLs there."""
+    j = now.join(before.select("metric", F.col("value").alias("previous")), "metric", "full_outer")
+    change = F.col("value") - F.col("previous")
+    return j.select("metric", "value", "previous", change.alias("change"), F.round(F.try_divide(change * 100.0, F.col("previous")), 2).alias("pct_change"))
+
+
 def check_removals(diff: DataFrame) -> None:
     """Unexplained removals tolerate none."""
     lost = diff.first()["unexplained"]

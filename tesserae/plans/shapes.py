@@ -91,6 +91,38 @@ def mesh_run_lookup(spark, d):
     return mesh.run_lookup(codes, runs, 1000).select("code", "kind")
 
 
+_SLANTED = "(5 + 20 * n_nationkey % 140)"
+
+
+@register(QUERIES, SQL, f"""
+    WITH shapes AS (SELECT n_nationkey AS shape_id, CAST(600 * n_nationkey AS DOUBLE) AS cx, CAST({_SLANTED} AS DOUBLE) AS half FROM nation),
+    corners AS (  -- a kite with a slanted hole: each edge from (ax, ay) to (bx, by)
+        SELECT shape_id, unnest([cx, cx + 2500, cx + 300, cx - 900, cx, cx + 700, cx + 100]) AS ax, unnest([25 - half / 10, 25, 25 + half / 7, 24, 25 - half / 30, 25.5, 25 + half / 40]) AS ay,
+               unnest([cx + 2500, cx + 300, cx - 900, cx, cx + 700, cx + 100, cx]) AS bx, unnest([25, 25 + half / 7, 24, 25 - half / 10, 25.5, 25 + half / 40, 25 - half / 30]) AS by FROM shapes),
+    points AS (SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_extendedprice AS x, l_quantity + l_discount AS y FROM lineitem)
+    SELECT shape_id, count(*) AS n_points, CAST(sum(l_linenumber) AS BIGINT) AS n_lines FROM (
+        SELECT p.l_orderkey, p.l_partkey, p.l_suppkey, p.l_linenumber, c.shape_id FROM points p JOIN corners c ON (c.ay > p.y) <> (c.by > p.y) AND p.x < c.ax + (p.y - c.ay) * (c.bx - c.ax) / nullif(c.by - c.ay, 0)
+        GROUP BY ALL HAVING count(*) % 2 = 1) GROUP BY shape_id""")
+def slanted_shapes(spark, d):
+    """Points in kites with slanted holes."""
+    n = table(spark, d, "nation").select(F.col("n_nationkey").alias("shape_id"), (F.lit(600.0) * F.col("n_nationkey")).alias("cx"), (5 + 20 * F.col("n_nationkey") % 140).cast("double").alias("half"))
+    at = lambda dx, y: F.struct((F.col("cx") + float(dx)).alias("x"), y.cast("double").alias("y"))
+    half = F.col("half")
+    kite = F.array(at(0, 25 - half / 10), at(2500, F.lit(25.0)), at(300, 25 + half / 7), at(-900, F.lit(24.0)))
+    hole = F.array(at(0, 25 - half / 30), at(700, F.lit(25.5)), at(100, 25 + half / 40))
+    shapes = n.select("shape_id", F.col("shape_id").cast("string").alias("code"), F.array(kite, hole).alias("rings"))
+    points = table(spark, d, "lineitem").select("l_linenumber", F.col("l_extendedprice").alias("x"), (F.col("l_quantity") + F.col("l_discount")).alias("y"))
+    hits = spatial.containment_join(points, shapes, (500.0, 2.0))
+    return hits.groupBy(F.col("code").cast("int").alias("shape_id")).agg(F.count("*").alias("n_points"), F.sum("l_linenumber").alias("n_lines"))
+
+
+@register(QUERIES, SQL, """SELECT station, line, operator, count(*) AS n_features, count(DISTINCT name) AS name_variants, min(name) AS name FROM (
+    SELECT l_suppkey AS station, l_partkey % 20 AS line, l_linenumber AS operator, l_shipdate::DATE::VARCHAR AS name FROM lineitem) f GROUP BY station, line, operator""")
+def station_lines(spark, d):
+    features = table(spark, d, "lineitem").select(F.col("l_suppkey").alias("station"), (F.col("l_partkey") % 20).alias("line"), F.col("l_linenumber").alias("operator"), F.col("l_shipdate").cast("date").cast("string").alias("name"))
+    return B.station_lines(features)
+
+
 @register(QUERIES, SQL)
 def normalize_text(spark, d):
     docs = table(spark, d, "documents")
