@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import mesh, normalize
 from ..operators import bridges as B
 from ..operators import spatial
+from .inputs import SQL as INPUTS
 from .inputs import current_codes, register, squares, successor_codes, table
 
 QUERIES: dict = {}
@@ -43,17 +44,46 @@ def point_on_line(spark, d):
     return spatial.point_on_line(_lines(spark, d)).select("id", F.round("x", 3).alias("x"), F.round("y", 3).alias("y"))
 
 
-@register(QUERIES, SQL)
+_WIDE = f"""{INPUTS},
+    e AS (SELECT user_id AS id, ts, event_id, (epoch(date_trunc('second', ts)) - 1704067200) / CAST(10000 AS DOUBLE) * 150 AS x, value / 4 AS y FROM events),
+    f AS (SELECT id, first(x ORDER BY ts, event_id) AS fx, first(y ORDER BY ts, event_id) AS fy FROM e GROUP BY id),
+    seg AS (SELECT *, sqrt((qx - x) * (qx - x) + (qy - y) * (qy - y)) AS len FROM (
+        SELECT id, ts, event_id, x, y, lead(x) OVER w AS qx, lead(y) OVER w AS qy FROM e WINDOW w AS (PARTITION BY id ORDER BY ts, event_id)) WHERE qx IS NOT NULL)"""
+_INSIDE = "{0}.x >= b.x0 AND {0}.x < b.x1 AND {0}.y >= 0 AND {0}.y < 40"
+
+
+def _wide(spark, d):
+    """Lines scaled into the polygons' plane."""
+    return _lines(spark, d).select("id", F.transform("parts", lambda p: F.transform(p, lambda q: F.struct((q["x"] * 150).alias("x"), (q["y"] / 4).alias("y")))).alias("parts"))
+
+
+@register(QUERIES, SQL, f"""WITH {_WIDE},
+    centre AS (SELECT f.id, coalesce(sum((seg.x + qx) / 2 * len) / nullif(sum(len), 0), any_value(fx)) AS x, coalesce(sum((seg.y + qy) / 2 * len) / nullif(sum(len), 0), any_value(fy)) AS y FROM f LEFT JOIN seg ON f.id = seg.id GROUP BY f.id),
+    walked AS (SELECT *, sum(len) OVER (PARTITION BY id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS upto, sum(len) OVER (PARTITION BY id) AS total FROM seg),
+    got AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY ts, event_id) AS n FROM walked WHERE total > 0 AND upto >= total / 2),
+    half AS (SELECT f.id, coalesce(g.x + (g.qx - g.x) * (g.total / 2 - (g.upto - g.len)) / nullif(g.len, 0), fx) AS x, coalesce(g.y + (g.qy - g.y) * (g.total / 2 - (g.upto - g.len)) / nullif(g.len, 0), fy) AS y FROM f LEFT JOIN got g ON f.id = g.id AND g.n = 1),
+    by_centre AS (SELECT c.id, b.code, 'centroid' AS placed FROM centre c JOIN boxes b ON {_INSIDE.format('c')}),
+    placed AS (SELECT * FROM by_centre UNION ALL SELECT h.id, b.code, 'point_on_line' FROM half h JOIN boxes b ON {_INSIDE.format('h')} WHERE h.id NOT IN (SELECT id FROM by_centre)),
+    r AS (SELECT f.id, p.placed, m.code, m.lg_code, coalesce(m.via, false) AS via, CASE WHEN m.code IS NULL THEN 0 ELSE count(*) OVER (PARTITION BY f.id) END AS n FROM f LEFT JOIN placed p ON f.id = p.id LEFT JOIN meant m ON p.code = m.code)
+    SELECT id, placed AS placement_point, lg_code, code AS boundary_code, n AS candidate_count, CASE WHEN code IS NULL THEN 'unresolved' WHEN n = 1 THEN 'contains' ELSE 'ambiguous' END AS relation_type,
+           CASE WHEN code IS NULL THEN 'unresolved' WHEN via THEN 'spatial_containment_via_lineage' ELSE 'spatial_containment' END AS match_method, CASE WHEN code IS NULL THEN CAST(0 AS DOUBLE) ELSE CAST(1 AS DOUBLE) END AS confidence,
+           CAST(CASE WHEN n = 1 THEN 1 ELSE 0 END AS BIGINT) AS is_unique_match, CASE WHEN n = 1 AND lg_code IS NOT NULL THEN 'auto' ELSE 'review_required' END AS verification_status,
+           CASE WHEN code IS NULL THEN 'in no polygon; not assigned to the nearest one' WHEN via AND lg_code IS NOT NULL AND n <> 1 THEN 'code ' || code || ' was split; ' || lg_code || ' is one of its successors'
+                WHEN lg_code IS NULL THEN 'code ' || code || ' has no current counterpart' WHEN n <> 1 THEN 'in several polygons; all candidates are kept' END AS mismatch_note FROM r""")
 def station_bridge(spark, d):
-    """Lines scaled into the polygons' plane, placed by centroid or halfway point."""
-    wide = _lines(spark, d).select("id", F.transform("parts", lambda p: F.transform(p, lambda q: F.struct((q["x"] * 150).alias("x"), (q["y"] / 4).alias("y")))).alias("parts"))
-    return B.station_bridge(wide, squares(spark, d), current_codes(spark, d), successor_codes(spark, d), cell=(2500.0, 20.0))
+    """Lines placed by centroid or halfway point."""
+    return B.station_bridge(_wide(spark, d), squares(spark, d), current_codes(spark, d), successor_codes(spark, d), cell=(2500.0, 20.0))
 
 
-@register(QUERIES, SQL)
+@register(QUERIES, SQL, f"""WITH {_WIDE},
+    cut AS (SELECT *, greatest(1, CAST(ceil(len / 500) AS INTEGER)) AS n FROM seg), steps AS (SELECT *, unnest(range(0, n + 1)) AS k FROM cut),
+    samples AS (SELECT id, x + (qx - x) * (k / CAST(n AS DOUBLE)) AS x, y + (qy - y) * (k / CAST(n AS DOUBLE)) AS y FROM steps),
+    touched AS (SELECT s.id, b.code, count(*) AS sample_hits FROM samples s JOIN boxes b ON {_INSIDE.format('s')} GROUP BY s.id, b.code),
+    r AS (SELECT t.id, t.code, sample_hits, m.lg_code, m.via, count(*) OVER (PARTITION BY t.id) AS municipality_count FROM touched t JOIN (SELECT DISTINCT code, lg_code, via FROM meant) m ON t.code = m.code)
+    SELECT id, code AS boundary_code, sample_hits, lg_code, municipality_count, 'overlap' AS relation_type, CASE WHEN via THEN 'spatial_sampling_via_lineage' ELSE 'spatial_sampling' END AS match_method,
+           CASE WHEN lg_code IS NULL THEN 'review_required' ELSE 'auto' END AS verification_status, CASE WHEN lg_code IS NULL THEN 'code ' || code || ' has no current counterpart' END AS mismatch_note FROM r""")
 def line_bridge(spark, d):
-    wide = _lines(spark, d).select("id", F.transform("parts", lambda p: F.transform(p, lambda q: F.struct((q["x"] * 150).alias("x"), (q["y"] / 4).alias("y")))).alias("parts"))
-    return B.line_bridge(wide, squares(spark, d), current_codes(spark, d), successor_codes(spark, d), spacing=500.0, cell=(2500.0, 20.0))
+    return B.line_bridge(_wide(spark, d), squares(spark, d), current_codes(spark, d), successor_codes(spark, d), spacing=500.0, cell=(2500.0, 20.0))
 
 
 _LAT, _LNG = "(20 + (c_custkey % 2500) / CAST(100 AS DOUBLE))", "(122 + (c_custkey * 7 % 3100) / CAST(100 AS DOUBLE))"
