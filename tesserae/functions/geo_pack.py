@@ -5,6 +5,7 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 UNITS = 1_000_000
 
@@ -116,3 +117,22 @@ def pack_chunks(pieces: DataFrame) -> DataFrame:
         return pd.DataFrame({"chunk": [frame["chunk"].iloc[0]], "data": [pack_cells(cells, origin)]})
 
     return pieces.groupBy("chunk").applyInPandas(pack, "chunk string, data binary")
+
+
+def unpack_chunks(chunks: DataFrame) -> DataFrame:
+    """(chunk, code, unit, piece, ring, points): the rings of packed chunks (chunk, ox, oy, data); pieces are counted in their cell, rings in their piece, from 0."""
+
+    def unpack(frames):
+        for frame in frames:
+            for chunk, ox, oy, data in zip(frame["chunk"], frame["ox"], frame["oy"], frame["data"], strict=True):
+                cells = unpack_cells(bytes(data), (ox, oy))
+                rows = [(chunk, code, unit, n, k, [{"x": x, "y": y} for x, y in ring]) for code, pieces in cells for n, (unit, rings) in enumerate(pieces) for k, ring in enumerate(rings)]
+                yield pd.DataFrame(rows, columns=["chunk", "code", "unit", "piece", "ring", "points"])
+
+    return chunks.select("chunk", "ox", "oy", "data").mapInPandas(unpack, "chunk string, code long, unit long, piece int, ring int, points array<struct<x:double,y:double>>")
+
+
+def chunk_scripts(chunks: DataFrame, kind: str, call: str = "chunks.put") -> DataFrame:
+    """(chunk, script): a chunk (chunk, data) as a line of script that hands its bytes, in base64, to ``call``, so that a page can load it from a file."""
+    body = F.regexp_replace(F.base64("data"), r"\s", "")
+    return chunks.select("chunk", F.concat(F.lit(f'{call}("{kind}","'), "chunk", F.lit('","'), body, F.lit('");\n')).alias("script"))

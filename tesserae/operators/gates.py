@@ -130,6 +130,87 @@ def release_diff(current: dict[str, DataFrame], previous: dict[str, DataFrame] |
     return out
 
 
+# Relations and states of a bridge that are counted, and the thresholds of the release-blocking measures (warning from, failure from; both exclusive).
+RELATIONS = ("exact", "equivalent", "parent", "child", "overlap", "ambiguous", "unresolved")
+STATES = ("auto", "review_required", "manually_verified", "manually_rejected")
+THRESHOLDS = {
+    "source_rows_pct": (1.0, 5.0), "town_count_pct": (2.0, 2.0), "duplicate_keys": (0.0, 0.0), "required_source_missing": (0.0, 0.0), "unresolved_rise": (1.0, 3.0),
+    "ambiguous_rise": (1.0, 3.0), "exact_fall": (1.0, 3.0), "exact_rise": (1.0, 5.0), "removed_unexplained": (0.0, 0.0), "retired_pct": (2.0, 2.0), "invariant_failures": (0.0, 0.0),
+}
+
+
+def bridge_measures(bridge: DataFrame, name: str) -> DataFrame:
+    """One row: (bridge, n_rows, a count for each relation and state, candidate_count, the shares exact_pct, ambiguous_pct and unresolved_pct of all rows). NULL shares without rows."""
+    n = F.count("*")
+    counts = [F.count_if(F.col("relation_type") == r).alias(f"{r}_count") for r in RELATIONS] + [F.count_if(F.col("verification_status") == s).alias(f"{s}_count") for s in STATES]
+    shares = [F.try_divide(F.count_if(F.col("relation_type") == r) * F.lit(100.0), n).alias(f"{r}_pct") for r in ("exact", "ambiguous", "unresolved")]
+    return bridge.agg(n.alias("n_rows"), *counts, F.coalesce(F.sum(F.col("candidate_count").cast("long")), F.lit(0)).alias("candidate_count"), *shares).select(F.lit(name).alias("bridge"), "*")
+
+
+def bridge_distributions(bridge: DataFrame, columns: tuple[str, ...] = ("relation_type", "match_method", "matching_rule_id", "verification_status"), confidence: str = "confidence") -> DataFrame:
+    """(measure, value, n): rows by each column's values and by tenths of the confidence, in one pass; NULL is a value."""
+    tenth = F.when(F.col(confidence).isNull(), None).otherwise(F.format_string("%.1f", F.least(F.lit(0.9), F.floor(F.col(confidence) * 10) / 10)))
+    pairs = F.array(*[F.struct(F.lit(c).alias("measure"), F.col(c).cast("string").alias("value")) for c in columns if c in bridge.columns], F.struct(F.lit(confidence).alias("measure"), tenth.alias("value")))
+    return bridge.select(F.explode(pairs).alias("p")).groupBy("p.measure", "p.value").agg(F.count("*").alias("n"))
+
+
+def source_measures(df: DataFrame, name: str, key: list[str]) -> DataFrame:
+    """One row: (source, n_rows, n_keys, n_duplicates, nulls of each column as a map). A row whose key holds a NULL counts as a row, with that key."""
+    columns = [c for c in df.columns if c not in key]
+    per_key = df.groupBy(*key).agg(F.count("*").alias("the rows"), *[F.count_if(F.col(f"`{c}`").isNull()).alias(f"{c} nulls") for c in columns])
+    nulls = [x for c in key for x in (F.lit(c), F.sum(F.when(F.col(f"`{c}`").isNull(), F.col("the rows")).otherwise(0)))] + [x for c in columns for x in (F.lit(c), F.sum(f"`{c} nulls`"))]
+    total = F.coalesce(F.sum("the rows"), F.lit(0))
+    return per_key.agg(total.alias("n_rows"), F.count("*").alias("n_keys"), (total - F.count("*")).alias("n_duplicates"), F.create_map(*nulls).alias("nulls")).select(F.lit(name).alias("source"), "*")
+
+
+def release_measures(now: dict[str, DataFrame], before: dict[str, DataFrame], required: list[str], invariant_failures: int = 0) -> DataFrame:
+    """(metric, subject, value) of the release-blocking measures.
+
+    Both releases hold ``sources`` (source, n_rows, n_duplicates), ``bridges`` (bridge, rule_version, exact_pct, ambiguous_pct, unresolved_pct) and ``towns`` (id); ``now`` also
+    holds ``explained`` (id): the towns whose removal has evidence. A source or bridge that one release lacks has no change; a rise of the exact share counts only
+    under the same rule version.
+    """
+    spark = now["sources"].sparkSession
+    named = lambda df, metric, subject, value: df.select(F.lit(metric).alias("metric"), F.col(subject).cast("string").alias("subject"), value.cast("double").alias("value"))
+    pct = lambda new, old: F.try_divide((new - old) * F.lit(100.0), old)
+    sources = now["sources"].join(before["sources"].select("source", F.col("n_rows").alias("was")), "source", "left")
+    out = [named(sources.filter("was IS NOT NULL"), "source_rows_pct", "source", F.coalesce(F.abs(pct(F.col("n_rows"), F.col("was"))), F.when(F.col("n_rows") > 0, 100.0).otherwise(0.0)))]
+    out.append(named(sources, "duplicate_keys", "source", F.col("n_duplicates")))
+    wanted = spark.createDataFrame([(s,) for s in required], "source string")
+    there = now["sources"].select("source", F.lit(0).alias("absent")).distinct()
+    out.append(named(wanted.join(there, "source", "left"), "required_source_missing", "source", F.coalesce("absent", F.lit(1))))
+    shares = ["exact_pct", "ambiguous_pct", "unresolved_pct"]
+    bridges = now["bridges"].join(before["bridges"].select("bridge", F.col("rule_version").alias("version_was"), *[F.col(c).alias(f"{c}_was") for c in shares]), "bridge")
+    rise = lambda c: F.col(f"{c}_pct") - F.col(f"{c}_pct_was")
+    out += [named(bridges, "unresolved_rise", "bridge", rise("unresolved")), named(bridges, "ambiguous_rise", "bridge", rise("ambiguous")), named(bridges, "exact_fall", "bridge", -rise("exact"))]
+    out.append(named(bridges.filter(F.col("rule_version").eqNullSafe(F.col("version_was"))), "exact_rise", "bridge", rise("exact")))
+    a, b = now["towns"].select("id", F.lit(1).alias("here")).distinct(), before["towns"].select("id", F.lit(1).alias("was")).distinct()
+    both = a.join(b, "id", "full_outer").join(now["explained"].select("id", F.lit(1).alias("known")).distinct(), "id", "left")
+    lost = F.col("here").isNull()
+    towns = both.agg(F.count("here").alias("n"), F.count("was").alias("n_was"), F.count_if(lost & F.col("known").isNull()).alias("lost"), F.count_if(lost & F.col("known").isNotNull()).alias("retired")).withColumn("towns", F.lit("towns"))
+    out += [named(towns, "town_count_pct", "towns", F.coalesce(F.abs(pct(F.col("n"), F.col("n_was"))), F.lit(0.0))), named(towns, "removed_unexplained", "towns", F.col("lost"))]
+    out.append(named(towns, "retired_pct", "towns", F.coalesce(F.try_divide(F.col("retired") * F.lit(100.0), F.col("n_was")), F.lit(0.0))))
+    out.append(spark.createDataFrame([("invariant_failures", "all", float(invariant_failures))], "metric string, subject string, value double"))
+    return reduce(DataFrame.unionByName, out)
+
+
+def release_gates(measures: DataFrame, approved: DataFrame, versions: DataFrame, thresholds: dict[str, tuple[float, float]] = THRESHOLDS) -> DataFrame:
+    """(metric, subject, value, verdict): ``measures`` against the thresholds, each compared beyond its bound.
+
+    ``approved`` (subject, metric, old_version, new_version, expected, tolerance): moves that a person has approved, once: they hold only for the very rule versions that
+    ``versions`` (subject, old_version, new_version) has now. A NULL measure is ``unknown``; a measure without a threshold is an error.
+    """
+    spark = measures.sparkSession
+    limits = spark.createDataFrame([(k, float(w), float(f)) for k, (w, f) in thresholds.items()], "metric string, warn double, fail double")
+    moves = approved.join(versions, ["subject", "old_version", "new_version"], "left_semi").select("subject", "metric", "expected", "tolerance")
+    stop = F.raise_error(F.concat(F.lit("[VALIDATION_FAILED] no threshold for "), F.col("metric"))).cast("string")
+    j = measures.join(F.broadcast(limits), "metric", "left").join(moves, ["subject", "metric"], "left")
+    near = F.abs(F.col("value") - F.col("expected")) <= F.col("tolerance")
+    hit = F.coalesce(F.max(near.cast("int")), F.lit(0)) == 1
+    verdict = F.when(F.col("fail").isNull(), stop).when(F.col("value").isNull(), "unknown").when(F.col("ok"), "approved").when(F.col("value") > F.col("fail"), "fail").when(F.col("value") > F.col("warn"), "warn").otherwise("pass")
+    return j.groupBy("metric", "subject", "value", "warn", "fail").agg(hit.alias("ok")).select("metric", "subject", "value", verdict.alias("verdict"))
+
+
 def metrics_delta(now: DataFrame, before: DataFrame) -> DataFrame:
     """(metric, value, previous, change, pct_change) of metrics (metric, value) of two releases; a metric that one lacks has NULLs there."""
     j = now.join(before.select("metric", F.col("value").alias("previous")), "metric", "full_outer")

@@ -1,6 +1,7 @@
 """Readers of frozen payloads as DataFrames of text, with the row's place in its file.
 
 Files are listed and shipped by Spark (``binaryFile``); members are decoded on the executors, a file at a time. Codes stay text: nothing is inferred.
+In place of a path, each reader takes a DataFrame of payloads (path, content).
 """
 
 from __future__ import annotations
@@ -24,11 +25,12 @@ def _schema(columns: list[str]) -> str:
     return PLACE + "".join(f", `{c}` string" for c in columns)
 
 
-def _files(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.format("binaryFile").load(path).select("path", "content")
+def _files(spark: SparkSession, path: str | DataFrame) -> DataFrame:
+    files = path if isinstance(path, DataFrame) else spark.read.format("binaryFile").load(path)
+    return files.select("path", "content")
 
 
-def _decoded(spark: SparkSession, path: str, columns: list[str], rows_of) -> DataFrame:
+def _decoded(spark: SparkSession, path: str | DataFrame, columns: list[str], rows_of) -> DataFrame:
     """``rows_of(content)`` gives (member, rows as lists)."""
 
     def run(frames):
@@ -60,17 +62,17 @@ def _csv_rows(data: bytes, encoding: str, columns: list[str] | None, delimiter:
     return rows
 
 
-def zip_csv(spark: SparkSession, path: str, columns: list[str], encoding: str = "utf-8-sig", header: bool = True, delimiter: str = ",", limits: Limits = Limits()) -> DataFrame:
+def zip_csv(spark: SparkSession, path: str | DataFrame, columns: list[str], encoding: str = "utf-8-sig", header: bool = True, delimiter: str = ",", limits: Limits = Limits()) -> DataFrame:
     """CSV members of zip files. With ``header``, the first row must be ``columns``; without, each row must have as many fields."""
     return _decoded(spark, path, columns, lambda content: ((m, _csv_rows(d, encoding, columns if header else None, delimiter)) for m, d in read_members(content, ".csv", limits)))
 
 
-def plain_csv(spark: SparkSession, path: str, columns: list[str], encoding: str = "utf-8-sig", header: bool = True, delimiter: str = ",") -> DataFrame:
+def plain_csv(spark: SparkSession, path: str | DataFrame, columns: list[str], encoding: str = "utf-8-sig", header: bool = True, delimiter: str = ",") -> DataFrame:
     """CSV files in an encoding that the JVM's reader refuses (cp932 among them)."""
     return _decoded(spark, path, columns, lambda content: [("", _csv_rows(content, encoding, columns if header else None, delimiter))])
 
 
-def dbf(spark: SparkSession, path: str, columns: list[str], encoding: str = "cp932", limits: Limits = Limits()) -> DataFrame:
+def dbf(spark: SparkSession, path: str | DataFrame, columns: list[str], encoding: str = "cp932", limits: Limits = Limits()) -> DataFrame:
     """dBASE members of zip files (archives in archives included); ``columns`` are the ones to keep, by name."""
 
     def rows_of(content):
@@ -85,7 +87,7 @@ def dbf(spark: SparkSession, path: str, columns: list[str], encoding: str = "cp9
     return _decoded(spark, path, columns, rows_of)
 
 
-def shapes(spark: SparkSession, path: str, expect: int | None = None, limits: Limits = Limits()) -> DataFrame:
+def shapes(spark: SparkSession, path: str | DataFrame, expect: int | None = None, limits: Limits = Limits()) -> DataFrame:
     """(source_file, member, row_ordinal, x0, y0, x1, y1, parts): shapes of zip files; a null shape keeps its place, with NULLs."""
     schema = PLACE + ", x0 double, y0 double, x1 double, y1 double, parts array<array<struct<x:double,y:double>>>"
 
@@ -129,7 +131,7 @@ def table_rows(texts: DataFrame, columns: list[str]) -> DataFrame:
     return table.unionByName(none.select("source_file"), allowMissingColumns=True)
 
 
-def word_table(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
+def word_table(spark: SparkSession, path: str | DataFrame, columns: list[str]) -> DataFrame:
     """Rows of the table in Word 97 documents."""
 
     def run(frames):
@@ -157,7 +159,7 @@ def _sheet_rows(cells: list[list], width: int, notes: bool) -> list[list]:
     return [(r + [None] * width)[:width] for r in rows]
 
 
-def xlsx_table(spark: SparkSession, path: str, columns: list[str], first_row: int, sheet: int = 1, notes: bool = False) -> DataFrame:
+def xlsx_table(spark: SparkSession, path: str | DataFrame, columns: list[str], first_row: int, sheet: int = 1, notes: bool = False) -> DataFrame:
     """Rows of a worksheet from ``first_row`` (from 1) on, to its last one that is not blank; missing cells are NULL. A blank row inside, or a filled cell beyond
     the columns, is an error. ``notes``: footnotes, which fill the first cell only, may follow."""
 
@@ -168,7 +170,7 @@ def xlsx_table(spark: SparkSession, path: str, columns: list[str], first_row: in
     return _decoded(spark, path, columns, rows_of)
 
 
-def xls_table(spark: SparkSession, path: str, columns: list[str], first_row: int, sheet: str, notes: bool = False) -> DataFrame:
+def xls_table(spark: SparkSession, path: str | DataFrame, columns: list[str], first_row: int, sheet: str, notes: bool = False) -> DataFrame:
     """Rows of a named sheet of BIFF8 workbooks; as ``xlsx_table``."""
 
     def rows_of(content):
@@ -224,9 +226,9 @@ def ledger(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
     return spark.read.schema(", ".join(f"`{c}` string" for c in columns)).option("header", True).option("enforceSchema", False).option("mode", "FAILFAST").csv(path)
 
 
-def snapshots(spark: SparkSession, path: str, source: str, rows: DataFrame | None = None) -> DataFrame:
+def snapshots(spark: SparkSession, path: str | DataFrame, source: str, rows: DataFrame | None = None) -> DataFrame:
     """(source_snapshot_id, source, path, sha256, size[, row_count]): what was read, by content; sums of the files are taken by Spark."""
-    files = spark.read.format("binaryFile").load(path).select("path", F.sha2("content", 256).alias("sha256"), F.col("length").alias("size"))
+    files = _files(spark, path).select("path", F.sha2("content", 256).alias("sha256"), F.length("content").cast("long").alias("size"))
     out = files.select(F.concat(F.lit("snp_"), F.substring("sha256", 1, 16)).alias("source_snapshot_id"), F.lit(source).alias("source"), "path", "sha256", "size")
     if rows is None:
         return out
@@ -238,3 +240,11 @@ def fill_rates(df: DataFrame, by: str) -> DataFrame:
     columns = [c for c in df.columns if c != by]
     counts = df.groupBy(by).agg(F.count("*").alias("of"), *[F.count_if(F.trim(F.col(c)) != "").alias(c) for c in columns])
     return counts.unpivot([by, "of"], columns, "column", "filled").select(by, "column", "filled", "of")
+
+
+def key_coverage(df: DataFrame, key: str, parent: DataFrame, parent_key: str, by: str) -> DataFrame:
+    """(by, covered, of, pct): how many distinct keys of ``df`` the other table has; NULL keys are not counted."""
+    there = parent.select(F.col(parent_key).alias(key), F.lit(True).alias("there")).distinct()
+    keys = df.select(by, key).filter(F.col(key).isNotNull()).distinct().join(there, key, "left")
+    covered = F.count("there")
+    return keys.groupBy(by).agg(covered.alias("covered"), F.count("*").alias("of"), F.round(covered * 100.0 / F.count("*"), 2).alias("pct"))
