@@ -103,7 +103,7 @@ def read_dbf(spark, d):
     return readers.dbf(spark, files, ["BRAND", "KEY", "NAME"]).select("BRAND", "KEY", "NAME", "member")
 
 
-@register(QUERIES, SQL, """SELECT n_nationkey AS row_ordinal, n_nationkey * CAST(2000 AS DOUBLE) AS x0, CAST(0 AS DOUBLE) AS y0, n_nationkey * CAST(2000 AS DOUBLE) + 5000 AS x1, CAST(40 AS DOUBLE) AS y1, CAST(1 AS BIGINT) AS n_parts, CAST(4 AS BIGINT) AS n_points,
+@register(QUERIES, SQL, """SELECT CAST(n_nationkey AS BIGINT) AS row_ordinal, n_nationkey * CAST(2000 AS DOUBLE) AS x0, CAST(0 AS DOUBLE) AS y0, n_nationkey * CAST(2000 AS DOUBLE) + 5000 AS x1, CAST(40 AS DOUBLE) AS y1, CAST(1 AS BIGINT) AS n_parts, CAST(4 AS BIGINT) AS n_points,
     n_nationkey * CAST(8000 AS DOUBLE) + 10000 AS sum_x FROM nation""")
 def read_shapes(spark, d):
     """Polygons of shapefiles in zip files."""
