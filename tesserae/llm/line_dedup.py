@@ -7,50 +7,35 @@ hashes and positions travel for the counting; each text is shuffled once, to mee
 
 from __future__ import annotations
 
-import hashlib
+from functools import reduce
+from operator import or_
 
-import numpy as np
-import pyarrow as pa
-import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._common import as_bytes, named, rest, skew_join, sliced
+from ._common import named, rest, skew_join, text_hashes
 
-BLANK = b" \t\n\x0b\x0c\r"
+BLANK = " \t\n\x0b\x0c\r"
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
-def line_key(line: bytes) -> bytes:
-    """A line without blanks at its ends, A-Z in lower case (bytes.lower touches ASCII only)."""
-    return line.strip(BLANK).lower()
+def trimmed(line: Column) -> Column:
+    """A line without blanks at its ends. Spark's rtrim lists all characters of a line, so it is kept to lines that end in a blank."""
+    ends = reduce(or_, [line.endswith(b) for b in BLANK])
+    return F.ltrim(F.when(ends, F.rtrim(line, F.lit(BLANK))).otherwise(line), F.lit(BLANK))
 
 
-def _code_points(key: bytes) -> int:
-    return len(key) if key.isascii() else len(key.decode())
+def lowered(text: Column) -> Column:
+    """A-Z in lower case; Spark's lower does this, and only this, to ASCII."""
+    return F.when(F.octet_length(text) == F.char_length(text), F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))
 
 
 def line_hashes(docs: DataFrame, min_chars: int) -> DataFrame:
     """(doc, own, pos, h1, h2) of each line long enough to be judged."""
-
-    def run(batches):
-        for batch in sliced(batches):
-            row, pos, digests = [], [], []
-            for i, text in enumerate(as_bytes(batch.column("text"))):
-                for j, line in enumerate(text.split(b"\n")):
-                    if len(line) >= min_chars:
-                        key = line_key(line)
-                        if len(key) >= min_chars and _code_points(key) >= min_chars:
-                            row.append(i)
-                            pos.append(j)
-                            digests.append(xxhash.xxh3_128_digest(key))
-            h = np.frombuffer(b"".join(digests), dtype=np.int64).reshape(-1, 2)
-            at = pa.array(row, pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc").take(at), batch.column("own").take(at), pa.array(pos, pa.int32()), pa.array(np.ascontiguousarray(h[:, 0])), pa.array(np.ascontiguousarray(h[:, 1]))],
-                names=["doc", "own", "pos", "h1", "h2"],
-            )
-
-    return docs.mapInArrow(run, "doc long, own long, pos int, h1 long, h2 long")
+    lines = docs.select("doc", "own", F.posexplode(F.split("text", "\n", -1)).alias("pos", "line")).filter(F.octet_length("line") >= min_chars)
+    keys = lines.select("doc", "own", "pos", trimmed(F.col("line")).alias("key")).filter(F.char_length("key") >= min_chars)
+    h1, h2 = text_hashes(F.col("key"))
+    return keys.withColumn("key", lowered(F.col("key"))).select("doc", "own", "pos", h1.alias("h1"), h2.alias("h2"))
 
 
 def dedup_lines(docs: DataFrame, min_chars: int = 40, min_docs: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -85,26 +70,12 @@ def dedup_lines(docs: DataFrame, min_chars: int = 40, min_docs: int = 5, id_col:
         .groupBy(F.col("doc").alias("lost_doc"), F.col("own").alias("lost_own"))
         .agg(F.collect_set("pos").alias("lost"))
     )
-    joined = base.join(lost.hint("shuffle_hash"), F.col("doc").eqNullSafe(F.col("lost_doc")) & (F.col("own") == F.col("lost_own")), "left").select("doc", "text", "lost", "carried")
-
-    def reassemble(batches):
-        for batch in sliced(batches):
-            texts, counts, dropped = [], [], []
-            for text, lost in zip(as_bytes(batch.column("text")), batch.column("lost").to_pylist(), strict=True):
-                parts = text.split(b"\n")
-                counts.append(len(parts))
-                dropped.append(len(lost or ()))
-                if lost:
-                    gone = set(lost)
-                    text = b"\n".join(x for j, x in enumerate(parts) if j not in gone)
-                texts.append(text)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc"), pa.array(texts, pa.binary()).cast(pa.string()), pa.array(counts, pa.int64()), pa.array(dropped, pa.int64()), batch.column("carried")],
-                names=["doc", "text", "n_lines", "n_dropped", "carried"],
-            )
-
-    schema = f"doc long, text string, n_lines long, n_dropped long, carried {base.schema['carried'].dataType.simpleString()}"
-    out = joined.mapInArrow(reassemble, schema)
+    joined = base.join(lost.hint("shuffle_hash"), F.col("doc").eqNullSafe(F.col("lost_doc")) & (F.col("own") == F.col("lost_own")), "left").select("doc", F.coalesce(F.validate_utf8("text"), F.lit("")).alias("text"), "lost", "carried")
+    parts = joined.select("*", F.split("text", "\n", -1).alias("parts"))
+    left = F.array_except(F.sequence(F.lit(0), F.size("parts") - 1), F.col("lost"))  # in order
+    text = F.when(F.col("lost").isNull(), F.col("text")).otherwise(F.array_join(F.transform(left, lambda i: F.get("parts", i)), "\n"))
+    counts = F.size("parts").cast("long"), F.coalesce(F.size("lost"), F.lit(0)).cast("long")
+    out = parts.select("doc", text.alias("text"), counts[0].alias("n_lines"), counts[1].alias("n_dropped"), "carried")
     kept = {id_col: F.col("doc"), text_col: F.col("text")} | {c: F.col(f"carried.c{i}") for i, c in enumerate(carried)}
     return out.select(*[kept[c].alias(c) for c in docs.columns if c in kept], F.col("n_lines"), F.col("n_dropped"))
 

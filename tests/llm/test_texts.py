@@ -87,6 +87,20 @@ def test_line_dedup_matches_brute_force(spark, docs):
         assert have == sorted(brute.line_dedup(rows), key=repr)
 
 
+def test_line_dedup_stays_in_the_jvm_with_odd_keys(spark):
+    """No worker process holds texts beside the executor's heap; only the six ASCII blanks are stripped, only A-Z lower-cased, lengths are code points."""
+    base = ["k" * 40, "É" * 39, "É" * 40, "🙂" * 40, "🙂" * 39, "K" * 20 + "\u212a" * 20, "İI" * 20, "\xa0" + "n" * 39, "\x1c" + "c" * 39, "\x85" * 45, "mid \t\x0b dle " * 5, "\0" * 41]
+    dress = [lambda x: x, str.lower, lambda x: x + "\x0b\x0c\r", lambda x: " \t " + x.translate(brute.LOWER), lambda x: x + " " * 50, lambda x: "\x0c" + x + "\xa0"]
+    rng, rows = random.Random(9), []
+    for i in range(30):
+        lines = [rng.choice(dress)(rng.choice(base)) for _ in range(rng.randint(0, 12))] + [" " * 60] * rng.randint(0, 2)
+        rows.append((i, "\n".join(lines)))
+    out = line_dedup.dedup_lines(frame(spark, rows))
+    assert not [x for x in ("Arrow", "Python", "Pandas") if x in out._jdf.queryExecution().executedPlan().toString()]
+    have = sorted((r.doc_id, r.n_lines, r.n_dropped, brute.sha(r.text)) for r in out.collect())
+    assert have == sorted(brute.line_dedup(rows)) and sum(r[2] for r in have) > 20
+
+
 def test_line_dedup_takes_null_ids_as_one_document_below_all_others(spark):
     rows = line_rows()
     have = sorted(((-1 if r.doc_id is None else r.doc_id, r.n_lines, r.n_dropped, brute.sha(r.text)) for r in line_dedup.dedup_lines(frame(spark, rows)).collect()), key=repr)
