@@ -36,7 +36,8 @@ def drop_shared_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates: texts that share four fifths of their five-word shingles."""
+    """One document of each group of near-duplicates: texts that share four fifths of their five-word shingles. SimHash links those within
+    its radius, which are then checked by their shingles; least hashes bring together those beyond it."""
     return simhash.keep_least(docs, shingle_dedup.near_copies(docs))
 
 

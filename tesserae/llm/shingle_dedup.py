@@ -1,9 +1,13 @@
-"""Near-copies by the share of common word shingles.
+"""Near-copies by the share of common word shingles: SimHash first, then what lies beyond its radius.
 
-Texts whose sets of word shingles have a Jaccard similarity of ``least`` or more are linked. Candidates are texts that agree in
-all ``ROWS`` least hashes of one band or more (MinHash); a pair at similarity ``s`` is a candidate with probability
-``1 - (1 - s**ROWS) ** BANDS``: at 0.8, about 1 pair in ten million is not. The texts that agree in a band are then compared
-by their shingles themselves, so no link is an estimate.
+Texts whose sets of word shingles have a Jaccard similarity of ``least`` or more are linked. Groups of texts are found in two ways, and compared by their shingles:
+
+* SimHash: fingerprints of the shingles at a distance of ``radius`` or less are linked by pivot distance tables (``simhash``); each component is a group.
+* Texts just at ``least`` differ in more bits than pivots can search, so texts of different components are brought together where they agree in all ``ROWS``
+  least hashes of one band or more (MinHash); a pair at similarity ``s`` does with probability ``1 - (1 - s**ROWS) ** BANDS``: at 0.8, about 1 pair in
+  ten million does not. Bands that hold texts of one component only are settled by it.
+
+So no link is an estimate.
 
 A group whose texts are too large for one task is compared in blocks. Each block is joined by one text of the group, its hub; what reaches the hub within its
 block is linked to all else that does. Only the others (strays) must still meet all blocks, a block of strays at a time, so that every pair is compared or
@@ -18,6 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import simhash
 from ._common import as_bytes, components, durable, named, skew_join, sliced, spread
 
 #: Bands of least hashes, and hashes of a band.
@@ -35,15 +40,20 @@ def plain_words(text: bytes) -> bytes:
     return b" ".join(text.lower().split())
 
 
-def shingles(plain: bytes, shingle: int = 5, seed: int = 42) -> np.ndarray:
-    """Distinct 64-bit hashes of a plain text's word shingles; a text of fewer words is one shingle."""
+def shingle_hashes(plain: bytes, shingle: int = 5, seed: int = 42) -> np.ndarray:
+    """64-bit hashes of a plain text's word shingles, repeats included; a text of fewer words is one shingle."""
     words = plain.split(b" ")
     sizes = np.fromiter(map(len, words), np.int64, len(words))
     ends = np.cumsum(sizes + 1) - 1
     last = max(1, len(words) - shingle + 1)
     parts = zip((ends - sizes)[:last].tolist(), ends[min(shingle, len(words)) - 1 :].tolist(), strict=True)
     digest = xxhash.xxh64_intdigest
-    return np.unique(np.fromiter((digest(plain[i:j], seed) for i, j in parts), np.uint64, last))
+    return np.fromiter((digest(plain[i:j], seed) for i, j in parts), np.uint64, last)
+
+
+def shingles(plain: bytes, shingle: int = 5, seed: int = 42) -> np.ndarray:
+    """Distinct hashes of a plain text's word shingles."""
+    return np.unique(shingle_hashes(plain, shingle, seed))
 
 
 def bands(own: np.ndarray) -> np.ndarray:
@@ -115,14 +125,15 @@ def _links_in_blocks(large: DataFrame, plain: DataFrame, link, block: int, compa
     return near.select("a", "b").unionByName(far)
 
 
-def near_copies(docs: DataFrame, least: float = 0.8, shingle: int = 5, seed: int = 42, id_col: str = "doc_id", text_col: str = "text", block: int = BLOCK) -> DataFrame:
+def near_copies(docs: DataFrame, least: float = 0.8, shingle: int = 5, seed: int = 42, id_col: str = "doc_id", text_col: str = "text", block: int = BLOCK, radius: int = 2) -> DataFrame:
     """(doc_id, component_id) for every row of ``docs``: the smallest id reachable over links.
 
     Texts of the same words are linked, null and empty ones too. Rows that repeat an id each get a row; null ids stay null, belong to
     their component, and are its id only where all its ids are null (then null). An empty table gives an empty result.
 
     A text is named by a 64-bit hash of its words. Copies collapse before any search; groups that hold the same texts in several
-    bands are compared once, and only texts of a group travel to be compared. ``block`` bounds the bytes of text that are compared in one task; the result does not depend on it.
+    bands are compared once, and only texts of a group travel to be compared. ``block`` bounds the bytes of text that are compared in one task, ``radius``
+    (2 at most) the bits in which fingerprints differ that SimHash links; the result does not depend on them.
     """
     texts = docs.select(named(id_col).cast("long").alias("doc_id"), named(text_col).alias("text"))
 
@@ -130,10 +141,16 @@ def near_copies(docs: DataFrame, least: float = 0.8, shingle: int = 5, seed: int
         for batch in sliced(batches):
             plain = [plain_words(t) for t in as_bytes(batch.column(1))]
             nodes = np.array([xxhash.xxh64_intdigest(p, seed) for p in plain], np.uint64).view(np.int64)
-            found = np.array([bands(shingles(p, shingle, seed)) for p in plain], np.int64).reshape(-1)
+            fps, found = [], []
+            for p in plain:
+                hashes = shingle_hashes(p, shingle, seed)
+                fps.append(simhash.majority([hashes]) if p else 0)
+                found.append(bands(np.unique(hashes)))
+            fps, found = np.array(fps, np.uint64).view(np.int64), np.array(found, np.int64).reshape(-1)
             ends = pa.array(np.arange(0, len(found) + 1, BANDS, dtype=np.int32))
             sizes = pa.array([len(p) for p in plain], pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(nodes), sizes, pa.ListArray.from_arrays(ends, pa.array(found))], names=["doc_id", "node", "bytes", "bands"])
+            columns = [batch.column(0), pa.array(nodes), sizes, pa.array(fps), pa.ListArray.from_arrays(ends, pa.array(found))]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "node", "bytes", "fp", "bands"])
 
     def reduce_to_words(batches):
         for batch in sliced(batches):
@@ -150,13 +167,26 @@ def near_copies(docs: DataFrame, least: float = 0.8, shingle: int = 5, seed: int
         a, b = (np.array([p[k] for p in pairs], np.int64) for k in (0, 1))
         return pa.table({"a": pa.array(nodes[a], pa.int64()), "b": pa.array(nodes[b], pa.int64())})
 
-    signed = durable(spread(texts).mapInArrow(sign, "doc_id long, node long, bytes long, bands array<long>"))
-    of_node = durable(signed.groupBy("node").agg(F.min("doc_id").alias("least"), F.first("bytes").alias("bytes"), F.first("bands").alias("bands")))
-    members = of_node.select("node", "bytes", F.explode("bands").alias("band")).distinct()
+    signed = durable(spread(texts).mapInArrow(sign, "doc_id long, node long, bytes long, fp long, bands array<long>"))
+    of_node = durable(signed.groupBy("node").agg(F.min("doc_id").alias("least"), F.first("bytes").alias("bytes"), F.first("fp").alias("fp")))
+
+    near = durable(components(simhash.link_fingerprints(durable(of_node.select("fp").distinct()), radius)))
+    classes = durable(skew_join(of_node, near.withColumnRenamed("node", "fp"), ["fp"], "left").select("node", "bytes", F.coalesce("root", "fp").alias("class")))
+    several = classes.groupBy("class").agg(F.count("*").alias("n")).filter("n > 1").select("class")
+    of_class = skew_join(classes.select("node", "class"), several, ["class"]).select(F.col("class").alias("band"), "node")
+
+    # beyond the radius: bands that hold texts of several components; only what this needs rides along in the exchanges of all bands
+    of_bands = signed.groupBy("node").agg(F.first("bands").alias("bands")).join(classes.select("node", "class").hint("merge"), "node")
+    of_bands = of_bands.select("node", "class", F.explode(F.array_distinct("bands")).alias("band"))
+    open_bands = of_bands.groupBy("band").agg(F.min("class").alias("low"), F.max("class").alias("high")).filter("low < high").select("band")
+    beyond = skew_join(of_bands.select("band", "node"), open_bands, ["band"]).select("band", "node")
+
+    met = durable(of_class.unionByName(beyond).distinct())
+    sizes = skew_join(met, classes.select("node", "bytes"), ["node"])
     blocks = F.least(F.ceil(F.sum("bytes") / block), F.count("*")).alias("blocks")
-    groups = members.groupBy("band").agg(F.count("*").alias("n"), F.bit_xor("node").alias("x"), F.bit_xor(F.xxhash64("node")).alias("y"), blocks, F.min("node").alias("hub")).filter("n > 1")
+    groups = sizes.groupBy("band").agg(F.count("*").alias("n"), F.bit_xor("node").alias("x"), F.bit_xor(F.xxhash64("node")).alias("y"), blocks, F.min("node").alias("hub"))
     groups = groups.groupBy("n", "x", "y").agg(F.min("band").alias("band"), F.min("blocks").alias("blocks"), F.min("hub").alias("hub")).select("band", "blocks", "hub")
-    inside = durable(skew_join(members, groups, ["band"]).select("node", "bytes", "band", "blocks", "hub"))
+    inside = durable(skew_join(sizes, groups, ["band"]).select("node", "bytes", "band", "blocks", "hub"))
     wanted = inside.select("node").distinct()
     plain = spread(texts.select("text")).mapInArrow(reduce_to_words, "node long, plain binary")
     plain = skew_join(plain, wanted, ["node"], "left_semi").groupBy("node").agg(F.first("plain").alias("plain"))

@@ -43,12 +43,17 @@ def fingerprint(text: bytes, shingle: int = 3, seed: int = 42) -> int:
         ends = np.cumsum(sizes + 1) - 1
         last = len(words) - shingle + 1
         parts = [whole[i:j] for i, j in zip((ends - sizes)[:last].tolist(), ends[shingle - 1 :].tolist(), strict=True)]
-    votes = np.zeros(64, np.int64)
     digest = xxhash.xxh64_digest
-    for i in range(0, len(parts), 1 << 16):
-        chunk = np.frombuffer(b"".join([digest(p, seed) for p in parts[i : i + (1 << 16)]]), np.uint8).reshape(-1, 8)
-        votes += np.unpackbits(chunk, axis=1).sum(axis=0, dtype=np.int64)
-    return int.from_bytes(np.packbits(2 * votes > len(parts)).tobytes(), "big")
+    return majority(np.frombuffer(b"".join([digest(p, seed) for p in parts[i : i + (1 << 16)]]), ">u8") for i in range(0, len(parts), 1 << 16))
+
+
+def majority(chunks) -> int:
+    """The fingerprint of 64-bit hashes, given in chunks; a bit is 1 if set in over half of them."""
+    votes, total = np.zeros(64, np.int64), 0
+    for hashes in chunks:
+        votes += np.unpackbits(np.asarray(hashes, ">u8").view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
+        total += len(hashes)
+    return int.from_bytes(np.packbits(2 * votes > total).tobytes(), "big")
 
 
 def fingerprints(docs: DataFrame, shingle: int, seed: int) -> DataFrame:

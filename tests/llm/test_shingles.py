@@ -1,10 +1,11 @@
 import random
 
+import numpy as np
 import pyarrow as pa
 import pytest
 from test_texts import frame, near_rows
 
-from tesserae.llm import shingle_dedup
+from tesserae.llm import shingle_dedup, simhash
 
 
 def plain_components(rows, least=0.8):
@@ -95,3 +96,21 @@ def test_pipeline_drops_near_copies_beyond_two_bits(spark, sf_dir):
     rows = [(r.doc_id, r.text) for r in docs.collect()]
     assert sorted(kept) == sorted(d for d, c in plain_components(rows) if d == c)
     assert {6, 145} & kept == {6}  # five-word similarity 0.83, over two bits apart
+
+
+def test_pipeline_links_by_simhash_what_its_radius_reaches(spark, monkeypatch):
+    """Without any band in common, pairs within two bits are still found, by the pivot tables, and checked by their shingles."""
+    import corpus_pipeline
+
+    rng, rows = random.Random(3), []
+    for i in range(60):
+        words = [f"w{rng.randrange(3000)}" for _ in range(400)]
+        rows += [(10 * i, " ".join(words)), (10 * i + 1, " ".join([*words, f"e{i}"]))]
+    rows += [(9001, None), (9002, ""), (9005, "a b"), (9007, "A  b")]
+    monkeypatch.setattr(shingle_dedup, "bands", lambda own: np.random.default_rng().integers(-(2**62), 2**62, shingle_dedup.BANDS))
+    docs = frame(spark, rows)
+    have = sorted(r.doc_id for r in corpus_pipeline.drop_near_duplicates(spark, docs, "").collect())
+    fps = {d: simhash.fingerprint((t or "").encode(), 5) for d, t in rows}
+    within = [i for i in range(60) if (fps[10 * i] ^ fps[10 * i + 1]).bit_count() <= 2]
+    assert len(within) > 30
+    assert have == sorted({d for d, _ in rows} - {10 * i + 1 for i in within} - {9002, 9007})
