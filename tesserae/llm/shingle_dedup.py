@@ -2,7 +2,8 @@
 
 Texts whose sets of word shingles have a Jaccard similarity of ``least`` or more are linked. Groups of texts are found in two ways, and compared by their shingles:
 
-* SimHash: fingerprints of the shingles at a distance of ``radius`` or less are linked by pivot distance tables (``simhash``); each component is a group.
+* SimHash: fingerprints (``simhash``, three words: over five words, near-copies differ in more bits) at a distance of ``radius`` or less are linked by pivot
+  distance tables; each component is a group.
 * Texts just at ``least`` differ in more bits than pivots can search, so texts of different components are brought together where they agree in all ``ROWS``
   least hashes of one band or more (MinHash); a pair at similarity ``s`` does with probability ``1 - (1 - s**ROWS) ** BANDS``: at 0.8, about 1 pair in
   ten million does not. Bands that hold texts of one component only are settled by it.
@@ -40,20 +41,15 @@ def plain_words(text: bytes) -> bytes:
     return b" ".join(text.lower().split())
 
 
-def shingle_hashes(plain: bytes, shingle: int = 5, seed: int = 42) -> np.ndarray:
-    """64-bit hashes of a plain text's word shingles, repeats included; a text of fewer words is one shingle."""
+def shingles(plain: bytes, shingle: int = 5, seed: int = 42) -> np.ndarray:
+    """Distinct 64-bit hashes of a plain text's word shingles; a text of fewer words is one shingle."""
     words = plain.split(b" ")
     sizes = np.fromiter(map(len, words), np.int64, len(words))
     ends = np.cumsum(sizes + 1) - 1
     last = max(1, len(words) - shingle + 1)
     parts = zip((ends - sizes)[:last].tolist(), ends[min(shingle, len(words)) - 1 :].tolist(), strict=True)
     digest = xxhash.xxh64_intdigest
-    return np.fromiter((digest(plain[i:j], seed) for i, j in parts), np.uint64, last)
-
-
-def shingles(plain: bytes, shingle: int = 5, seed: int = 42) -> np.ndarray:
-    """Distinct hashes of a plain text's word shingles."""
-    return np.unique(shingle_hashes(plain, shingle, seed))
+    return np.unique(np.fromiter((digest(plain[i:j], seed) for i, j in parts), np.uint64, last))
 
 
 def bands(own: np.ndarray) -> np.ndarray:
@@ -141,12 +137,8 @@ def near_copies(docs: DataFrame, least: float = 0.8, shingle: int = 5, seed: int
         for batch in sliced(batches):
             plain = [plain_words(t) for t in as_bytes(batch.column(1))]
             nodes = np.array([xxhash.xxh64_intdigest(p, seed) for p in plain], np.uint64).view(np.int64)
-            fps, found = [], []
-            for p in plain:
-                hashes = shingle_hashes(p, shingle, seed)
-                fps.append(simhash.majority([hashes]) if p else 0)
-                found.append(bands(np.unique(hashes)))
-            fps, found = np.array(fps, np.uint64).view(np.int64), np.array(found, np.int64).reshape(-1)
+            fps = np.array([simhash.fingerprint(p, seed=seed) for p in plain], np.uint64).view(np.int64)
+            found = np.array([bands(shingles(p, shingle, seed)) for p in plain], np.int64).reshape(-1)
             ends = pa.array(np.arange(0, len(found) + 1, BANDS, dtype=np.int32))
             sizes = pa.array([len(p) for p in plain], pa.int64())
             columns = [batch.column(0), pa.array(nodes), sizes, pa.array(fps), pa.ListArray.from_arrays(ends, pa.array(found))]

@@ -110,7 +110,7 @@ def test_pipeline_links_by_simhash_what_its_radius_reaches(spark, monkeypatch):
     monkeypatch.setattr(shingle_dedup, "bands", lambda own: np.random.default_rng().integers(-(2**62), 2**62, shingle_dedup.BANDS))
     docs = frame(spark, rows)
     have = sorted(r.doc_id for r in corpus_pipeline.drop_near_duplicates(spark, docs, "").collect())
-    fps = {d: simhash.fingerprint((t or "").encode(), 5) for d, t in rows}
+    fps = {d: simhash.fingerprint((t or "").encode()) for d, t in rows}
     within = [i for i in range(60) if (fps[10 * i] ^ fps[10 * i + 1]).bit_count() <= 2]
     assert len(within) > 30
     assert have == sorted({d for d, _ in rows} - {10 * i + 1 for i in within} - {9002, 9007})
