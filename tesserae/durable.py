@@ -23,3 +23,12 @@ def durable(df: DataFrame) -> DataFrame:
     """``df``, written to the shared folder, without its lineage."""
     shared_folder(df.sparkSession)
     return df.checkpoint()
+
+
+def forget(*frames: DataFrame) -> None:
+    """Remove the files that ``durable`` wrote for ``frames``. Only for frames that nothing reads any more, lazily defined frames included."""
+    for df in frames:
+        place = df._jdf.queryExecution().logical().rdd().getCheckpointFile()
+        if place.isDefined():
+            folder = df.sparkSession._jvm.org.apache.hadoop.fs.Path(place.get())
+            folder.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
