@@ -51,7 +51,7 @@ def first_centroids(held: DataFrame, k: int, salt: str) -> np.ndarray:
     """The ``k`` vectors with the smallest SHA-256 of ``<salt><vec_id>`` (a null id: of the salt alone), in that order; ties by their bytes. Fewer vectors: all of them."""
     name = F.sha2(F.concat(F.lit(salt), F.coalesce(F.col("vec_id").cast("string"), F.lit(""))).cast("binary"), 256)
     rows = held.select(name.alias("name"), "packed").orderBy("name", "packed").limit(k).collect()
-    return np.array([np.frombuffer(r.packed, "<i4") for r in rows], np.int64).reshape(len(rows), -1)
+    return np.array([np.frombuffer(r.packed, "<i4") for r in rows], np.int64)
 
 
 class Order:

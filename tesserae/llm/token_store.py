@@ -7,8 +7,11 @@ documents, or a span of the token stream, meets only the pages that hold them, b
 
 from __future__ import annotations
 
+import json
 import os
+import re
 import zlib
+from array import array
 from functools import reduce
 
 import numpy as np
@@ -21,27 +24,54 @@ from ._common import durable, named, partitions, remove_folder, shared_folder, s
 SCHEMA = "doc_id long, first long, last long, n_tokens long, ids array<int>"
 
 
+class Encoder:
+    """The library's ids of whole texts, with a memo of words where that changes nothing.
+
+    A byte-level vocabulary without a normaliser splits texts by a pattern in which a single space before anything but white space always begins a piece; so texts may be cut there,
+    and each distinct part is given to the library once. Texts that hold a special string, and vocabularies of other kinds, are encoded whole.
+    """
+
+    def __init__(self, vocabulary: str, entries: int = 200_000, longest: int = 64):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallel ones
+        from tokenizers import Tokenizer
+
+        self.library = Tokenizer.from_str(vocabulary)
+        self.library.no_padding()
+        self.library.no_truncation()
+        spec = json.loads(vocabulary)
+        split = spec.get("pre_tokenizer") or {}
+        plain = spec.get("normalizer") is None and spec.get("post_processor") is None and split.get("type") == "ByteLevel" and split.get("use_regex", True) and not split.get("add_prefix_space")
+        specials = [t["content"] for t in spec.get("added_tokens", [])]
+        self.special = re.compile("|".join(map(re.escape, specials))) if specials else None
+        self.cut = re.compile(r"(?= \S)") if plain else None
+        self.memo, self.entries, self.longest = {}, entries, longest
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text as 32-bit integers in the machine's order."""
+        parts = [self.cut.split(t) if self.cut and not (self.special and self.special.search(t)) else [t] for t in texts]
+        if len(self.memo) > self.entries:
+            self.memo = {}
+        memo, once = self.memo, {}
+        wanted = [w for w in set().union(*parts) if w not in memo]
+        for word, found in zip(wanted, self.library.encode_batch_fast(wanted, add_special_tokens=False), strict=True):
+            (memo if len(word) <= self.longest else once)[word] = array("i", found.ids).tobytes()
+        known = memo | once if once else memo
+        return [b"".join(map(known.__getitem__, p)) for p in parts]
+
+
 def encode_with_end(docs: DataFrame, vocabulary: str, end_id: int | None = 0, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_tokens, ids) of every whole text by a vocabulary in JSON form, row by row, in the order of the rows; special strings inside texts as the library does by
     default, none added, ``end_id`` appended to each document. A null text is empty; a null id stays; repeated rows repeat; other columns are ignored."""
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
 
     def run(batches):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallel ones
-        from tokenizers import Tokenizer
-
-        library = Tokenizer.from_str(shared.value)
-        library.no_padding()
-        library.no_truncation()
-        end = [] if end_id is None else [end_id]
-        for batch in sliced(batches, 200):
-            ids, ends = [], [0]
-            for text in batch.column(1).to_pylist():
-                found = np.array(library.encode(text or "", add_special_tokens=False).ids + end, np.int32)
-                ids.append(found)
-                ends.append(ends[-1] + len(found))
-            lists = pa.ListArray.from_arrays(pa.array(np.array(ends, np.int32)), pa.array(np.concatenate(ids) if ids else np.zeros(0, np.int32)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.diff(ends).astype(np.int64)), lists], names=["doc_id", "n_tokens", "ids"])
+        encoder = Encoder(shared.value)
+        end = b"" if end_id is None else array("i", [end_id]).tobytes()
+        for batch in sliced(batches, 100):
+            found = [x + end for x in encoder.encode([t or "" for t in batch.column(1).to_pylist()])]
+            ends = np.cumsum([0, *(len(x) // 4 for x in found)])
+            lists = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(np.frombuffer(b"".join(found), np.int32)))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.diff(ends)), lists], names=["doc_id", "n_tokens", "ids"])
 
     return docs.select(named(id_col).cast("long").alias("doc_id"), named(text_col).alias("text")).mapInArrow(run, "doc_id long, n_tokens long, ids array<int>")
 
