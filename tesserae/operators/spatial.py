@@ -50,12 +50,79 @@ def grid_candidates(points: DataFrame, boxes: DataFrame, cell: tuple[float, floa
     return placed.join(cells, ["cx", "cy"]).filter(held).drop("cx", "cy")
 
 
+def ring_edges(rings: Column) -> Column:
+    """All edges (ax, ay, bx, by) of the rings, each from a point to the next, the last one closing its ring. Rings of fewer than three points have none."""
+
+    def of(ring):
+        n = F.size(ring)
+        before = F.concat(F.slice(ring, n, F.lit(1)), F.slice(ring, F.lit(1), n - 1))
+        edge = lambda a, b: F.struct(a["x"].alias("ax"), a["y"].alias("ay"), b["x"].alias("bx"), b["y"].alias("by"))
+        return F.zip_with(before, ring, edge)
+
+    return F.flatten(F.transform(F.filter(rings, lambda r: F.size(r) >= 3), of))
+
+
+def touched_cells(edges: DataFrame, cell: tuple[float, float], *keep: str) -> DataFrame:
+    """(keep..., cell x, cell y, crossings): the grid cells that edges (ax, ay, bx, by) touch, row by row, and how many of them cross the middle line of the row in that
+    cell. An edge is widened by a billionth of a cell and what rounding may come to, so that none is left out; ``keep`` names what tells shapes apart."""
+    w, h = map(float, cell)
+    low, high = F.least("ay", "by"), F.greatest("ay", "by")
+    rows = edges.withColumn("cell y", F.explode(F.sequence(_cell(low, h), _cell(high, h))))
+    slope = (F.col("bx") - F.col("ax")) / F.nullif(F.col("by") - F.col("ay"), F.lit(0.0))
+    at = lambda y: F.col("ax") + (y - F.col("ay")) * slope
+    ends = [at(F.greatest(low, F.col("cell y") * h)), at(F.least(high, (F.col("cell y") + 1) * h))]
+    flat = F.col("ay") == F.col("by")
+    left, right = (F.when(flat, pick("ax", "bx")).otherwise(pick(*ends)) for pick in (F.least, F.greatest))
+    wide = F.greatest(F.abs("ax"), F.abs("bx")) * 1e-13 + w * 1e-9
+    middle = (F.col("cell y") + 0.5) * h
+    rows = rows.withColumns({"from": _cell(left - wide, w), "to": _cell(right + wide, w), "crosses": (F.col("ay") > middle) != (F.col("by") > middle)})
+    rows = rows.withColumn("crossing", F.when(F.col("crosses"), F.greatest(F.col("from"), F.least(F.col("to"), _cell(at(middle), w)))))
+    cells = rows.select(*keep, "cell y", "crossing", F.explode(F.sequence("from", "to")).alias("cell x"))
+    return cells.groupBy(*keep, "cell x", "cell y").agg(F.count_if(F.col("crossing") == F.col("cell x")).alias("crossings"))
+
+
+def covering(shapes: DataFrame, cell: tuple[float, float]) -> tuple[DataFrame, DataFrame]:
+    """Cells of ``shapes`` (shape_id, code, rings) and the edges that settle points of their borders.
+
+    Cells: (shape_id, code, scale, cell x, cell y, inside); those that no edge touches are wholly inside, or left out. Edges: (shape_id, band, edges), by bands of y, of
+    which ``scale`` make a unit. A shape's bands are as high as its edges on average, so all its bands together hold at most two rows for each edge.
+    """
+    rows = shapes.select("shape_id", "code", ring_edges(F.col("rings")).alias("edges"))
+    height = F.aggregate("edges", F.lit(0.0), lambda s, e: s + F.coalesce(F.abs(e["by"] - e["ay"]), F.lit(0.0)))
+    rows = rows.withColumn("scale", F.when(height > 0, F.size("edges") / height).otherwise(0.0))
+    edges = rows.select("shape_id", "code", "scale", F.explode("edges").alias("e")).select("shape_id", "code", "scale", "e.*")
+    border = touched_cells(edges, cell, "shape_id", "code", "scale")
+    # between two border cells of a row lie cells of one kind: inside, if an odd number of edges crosses the row's middle further on
+    row = W.partitionBy("shape_id", "cell y").orderBy(F.col("cell x").desc())
+    beyond = F.coalesce(F.sum("crossings").over(row.rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    gaps = border.withColumns({"next": F.lag("cell x").over(row), "odd": beyond % 2 == 1}).filter(F.col("odd") & (F.col("next") > F.col("cell x") + 1))
+    inner = gaps.select("shape_id", "code", "scale", F.explode(F.sequence(F.col("cell x") + 1, F.col("next") - 1)).alias("cell x"), "cell y", F.lit(True).alias("inside"))
+    cells = inner.unionByName(border.drop("crossings").withColumn("inside", F.lit(False)))
+    banded = edges.filter("ay <> by").withColumn("band", F.explode(F.sequence(F.floor(F.least("ay", "by") * F.col("scale")), F.floor(F.greatest("ay", "by") * F.col("scale")))))
+    return cells, banded.groupBy("shape_id", "band").agg(F.collect_list(F.struct("ax", "ay", "bx", "by")).alias("edges"))
+
+
+def crosses_right(x: Column, y: Column, e: Column) -> Column:
+    """Whether an edge counts for a point: exactly one of its ends lies above (half-open), and it crosses to the right."""
+    at = e["ax"] + (y - e["ay"]) * (e["bx"] - e["ax"]) / F.nullif(e["by"] - e["ay"], F.lit(0.0))
+    return ((e["ay"] > y) != (e["by"] > y)) & F.coalesce(x < at, F.lit(False))
+
+
 def containment_join(points: DataFrame, shapes: DataFrame, cell: tuple[float, float] = (0.05, 0.05)) -> DataFrame:
-    """Pairs of ``points`` (``x``, ``y``, ...) and ``shapes`` (``shape_id``, ``code``, ``rings``) that hold them: columns of the points, and ``code``."""
-    boxed = with_box(shapes)
-    found = grid_candidates(points, boxed.select("shape_id", "code", "x0", "y0", "x1", "y1"), cell)
-    rings = shapes.select("shape_id", "rings")
-    return found.join(rings, "shape_id").filter(in_rings(F.col("x"), F.col("y"), F.col("rings"))).drop("shape_id", "rings", "x0", "y0", "x1", "y1")
+    """Pairs of ``points`` (``x``, ``y``, ...) and ``shapes`` (``shape_id``, ``code``, ``rings``) that hold them: columns of the points, and ``code``.
+
+    A point meets the cells of its place. A cell wholly inside a shape settles it; in a border cell, it meets the edges of its band of y (an equi-join) and the parity
+    of those that it crosses decides, by the rule of ``in_rings``. No ring ever stands beside a point. ``shape_id`` is unique; points without
+    coordinates (NULL, NaN) and vertices without them meet nothing.
+    """
+    cells, bands = covering(shapes, cell)
+    placed = points.withColumns({f"cell {c}": F.when(~F.isnan(c), _cell(F.col(c), size)) for c, size in zip("xy", cell, strict=True)})
+    settled = placed.join(cells.filter("inside").select("cell x", "cell y", "code"), ["cell x", "cell y"]).select(*points.columns, "code")
+    near = cells.filter("NOT inside").select("cell x", "cell y", "code", F.col("shape_id").alias("of shape"), F.col("scale").alias("bands a unit"))
+    open_ = placed.join(near, ["cell x", "cell y"]).withColumn("the band", F.floor(F.col("y") * F.col("bands a unit"))).drop("bands a unit", "cell x", "cell y")
+    beside = open_.join(bands.withColumnsRenamed({"shape_id": "of shape", "band": "the band", "edges": "edges of the band"}), ["of shape", "the band"])
+    count = F.size(F.filter("edges of the band", lambda e: crosses_right(F.col("x"), F.col("y"), e)))
+    return settled.unionByName(beside.filter(count % 2 == 1).select(*points.columns, "code"))
 
 
 def segments(lines: DataFrame, key: str = "id") -> DataFrame:

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..durable import durable
 from ..operators import bridges as B
-from ..operators import spatial, versioning
+from ..operators import matching, spatial, versioning
 from .inputs import CELL, SQL as INPUTS, current_codes, register, squares, stops, successor_codes, table
 
 QUERIES: dict = {}
@@ -99,3 +100,79 @@ def rule_cascade(spark, d):
     by_name = lambda e: e.join(t.drop("k"), ["name", "p_brand", "p_size"])
     by_part = lambda e: e.withColumn("name", other).join(t.drop("k", "p_size"), ["name", "p_brand"])
     return B.cascade(part.withColumnRenamed("p_partkey", "id"), [("R1", 1.0, by_key), ("R2", 0.8, by_name), ("R3", 0.5, by_part, False)])
+
+
+#: Coverage texts, by the customer's number: brackets of up to three levels, limits and exceptions.
+_BRACKETS = ("", "（東区、西区に限る。）", "（東区を除く。）", "（北区、東区（一部、二部を除く）を除く）", "（東区（一部（甲、乙に限る）、二部を除く）に限る）", "（旧）", "(南区(三部に限る)、北区を除く)")
+_AREAS = "SELECT c_custkey AS code, CASE WHEN c_custkey % 3 = 0 THEN 'A県' ELSE '' END || 'c' || c_custkey // 30 || '市' || CASE c_custkey % 7 {} END || '、d' || c_custkey // 20 || '町' || CASE WHEN c_custkey % 4 = 0 THEN '、somewhere' ELSE '' END AS t FROM customer".format(
+    " ".join(f"WHEN {i} THEN '{b}'" for i, b in enumerate(_BRACKETS))
+)
+
+
+def _areas(spark, d):
+    k = F.col("c_custkey")
+    bracket = F.element_at(F.array(*map(F.lit, _BRACKETS)), (k % len(_BRACKETS)).cast("int") + 1)
+    number = lambda n: F.floor(k / n).cast("string")
+    text = F.concat(F.when(k % 3 == 0, "A県").otherwise(""), F.lit("c"), number(30), F.lit("市"), bracket, F.lit("、d"), number(20), F.lit("町"), F.when(k % 4 == 0, "、somewhere").otherwise(""))
+    return table(spark, d, "customer").select(k.alias("area_code"), text.alias("area_text"))
+
+
+#: A walk over the tokens, one a step, and the names with what their brackets do.
+_TREE = f"""
+    areas AS ({_AREAS}), toks AS (SELECT code, regexp_extract_all(t, '[（(]|[）)]|、|[^（(）)、]+') AS ts FROM areas),
+    walk AS (
+        SELECT code, ts, 0 AS i, CAST([] AS INTEGER[]) AS stack, 0 AS item, 0 AS n, 0 AS node, 0 AS parent, 0 AS depth, CAST(NULL AS VARCHAR) AS word FROM toks
+        UNION ALL
+        SELECT code, ts, i + 1, CASE WHEN ts[i + 1] IN ('（', '(') THEN list_append(stack, item) WHEN ts[i + 1] IN ('）', ')') THEN stack[:-2] ELSE stack END,
+            CASE WHEN ts[i + 1] IN ('（', '(', '、') THEN 0 WHEN ts[i + 1] IN ('）', ')') THEN stack[-1] WHEN item = 0 THEN n + 1 ELSE item END,
+            CASE WHEN item = 0 AND ts[i + 1] NOT IN ('（', '(', '、', '）', ')') THEN n + 1 ELSE n END,
+            CASE WHEN item = 0 THEN n + 1 ELSE item END, coalesce(stack[-1], 0), CAST(len(stack) AS INTEGER), CASE WHEN ts[i + 1] NOT IN ('（', '(', '、', '）', ')') THEN ts[i + 1] END
+        FROM walk WHERE i < len(ts)),
+    words AS (SELECT *, i = max(i) OVER (PARTITION BY code, parent) AND parent > 0 AS last_ FROM walk WHERE word IS NOT NULL),
+    modes AS (SELECT code, parent AS node, CASE regexp_extract(word, '(に限る|を除く)。?$', 1) WHEN 'に限る' THEN 'only' WHEN 'を除く' THEN 'except' ELSE 'note' END AS mode FROM words WHERE last_),
+    names AS (SELECT code, node, parent, depth, CASE WHEN last_ THEN regexp_replace(word, '(に限る|を除く)。?$', '') ELSE word END AS name FROM words QUALIFY row_number() OVER (PARTITION BY code, node ORDER BY i) = 1),
+    placed AS (SELECT n.*, mode FROM names n LEFT JOIN modes m ON n.code = m.code AND n.node = m.node),
+    tree AS (
+        SELECT code, node, parent, depth, name, mode, true AS included FROM placed WHERE depth = 0
+        UNION ALL SELECT p.code, p.node, p.parent, p.depth, p.name, p.mode, t.included <> coalesce(t.mode = 'except', false) FROM tree t JOIN placed p ON t.code = p.code AND t.node = p.parent)"""
+
+
+@register(QUERIES, SQL, f"WITH RECURSIVE {_TREE} SELECT code AS area_code, node, parent, depth, name, mode, included FROM tree")
+def telephone_clauses(spark, d):
+    """The clauses of coverage texts as trees."""
+    return matching.clause_tree(_areas(spark, d)).select("area_code", "node", "parent", "depth", "name", "mode", "included")
+
+
+@register(QUERIES, SQL, f"""WITH RECURSIVE {_TREE}, wards AS (SELECT DISTINCT 'c' || c_custkey // 30 || '市' AS m, w FROM customer, (VALUES ('東区'), ('西区'), ('北区'), ('南区')) v(w)),
+    clauses AS (SELECT code, node, mode, replace(name, 'A県', '') AS m FROM tree WHERE depth = 0 AND mode IS DISTINCT FROM 'note' AND right(name, 1) IN ('市', '町'))
+    SELECT c.code AS area_code, c.m AS municipality_name, w.w AS ward,
+           CASE WHEN t.node IS NULL AND c.mode = 'only' THEN 'none' WHEN t.node IS NULL THEN 'whole' WHEN t.mode IS NOT NULL THEN 'partial' WHEN t.included THEN 'whole' ELSE 'none' END AS coverage
+    FROM clauses c JOIN wards w USING (m) LEFT JOIN tree t ON t.code = c.code AND t.parent = c.node AND t.name = w.w""")
+def ward_coverage(spark, d):
+    """Which wards the clauses of coverage texts reach."""
+    k = F.concat(F.lit("c"), F.floor(F.col("c_custkey") / 30).cast("string"), F.lit("市"))
+    wards = table(spark, d, "customer").select(k.alias("municipality_name"), F.explode(F.array(*map(F.lit, ("東区", "西区", "北区", "南区")))).alias("ward")).distinct()
+    return matching.ward_coverage(_areas(spark, d), wards)
+
+
+@register(QUERIES, SQL, f"""WITH RECURSIVE {_TREE},
+    clauses AS (SELECT code, node, CASE WHEN mode IS NULL THEN 'whole' ELSE 'partial' END AS kind, replace(name, 'A県', '') AS m FROM tree WHERE depth = 0 AND mode IS DISTINCT FROM 'note' AND right(name, 1) IN ('市', '町')),
+    towns AS (SELECT p_partkey AS id, CASE WHEN p_partkey % 2 = 0 THEN 'c' || p_partkey // 40 || '市' ELSE 'd' || p_partkey // 26 || '町' END AS m FROM part),
+    decided AS (SELECT p_partkey AS id, 'X' AS target FROM part WHERE p_partkey % 17 = 0),
+    per AS (SELECT m, kind, count(DISTINCT code) AS n FROM clauses GROUP BY m, kind),
+    found AS (
+        SELECT id, target, 'T0' AS rule, 1.0 AS conf, true AS whole FROM decided
+        UNION ALL SELECT DISTINCT t.id, c.code::VARCHAR, CASE WHEN c.kind = 'partial' THEN 'T3' WHEN n = 1 THEN 'T1' ELSE 'T6' END, CASE WHEN c.kind = 'whole' AND n = 1 THEN 1.0 ELSE 0.5 END, c.kind = 'whole'
+        FROM towns t JOIN clauses c USING (m) JOIN per ON per.m = c.m AND per.kind = c.kind
+        WHERE t.id NOT IN (SELECT id FROM decided) AND (c.kind = 'whole' OR c.m NOT IN (SELECT m FROM per WHERE kind = 'whole'))),
+    kept AS (SELECT t.id, f.target, coalesce(rule, 'unresolved') AS rule, coalesce(conf, 0.0) AS conf, coalesce(whole, true) AS whole FROM towns t LEFT JOIN found f ON t.id = f.id),
+    n AS (SELECT *, count(target) OVER (PARTITION BY id) AS c FROM kept)
+    SELECT id, target, rule AS matching_rule_id, conf::DOUBLE AS confidence, 'grp_' || substr(sha256(id::VARCHAR), 1, 16) AS candidate_group_id, c AS candidate_count, whole AS candidate_count_is_complete,
+           c = 1 AS is_unique_match, CASE WHEN c = 0 THEN 'unresolved' WHEN c = 1 THEN 'exact' ELSE 'ambiguous' END AS relation_type, CASE WHEN c = 1 THEN 'auto' ELSE 'review_required' END AS verification_status FROM n""")
+def telephone_rules(spark, d):
+    """Municipalities, a few of them decided by a person, matched to numbering areas by their clauses."""
+    k = F.col("p_partkey")
+    name = F.when(k % 2 == 0, F.concat(F.lit("c"), F.floor(k / 40).cast("string"), F.lit("市"))).otherwise(F.concat(F.lit("d"), F.floor(k / 26).cast("string"), F.lit("町")))
+    part = table(spark, d, "part")
+    decided = part.filter(k % 17 == 0).select(k.alias("id"), F.lit("X").alias("target"))
+    return matching.telephone(part.select(k.alias("id"), name.alias("name")), durable(matching.coverage_clauses(_areas(spark, d))), decided)

@@ -118,7 +118,66 @@ def mesh_run_lookup(spark, d):
     """A run for each part, a code for each order."""
     runs = table(spark, d, "part").selectExpr("p_partkey * 50 AS start", "cast(10 + p_size % 30 AS long) AS len", "CASE p_partkey % 4 WHEN 1 THEN array(1, 2) WHEN 2 THEN array(65535) ELSE array(7) END AS ids")
     codes = table(spark, d, "orders").selectExpr("o_orderkey * 3 AS code").distinct()
-    return mesh.run_lookup(codes, runs, 1000).select("code", "kind")
+    return mesh.run_lookup(codes, runs).select("code", "kind")
+
+
+#: A slanted ring with a hole for each supplier, by offsets from its corner (degrees).
+_OUTER, _HOLE = ((0.0013, 0.0021), (0.0587, 0.0107), (0.0471, 0.0433), (0.0119, 0.0391)), ((0.0205, 0.0153), (0.0347, 0.0171), (0.0301, 0.0305))
+_LNG0, _LAT0 = "130 + (s_suppkey * 37 % 97) * 0.0231::DOUBLE", "33 + (s_suppkey * 53 % 89) * 0.0137::DOUBLE"
+
+
+def _plots(spark, d):
+    k = F.col("s_suppkey")
+    x, y = F.lit(130) + k * 37 % 97 * F.lit(0.0231), F.lit(33) + k * 53 % 89 * F.lit(0.0137)
+    ring = lambda corners: F.array(*[F.struct((x + F.lit(dx)).alias("x"), (y + F.lit(dy)).alias("y")) for dx, dy in corners])
+    return table(spark, d, "supplier").select(k.alias("id"), F.array(ring(_OUTER), ring(_HOLE)).alias("rings"))
+
+
+def _edge_list() -> str:
+    return ", ".join(f"({r[i - 1][0]}::DOUBLE, {r[i - 1][1]}::DOUBLE, {r[i][0]}::DOUBLE, {r[i][1]}::DOUBLE)" for r in (_OUTER, _HOLE) for i in range(len(r)))
+
+
+#: Every square around every shape, classified: touched by an edge, or inside by its middle.
+_SQUARES = f"""
+    plots AS (SELECT s_suppkey AS id, {_LNG0} AS x0, {_LAT0} AS y0 FROM supplier),
+    edges AS (SELECT id, (x0 + e.a) * 640 AS px, (y0 + e.b) * 960 AS py, (x0 + e.c) * 640 AS qx, (y0 + e.d) * 960 AS qy FROM plots, (VALUES {_edge_list()}) e(a, b, c, d)),
+    extent AS (SELECT id, CAST(floor(min(least(px, qx))) AS BIGINT) - 1 AS c0, CAST(floor(max(greatest(px, qx))) AS BIGINT) + 1 AS c1, CAST(floor(min(least(py, qy))) AS BIGINT) - 1 AS r0,
+                      CAST(floor(max(greatest(py, qy))) AS BIGINT) + 1 AS r1 FROM edges GROUP BY id),
+    squares AS (SELECT id, r, unnest(range(c0, c1 + 1)) AS c FROM (SELECT *, unnest(range(r0, r1 + 1)) AS r FROM extent)),
+    tested AS (
+        SELECT s.id, s.r, s.c, bool_or(floor(least(py, qy)) <= r AND floor(greatest(py, qy)) >= r
+                AND floor(least(px + (greatest(least(py, qy), r) - py) * (qx - px) / (qy - py), px + (least(greatest(py, qy), r + 1) - py) * (qx - px) / (qy - py)) - 1e-8) <= c
+                AND floor(greatest(px + (greatest(least(py, qy), r) - py) * (qx - px) / (qy - py), px + (least(greatest(py, qy), r + 1) - py) * (qx - px) / (qy - py)) + 1e-8) >= c) AS touched,
+            count(*) FILTER (WHERE (py > r + 0.5) <> (qy > r + 0.5) AND c + 0.5 < px + (r + 0.5 - py) * (qx - px) / (qy - py)) % 2 = 1 AS inside
+        FROM squares s JOIN edges e ON s.id = e.id GROUP BY s.id, s.r, s.c),
+    reached AS (
+        SELECT (((r // 640) * 1000000 + (c // 640 - 100) * 10000 + (r // 8 % 80 // 10) * 1000 + (c // 8 % 80 // 10) * 100 + r // 8 % 10 * 10 + c // 8 % 10) * 64
+                + (c // 4 % 2 + 2 * (r // 4 % 2)) * 16 + (c // 2 % 2 + 2 * (r // 2 % 2)) * 4 + c % 2 + 2 * (r % 2)) AS n, id, touched FROM tested WHERE touched OR inside)"""
+
+
+@register(QUERIES, SQL, f"""WITH {_SQUARES},
+    squares_of AS (SELECT n, string_agg(id::VARCHAR, ',' ORDER BY id) AS ids, count(*) = 1 AND NOT bool_or(touched) AS uniform FROM reached GROUP BY n),
+    islands AS (SELECT *, n - row_number() OVER (PARTITION BY ids, uniform ORDER BY n) AS island FROM squares_of)
+    SELECT min(n) AS start, count(*) AS len, ids, uniform FROM islands GROUP BY ids, uniform, island""")
+def mesh_runs_build(spark, d):
+    """Sixth-order squares that the suppliers' plots reach, as runs."""
+    runs = mesh.build_runs(_plots(spark, d), level=6)
+    return runs.select("start", "len", F.array_join(F.transform("ids", lambda i: i.cast("string")), ",").alias("ids"), "uniform")
+
+
+@register(QUERIES, SQL, f"""WITH {_SQUARES}, squares_of AS (SELECT n, count(*) AS k, min(id) AS id FROM reached GROUP BY n),
+    places AS (SELECT c_custkey, CAST(floor((130 + (c_custkey * 11 % 2300) * 0.001::DOUBLE) * 640) AS BIGINT) AS c, CAST(floor((33 + (c_custkey * 13 % 1250) * 0.001::DOUBLE) * 960) AS BIGINT) AS r FROM customer),
+    numbered AS (SELECT c_custkey, (((r // 640) * 1000000 + (c // 640 - 100) * 10000 + (r // 8 % 80 // 10) * 1000 + (c // 8 % 80 // 10) * 100 + r // 8 % 10 * 10 + c // 8 % 10) * 64
+                + (c // 4 % 2 + 2 * (r // 4 % 2)) * 16 + (c // 2 % 2 + 2 * (r // 2 % 2)) * 4 + c % 2 + 2 * (r % 2)) AS n FROM places)
+    SELECT c_custkey, CASE WHEN k IS NULL THEN 'none' WHEN k = 1 THEN 'contains' ELSE 'ambiguous' END AS kind, CASE WHEN k = 1 THEN id END AS id FROM numbered LEFT JOIN squares_of USING (n)""")
+def mesh_runs_lookup(spark, d):
+    """Customers at places, looked up in the runs of the plots."""
+    k = F.col("c_custkey")
+    c = F.floor((F.lit(130) + k * 11 % 2300 * F.lit(0.001)) * 640).cast("long")
+    r = F.floor((F.lit(33) + k * 13 % 1250 * F.lit(0.001)) * 960).cast("long")
+    places = table(spark, d, "customer").select("c_custkey", mesh.square_number(r, c, 6).alias("code"))
+    found = mesh.run_lookup(places, mesh.build_runs(_plots(spark, d), level=6))
+    return found.select("c_custkey", "kind", F.when(F.col("kind") == "contains", F.element_at("ids", 1)).alias("id"))
 
 
 _SLANTED = "(5 + 20 * n_nationkey % 140)"
