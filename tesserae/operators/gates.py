@@ -36,29 +36,77 @@ def is_stale(override: dict, shas: dict[str, str]) -> bool:
     return not recorded or any(shas.get(k) != v for k, v in recorded.items())
 
 
-def apply_overrides(table: DataFrame, overrides: list[dict], shas: dict[str, str]) -> tuple[DataFrame, list[dict]]:
-    """Apply overrides in order to a bridge; a fresh one sets its columns, a stale one only marks rows for review.
+DECISIONS = "`order` long, id string, stale boolean, `where` map<string,string>, `set` map<string,string>"
+
+
+def decision_rows(spark, overrides: list[dict], shas: dict[str, str]) -> DataFrame:
+    """Overrides as a table of decisions (order, id, stale, where, set), values as text."""
+    text = lambda v: None if v is None else str(v).lower() if isinstance(v, bool) else str(v)
+    texts = lambda m: {k: text(v) for k, v in m.items()}
+    return spark.createDataFrame([(i, o["id"], is_stale(o, shas), texts(o["where"]), texts(o["set"])) for i, o in enumerate(overrides)], DECISIONS)
+
+
+def apply_decisions(table: DataFrame, decisions: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """A bridge after ``decisions`` (order, id, stale, where, set), one after the other as ordered, and what each of them did: (id, stale, unknown_columns, rows).
+
+    A fresh decision sets its columns and ``matching_rule_id`` in the rows that equal its ``where`` (as earlier decisions have left them); a stale one only marks them for review.
+    One that names a column that the table lacks does nothing and is reported. Values are text, and take the columns' types; one that has no such value never matches, and sets NULL.
 
-    A column that the table lacks makes the override unmatched and is reported, not raised. The report counts rows, in one pass at the end.
+    Columns that no decision changes tell which decisions a row meets: an equi-join for each set of such columns, against one row a key. A row then folds its own
+    decisions in order. So the plan grows with the sets of columns, not with the decisions, and rows are never multiplied.
     """
-    report, marks = [], []
-    for i, o in enumerate(overrides):
-        unknown = [c for c in (*o["where"], *o["set"]) if c not in table.columns]
-        stale = is_stale(o, shas)
-        report.append({"id": o["id"], "stale": stale, "unknown_columns": unknown, "rows": 0})
-        if unknown:
-            continue
-        hit = F.coalesce(all_equal(o["where"]), F.lit(False))
-        mark = f"__override_{i}"
-        table = table.withColumn(mark, hit)
-        marks.append((i, mark))
-        new = {"override_stale": F.lit(True), "verification_status": F.lit("review_required")} if stale else {k: F.lit(v) for k, v in o["set"].items()} | {"matching_rule_id": F.lit("manual_override")}
-        table = table.withColumns({c: F.when(F.col(mark), v).otherwise(F.col(c)) for c, v in new.items()})
-    if marks:
-        counts = table.agg(*[F.count_if(F.col(m)).alias(m) for _, m in marks]).first()
-        for i, m in marks:
-            report[i]["rows"] = counts[m]
-    return table.drop(*[m for _, m in marks]), report
+    types = dict(table.dtypes)
+    unknown = F.array_except(F.array_union(F.map_keys("where"), F.map_keys("set")), F.array(*map(F.lit, table.columns)))
+    decisions = decisions.withColumn("unknown_columns", unknown)
+    known = decisions.filter(F.size("unknown_columns") == 0)
+    forms = known.select(F.map_keys("where").alias("where"), F.map_keys("set").alias("set"), "stale").distinct().collect()  # sets of columns
+    changed = {c for f in forms if not f.stale for c in (*f.set, "matching_rule_id")} | {c for f in forms if f.stale for c in ("override_stale", "verification_status")}
+    if not forms:
+        return table, decisions.select("id", "stale", "unknown_columns", F.lit(0).cast("long").alias("rows"))
+    held = lambda k: k.isin(*changed)
+    entry = F.struct("order", "stale", F.map_filter("where", lambda k, v: held(k)).alias("where"), "set")
+    keys = F.array_sort(F.filter(F.map_keys("where"), lambda k: ~held(k)))
+    met, out = [], table
+    for n, columns in enumerate(sorted({tuple(sorted(set(f.where) - changed)) for f in forms})):
+        mine = f"decisions {n}"
+        rows = known.filter(keys == F.array(*map(F.lit, columns)).cast("array<string>"))
+        named = {f"key {n} {c}": F.col("where")[c].try_cast(types[c]) for c in columns}
+        side = rows.withColumns(named).groupBy(*named).agg(F.collect_list(entry).alias(mine))
+        on = [F.col(f"`{c}`") == F.col(f"key {n} {c}") for c in columns]
+        out = out.join(side, on, "left").drop(*named) if on else out.join(F.broadcast(side), how="cross")  # a row without a key is the only one
+        met.append(F.coalesce(mine, F.array().cast(side.schema[mine].dataType)))
+    ordered = F.array_sort(F.concat(*met), lambda a, b: (a["order"] - b["order"]).cast("int"))
+    names = sorted(changed)
+    start = F.struct(*[F.col(f"`{c}`").alias(c) for c in names], F.array().cast("array<bigint>").alias("decisions that hit"))
+
+    def step(s, d):
+        given = lambda m, c: d[m][c].try_cast(types[c])
+        equal = [F.when(F.map_contains_key(d["where"], F.lit(c)), F.coalesce(s[c] == given("where", c), F.lit(False))).otherwise(True) for c in names]
+        hit = reduce(lambda a, b: a & b, equal)
+        marks = {"override_stale": "true", "verification_status": "review_required"}
+
+        def value(c):
+            v = F.when(hit & d["stale"], F.lit(marks[c]).try_cast(types[c])) if c in marks else F.when(hit & d["stale"], s[c])
+            if c == "matching_rule_id":
+                return v.when(hit, F.lit("manual_override")).otherwise(s[c])
+            return v.when(hit & F.map_contains_key(d["set"], F.lit(c)), given("set", c)).otherwise(s[c])
+
+        hits = F.when(hit, F.concat(s["decisions that hit"], F.array(d["order"]))).otherwise(s["decisions that hit"])
+        return F.struct(*[value(c).cast(types[c]).alias(c) for c in names], hits.alias("decisions that hit"))
+
+    out = out.withColumn("after all", F.aggregate(ordered, start, step))
+    done = out.select(*[F.col("after all")[c].alias(c) if c in changed else F.col(f"`{c}`") for c in table.columns])
+    hits = out.select(F.explode(F.col("after all")["decisions that hit"]).alias("order")).groupBy("order").agg(F.count("*").alias("rows"))
+    report = decisions.join(hits, "order", "left").orderBy("order").select("id", "stale", "unknown_columns", F.coalesce("rows", F.lit(0)).cast("long").alias("rows"))
+    return done, report
+
+
+def apply_overrides(table: DataFrame, overrides: list[dict], shas: dict[str, str]) -> tuple[DataFrame, list[dict]]:
+    """``apply_decisions`` of overrides from a file; the report, a row an override, comes to the driver."""
+    if not overrides:
+        return table, []
+    out, report = apply_decisions(table, decision_rows(table.sparkSession, overrides, shas))
+    return out, [r.asDict() for r in report.collect()]
 
 
 def judge_aliases(aliases: DataFrame, names: DataFrame, parsed: DataFrame) -> DataFrame:
@@ -91,6 +139,12 @@ def diff_keys(current: DataFrame, previous: DataFrame, key: str, samples: int =
     return {"added": added.count(), "removed": removed.count(), "added_sample": first(added), "removed_sample": first(removed)}
 
 
+def unexplained_removals(current: DataFrame, previous: DataFrame, explained: DataFrame, key: str) -> DataFrame:
+    """Keys of the previous release that are gone without a row in ``explained``."""
+    gone = previous.select(key).distinct().join(current.select(key), key, "left_anti")
+    return gone.join(explained.select(key), key, "left_anti")
+
+
 def entity_diff(current: DataFrame, previous: DataFrame, explained: DataFrame, key: str, name: str, code: str) -> DataFrame:
     """One row: added, removed, explained, unexplained, renamed, recoded. Changes from or to NULL are not counted."""
     a = current.select(key, F.col(name).alias("n1"), F.col(code).alias("c1"), F.lit(True).alias("here"))

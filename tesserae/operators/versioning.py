@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..durable import durable
+from ..durable import durable, forget
 from ..errors import stop_if_any
 
 CLOCK = ("observed_from", "observed_to", "is_current", "source_snapshot_id", "match_run_id", "created_at", "updated_at")
@@ -146,24 +144,40 @@ def version_id(columns: list[str]) -> Column:
     return F.concat(F.lit("ver_"), F.substring(content_hash(columns), 1, 16))
 
 
-def walk(roots: DataFrame, edges: DataFrame, rounds: int | None = None) -> DataFrame:
-    """(root, code, since, all_unique): where the walks from ``roots`` (``code``) over ``edges`` (old, new, date, is_unique) end.
+def walks(roots: DataFrame, edges: DataFrame, *told: str) -> DataFrame:
+    """(root, code, since, all_unique, steps, hops): the walks from ``roots`` (``code``) over ``edges`` (old, new, date, is_unique, and the columns ``told``), to their ends. ``hops`` has each step's
+    (old, new, date, is_unique, ...) in order, where columns are told; else it is left out, and walks that agree in the other columns are one.
 
-    A step must be later than the one before and change the code, so each walk ends, and the loop with the longest; a caller's own bound of ``rounds``
-    is an error where it is too low. One join a round; the frontier alone travels: a step that goes on is replaced by its successors, one that ends is kept.
+    A step must be later than the one before and change the code, so each walk ends. A place is a code and the day on which it was reached; what follows from there does not
+    depend on the way. So walks are composed: after n rounds each place knows where 2 to the n steps lead, and rounds are the logarithm of the longest walk.
     """
-    ahead = edges.filter("old <> new").select("old", "new", "date", "is_unique").distinct()
-    step = roots.select(F.col("code").alias("root"), "code", F.lit("").alias("since"), F.lit(True).alias("all_unique")).distinct()
-    ended, n = [], 0
-    while True:
-        on = step.join(ahead, (F.col("code") == F.col("old")) & (F.col("date") > F.col("since")), "left")
-        on = durable(on.select("root", "code", "since", "all_unique", "new", "date", "is_unique"))
-        ended.append(on.filter("new IS NULL").select("root", "code", "since", "all_unique"))
-        moving = on.filter("new IS NOT NULL")
-        if moving.isEmpty():
-            break
-        n += 1
-        if rounds is not None and n >= rounds:
-            raise RuntimeError(f"walks have not ended in {rounds} rounds")
-        step = moving.select("root", F.col("new").alias("code"), F.col("date").alias("since"), (F.col("all_unique") & F.col("is_unique")).alias("all_unique")).distinct()
-    return reduce(DataFrame.unionByName, ended)
+    ahead = edges.filter("old <> new").select("old", "new", "date", "is_unique", *told).distinct()
+    starts = roots.select("code", F.lit("").alias("since")).distinct()
+    places = starts.unionByName(ahead.select(F.col("new").alias("code"), F.col("date").alias("since"))).distinct()
+    first = places.join(ahead, (F.col("code") == F.col("old")) & (F.col("date") > F.col("since")), "left")
+    hop = F.array(F.struct("old", "new", "date", "is_unique", *told))
+    hops = [F.when(F.col("old").isNull(), F.slice(hop, 1, 0)).otherwise(hop).alias("hops")] if told else []
+    reach = durable(first.select(
+        "code", "since", F.coalesce("new", "code").alias("to_code"), F.coalesce("date", "since").alias("to_since"), F.coalesce("is_unique", F.lit(True)).alias("all_unique"),
+        F.col("old").isNotNull().cast("long").alias("steps"), F.col("old").isNull().alias("ended"), *hops,
+    ))
+    while not reach.filter("NOT ended").isEmpty():
+        on = reach.select(F.col("code").alias("to_code"), F.col("since").alias("to_since"), *[F.col(c).alias(f"on_{c}") for c in reach.columns[2:]])
+        both = reach.filter("NOT ended").join(on, ["to_code", "to_since"])
+        more = [F.concat("hops", "on_hops").alias("hops")] if told else []
+        further = both.select(
+            "code", "since", F.col("on_to_code").alias("to_code"), F.col("on_to_since").alias("to_since"), (F.col("all_unique") & F.col("on_all_unique")).alias("all_unique"),
+            (F.col("steps") + F.col("on_steps")).alias("steps"), F.col("on_ended").alias("ended"), *more,
+        )
+        before, reach = reach, durable(reach.filter("ended").unionByName(further).distinct())
+        forget(before)
+    found = starts.withColumnsRenamed({"code": "root"}).drop("since").join(reach.filter("since = ''").withColumnRenamed("code", "place"), F.col("root").eqNullSafe(F.col("place")))
+    return found.select("root", F.col("to_code").alias("code"), F.col("to_since").alias("since"), "all_unique", "steps", *(["hops"] if told else []))
+
+
+def walk(roots: DataFrame, edges: DataFrame, rounds: int | None = None) -> DataFrame:
+    """(root, code, since, all_unique): where the ``walks`` end. A caller's own bound of ``rounds`` is an error where a walk has as many steps."""
+    found = walks(roots, edges)
+    if rounds is not None and (found.agg(F.max("steps")).first()[0] or 0) >= rounds:
+        raise RuntimeError(f"walks have not ended in {rounds} rounds")
+    return found.select("root", "code", "since", "all_unique").distinct()

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.versioning import walk as _walk
+from ..operators.versioning import walks as _walks
 
 CENSUS_YEAR = 2025
 # Labels of the census tables, and the two-digit prefixes of their age classes.
@@ -172,19 +173,27 @@ class Release:
         rows = self._towns_of_postal(postal_code).select("lg_code").distinct().join(self.municipalities(), "lg_code").join(s, "lg_code")
         return rows.select(F.lit(postal_code).alias("postal_code"), "lg_code", "pref", "city", "ward", "n02_group_code", "station_name_raw", "operator_name_raw", "relation_type").orderBy("lg_code", "station_name_raw", "n02_group_code")
 
-    def q19_lineage_to_current(self, old_lg_code: str) -> DataFrame:
-        """Every step of the walks from a code, with its path; each step is later than the one before, so walks end."""
-        spark = self["municipality_lineage_edge"].sparkSession
-        self["municipality_lineage_edge"].createOrReplaceTempView("documented_edges")
-        steps = spark.sql("""
-            WITH RECURSIVE steps(lg_code, since, depth, path, all_unique) AS (
-                SELECT cast(:code AS string), '0000-00-00', 0, cast(:code AS string), true
-                UNION ALL
-                SELECT e.new_lg_code, e.effective_date, s.depth + 1, concat(s.path, ' →(', e.effective_date, ' ', e.event_type, ') ', e.new_lg_code), s.all_unique AND e.is_unique_match
-                FROM steps s JOIN documented_edges e ON e.old_lg_code = s.lg_code AND e.effective_date > s.since AND e.new_lg_code <> e.old_lg_code
-            ) SELECT * FROM steps""", args={"code": old_lg_code})
+    def _edges(self, *more: Column) -> DataFrame:
+        names = {"old": "old_lg_code", "new": "new_lg_code", "date": "effective_date", "is_unique": "is_unique_match"}
+        return self["municipality_lineage_edge"].select(*[F.col(c).alias(a) for a, c in names.items()], *more)
+
+    def lineage_of_all(self, roots: DataFrame) -> DataFrame:
+        """(root, depth, path, lg_code, pref, city, ward, is_current_code, all_unique, population_total): every step of the walks from ``roots`` (code), with its path."""
+        whole = _walks(roots, self._edges("event_type"), "event_type")
+        # a walk's beginnings are steps too; walks share them
+        steps = whole.select("root", F.explode(F.sequence(F.lit(0), F.col("steps").cast("int"))).alias("depth"), "hops").select("root", "depth", F.slice("hops", F.lit(1), F.col("depth")).alias("hops")).distinct()
+        told = F.transform("hops", lambda h: F.concat(F.lit(" →("), h["date"], F.lit(" "), h["event_type"], F.lit(") "), h["new"]))
+        steps = steps.select(
+            "root", "depth", F.concat("root", F.array_join(told, "")).alias("path"), F.coalesce(F.try_element_at("hops", F.lit(-1))["new"], F.col("root")).alias("lg_code"),
+            F.forall("hops", lambda h: h["is_unique"]).alias("all_unique"),
+        )
         out = steps.join(self.municipalities().withColumn("is_current_code", F.lit(True)), "lg_code", "left").join(self.population("population_total"), "lg_code", "left")
-        return out.select("depth", "path", "lg_code", "pref", "city", "ward", F.coalesce("is_current_code", F.lit(False)).alias("is_current_code"), "all_unique", "population_total").orderBy("depth", "lg_code", "path")
+        return out.select("root", "depth", "path", "lg_code", "pref", "city", "ward", F.coalesce("is_current_code", F.lit(False)).alias("is_current_code"), "all_unique", "population_total")
+
+    def q19_lineage_to_current(self, old_lg_code: str) -> DataFrame:
+        """Every step of the walks from a code, with its path."""
+        root = self["municipality_lineage_edge"].sparkSession.createDataFrame([(old_lg_code,)], "code string")
+        return self.lineage_of_all(root).drop("root").orderBy("depth", "lg_code", "path")
 
     def _ages(self) -> DataFrame:
         a = self["census_population_age"].filter((F.col("census_year") == CENSUS_YEAR) & (F.col("nationality_raw") == ALL_NATIONALITIES))
@@ -249,6 +258,5 @@ class Release:
 
     def current_codes_of(self, old_lg_code: str) -> DataFrame:
         """Where the walks from a code end."""
-        e = self["municipality_lineage_edge"]
-        edges = e.select(F.col("old_lg_code").alias("old"), F.col("new_lg_code").alias("new"), F.col("effective_date").alias("date"), F.col("is_unique_match").alias("is_unique"))
-        return _walk(e.sparkSession.createDataFrame([(old_lg_code,)], "code string"), edges)
+        root = self["municipality_lineage_edge"].sparkSession.createDataFrame([(old_lg_code,)], "code string")
+        return _walk(root, self._edges())

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..durable import durable
 from ..operators import gates, versioning
 from .inputs import register, table
 
@@ -79,6 +80,7 @@ def identity_resolve(spark, d):
     """One area is recoded to another, one is split in two; both by attestation."""
     towns, ledger = _ledger(spark, d)
     out = versioning.resolve_identity(towns, ledger, spark.createDataFrame([("a3", "b3"), ("a4", "b4"), ("a4", "b5")], "old_area string, new_area string"))
+    out = durable(out)  # checked as it stands, not worked out twice
     versioning.check_identity(out)
     return out
 
@@ -126,14 +128,14 @@ def diff_entities(spark, d):
 def diff_keys(spark, d):
     """The report's samples: the first 25 keys added and removed."""
     cur, prev = _orders(spark, d)
-    first = lambda a, b, kind: a.select("k").join(b.select("k"), "k", "left_anti").orderBy("k").limit(25).select(F.lit(kind).alias("kind"), "k")
-    return first(cur, prev, "added").unionByName(first(prev, cur, "removed"))
+    found = gates.diff_keys(cur, prev, "k")
+    return spark.createDataFrame([(kind, k) for kind in ("added", "removed") for k in found[f"{kind}_sample"]], "kind string, k long")
 
 
 @register(QUERIES, SQL, f"WITH {_ORD} SELECT k FROM prev WHERE k NOT IN (SELECT k FROM cur) AND k % 10 <> 0")
 def unexplained_removals(spark, d):
     cur, prev = _orders(spark, d)
-    return prev.select("k").join(cur.select("k"), "k", "left_anti").join(prev.filter("k % 10 = 0").select("k"), "k", "left_anti")
+    return gates.unexplained_removals(cur, prev, prev.filter("k % 10 = 0").select("k"), "k")
 
 
 @register(QUERIES, SQL, """SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' AND o_orderpriority = '1-URGENT' THEN 'manually_verified' WHEN o_orderstatus = 'P' THEN 'review_required' ELSE 'auto' END AS verification_status,
@@ -149,6 +151,28 @@ def overrides_apply(spark, d):
     return out.select("o_orderkey", "verification_status", "matching_rule_id", "override_stale")
 
 
+@register(QUERIES, SQL, """
+    WITH d AS (SELECT c_custkey, CASE WHEN c_custkey % 4 = 3 THEN 'P' ELSE 'F' END AS status, c_mktsegment AS segment, c_custkey % 6 = 5 AS stale FROM customer),
+    hit AS (  -- by customer and status; every tenth also by the customer alone, later in order
+        SELECT o.*, d.c_custkey AS place, 'keyed' AS by_, d.segment, d.stale FROM orders o JOIN d ON o_custkey = d.c_custkey AND o_orderstatus = d.status
+        UNION ALL SELECT o.*, 1000000000 + d.c_custkey, 'alone', d.segment, false FROM orders o JOIN d ON o_custkey = d.c_custkey AND d.c_custkey % 10 = 0),
+    last_ AS (
+        SELECT o_orderkey, arg_max(segment, place) FILTER (WHERE NOT stale) AS segment, max(place) FILTER (WHERE NOT stale) AS fresh, bool_or(stale) AS stale, max(place) FILTER (WHERE stale) AS marked FROM hit GROUP BY o_orderkey)
+    SELECT o.o_orderkey, coalesce(l.segment, o.o_orderpriority) AS o_orderpriority, CASE WHEN fresh IS NULL THEN 'R1' ELSE 'manual_override' END AS matching_rule_id,
+           CASE WHEN fresh IS NULL AND marked IS NULL THEN 'auto' WHEN fresh IS NULL OR marked > fresh THEN 'review_required' ELSE 'manually_verified' END AS verification_status, coalesce(l.stale, false) AS override_stale
+    FROM orders o LEFT JOIN last_ l ON o.o_orderkey = l.o_orderkey""")
+def decisions_apply(spark, d):
+    """Decisions as data: one or two for each customer, some of them stale."""
+    o = table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority", F.lit("auto").alias("verification_status"), F.lit("R1").alias("matching_rule_id"), F.lit(False).alias("override_stale"))
+    c, k = table(spark, d, "customer"), F.col("c_custkey")
+    what = F.create_map(F.lit("o_orderpriority"), F.col("c_mktsegment"), F.lit("verification_status"), F.lit("manually_verified")).alias("set")
+    status = F.when(k % 4 == 3, "P").otherwise("F")
+    keyed = c.select(k.alias("order"), k.cast("string").alias("id"), (k % 6 == 5).alias("stale"), F.create_map(F.lit("o_custkey"), k.cast("string"), F.lit("o_orderstatus"), status).alias("where"), what)
+    alone = c.filter(k % 10 == 0).select((k + 1_000_000_000).alias("order"), k.cast("string").alias("id"), F.lit(False).alias("stale"), F.create_map(F.lit("o_custkey"), k.cast("string")).alias("where"), what)
+    out, _ = gates.apply_decisions(o, keyed.unionByName(alone))
+    return out.drop("o_custkey", "o_orderstatus")
+
+
 @register(QUERIES, SQL, """
     WITH a AS (SELECT CAST(n_nationkey AS BIGINT) AS id, CASE WHEN n_nationkey % 3 = 0 THEN 'other' ELSE n_name END AS expected, CASE WHEN n_nationkey % 4 = 0 THEN 'ASIA' END AS forbidden, 's' || n_nationkey % 5 AS source FROM nation)
     SELECT id, expected = 'other' AS code_name_differs, forbidden IS NOT NULL AS forbidden_exists, source = 's4' AS source_corrected, expected <> 'other' AND forbidden IS NULL AND source <> 's4' AS applies FROM a""")

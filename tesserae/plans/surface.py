@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from .inputs import register, table
+from .inputs import over_tables, register, table
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -18,10 +18,7 @@ def _sql(name: str, text: str, duck: str | None = None, **args):
     """A query in SQL: run by Spark with named parameters; DuckDB gets the same text with the values in place, or its own dialect."""
 
     def run(spark, d):
-        for t in ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents"):
-            if t in text:
-                table(spark, d, t).createOrReplaceTempView(t)
-        return spark.sql(text, args=args)
+        return over_tables(spark, d, text, **args)
 
     run.__name__ = name
     given = duck or text
@@ -74,8 +71,7 @@ def population_rollup_strict(spark, d):
 @register(QUERIES, SQL, """SELECT o_orderstatus, o_orderpriority, grouping_id(o_orderstatus, o_orderpriority) AS level, count(*) AS n FROM orders GROUP BY GROUPING SETS ((o_orderstatus), (o_orderpriority), ())""")
 def bridge_quality_metrics(spark, d):
     """Distributions of several columns in one pass."""
-    table(spark, d, "orders").createOrReplaceTempView("orders")
-    return spark.sql("SELECT o_orderstatus, o_orderpriority, grouping_id(o_orderstatus, o_orderpriority) AS level, count(*) AS n FROM orders GROUP BY GROUPING SETS ((o_orderstatus), (o_orderpriority), ())")
+    return over_tables(spark, d, "SELECT o_orderstatus, o_orderpriority, grouping_id(o_orderstatus, o_orderpriority) AS level, count(*) AS n FROM orders GROUP BY GROUPING SETS ((o_orderstatus), (o_orderpriority), ())")
 
 
 @register(QUERIES, SQL, """SELECT count(*) AS n_rows, count(*) - count(DISTINCT (l_orderkey, l_linenumber)) AS n_duplicates, count(*) - count(nullif(l_returnflag, 'N')) AS n_null, count(DISTINCT l_orderkey) AS n_keys,
