@@ -8,7 +8,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..durable import durable, shared_folder  # noqa: F401 (shared_folder is for the operators)
+from ..durable import durable, forget, shared_folder  # noqa: F401 (forget and shared_folder are for the operators)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -113,8 +113,9 @@ def components(links: DataFrame) -> DataFrame:
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = skew_join(large, least, ["a"]).filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         small = small.unionByName(least.withColumnRenamed("m", "b")).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-        pairs = durable(small.filter("a <> b").distinct())
+        older, pairs = pairs, durable(small.filter("a <> b").distinct())
         now = state(pairs)
+        forget(older)
         if now == before:
             break
         before = now

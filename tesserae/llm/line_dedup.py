@@ -13,7 +13,7 @@ from operator import or_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._common import named, rest, skew_join, text_hashes
+from ._common import durable, forget, named, rest, skew_join, text_hashes
 
 BLANK = " \t\n\x0b\x0c\r"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -44,19 +44,21 @@ def dedup_lines(docs: DataFrame, min_chars: int = 40, min_docs: int = 5, id_col:
     A key of at least ``min_chars`` code points found in at least ``min_docs`` different documents keeps its lines in the
     document with the largest id only. A null or empty text is one empty line, never dropped, and comes back as an empty text. Documents are
     told apart by id: rows that repeat an id count once and are treated alike; rows with a null id count as one document
-    that sorts below all others. ``n_lines`` and ``n_dropped`` replace columns of those names, in any case. An empty table gives an empty result.
+    that sorts below all others. Bytes of a text that are no UTF-8 become U+FFFD, before anything else. ``n_lines`` and ``n_dropped`` replace columns of those names, in any case. An empty table gives an empty result.
 
-    The counting shuffles on (hash, document) and then on partial counts, so no line is hot; the join that brings
-    verdicts back has one row for each repeated hash on its small side and is left to adaptive skew splitting.
+    Lines are split and hashed once; their hashes and positions stand in the shared folder until the verdicts are known. The counting shuffles on (hash, document)
+    and then on partial counts, so no line is hot; the join that brings verdicts back has one row for each repeated hash on its small side and is left to
+    adaptive skew splitting. The lost positions that a task holds in memory take a tenth of its texts' bytes at most: four for a line of ``min_chars``.
     """
     carried = rest(docs, id_col, text_col, "n_lines", "n_dropped")
+    valid = F.make_valid_utf8(named(text_col))
     base = docs.select(
         named(id_col).cast("long").alias("doc"),
-        F.xxhash64(named(text_col)).alias("own"),  # tells apart rows that share an id
-        named(text_col).alias("text"),
+        F.xxhash64(valid).alias("own"),  # tells apart rows that share an id
+        valid.alias("text"),
         F.struct(F.lit(0).alias("_"), *[named(c).alias(f"c{i}") for i, c in enumerate(carried)]).alias("carried"),
     )
-    lines = line_hashes(base.select("doc", "own", "text"), min_chars)
+    lines = durable(line_hashes(base.select("doc", "own", "text"), min_chars))
     verdicts = (
         lines.select("h1", "h2", F.coalesce("doc", F.lit(-(2**63))).alias("doc"))
         .groupBy("h1", "h2")
@@ -64,13 +66,14 @@ def dedup_lines(docs: DataFrame, min_chars: int = 40, min_docs: int = 5, id_col:
         .filter(F.col("n") >= min_docs)
         .select("h1", "h2", "keeper")
     )
-    lost = (
+    lost = durable(
         skew_join(lines, verdicts, ["h1", "h2"])
         .filter(F.coalesce("doc", F.lit(-(2**63))) != F.col("keeper"))
         .groupBy(F.col("doc").alias("lost_doc"), F.col("own").alias("lost_own"))
         .agg(F.collect_set("pos").alias("lost"))
     )
-    joined = base.join(lost.hint("shuffle_hash"), F.col("doc").eqNullSafe(F.col("lost_doc")) & (F.col("own") == F.col("lost_own")), "left").select("doc", F.coalesce(F.validate_utf8("text"), F.lit("")).alias("text"), "lost", "carried")
+    forget(lines)
+    joined = base.join(lost.hint("shuffle_hash"), F.col("doc").eqNullSafe(F.col("lost_doc")) & (F.col("own") == F.col("lost_own")), "left").select("doc", F.coalesce("text", F.lit("")).alias("text"), "lost", "carried")
     parts = joined.select("*", F.split("text", "\n", -1).alias("parts"))
     left = F.array_except(F.sequence(F.lit(0), F.size("parts") - 1), F.col("lost"))  # in order
     text = F.when(F.col("lost").isNull(), F.col("text")).otherwise(F.array_join(F.transform(left, lambda i: F.get("parts", i)), "\n"))

@@ -169,20 +169,24 @@ class Shard:
         self.ids = ids.flatten().to_numpy(zero_copy_only=False)
         self.weight = np.diff(ids.offsets.to_numpy())
         self.first = np.cumsum(self.weight) - self.weight
+        #: how many ids of each vector are no other vector's: only those count towards k while the tree is searched
+        _, place, times = np.unique(self.ids, return_inverse=True, return_counts=True)
+        self.alone = np.add.reduceat((times[place] == 1).astype(np.int64), self.first)
         self.tree = VPTree(unit_rows(self.vectors))
 
     def search(self, query_ids, queries, within, k: int, relax: float) -> pa.RecordBatch:
-        """Each query's ``k`` nearest in this shard, found by the tree and scored exactly."""
+        """The ids of each query's ``k`` nearest in this shard, found by the tree and scored exactly; an id counts by its nearest vector."""
         out = [], [], []
         for qid, q, unit, t in zip(query_ids, queries, unit_rows(queries), within, strict=True):
-            rows = self.tree.search(unit, k + 1, relax, self.weight, t)  # one more, for the query's own row
+            rows = self.tree.search(unit, k + 1, relax, self.alone, t)  # one more, for the query's own row
             if not len(rows):
                 continue
             score = np.repeat(cosine(self.vectors[rows], q), self.weight[rows])
             found = np.concatenate([self.ids[self.first[r] : self.first[r] + self.weight[r]] for r in rows])
             other = found != qid
             score, found = score[other], found[other]
-            best = np.lexsort((found, -score))[:k]
+            order = np.lexsort((found, -score))
+            best = order[np.sort(np.unique(found[order], return_index=True)[1])[:k]]
             for column, x in zip(out, (np.full(len(best), qid), found[best], score[best]), strict=True):
                 column.append(x)
         kinds = np.int64, np.int64, np.float64
@@ -225,7 +229,8 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5, relax: float = 0
 
     Both inputs have ``id_col`` and ``vector_col``. Ties go to the smaller id; a query's own id is no candidate; fewer
     candidates: all that are found. Vectors null, empty, zero or holding null or non-finite components take no part, nor do
-    rows with a null id; only vectors of as many components are compared. Repeated rows count once. Either side empty: an empty result.
+    rows with a null id; only vectors of as many components are compared. Repeated rows count once. An id with several vectors, on either side, is as near as the nearest of
+    them, and has one rank. Either side empty: an empty result.
 
     Equal vectors share an entry with their ``k + 1`` smallest ids. A cell over the size of a shard, which the sample could not part,
     is dealt to several by a hash. The vectors' shuffles are four, whatever the number of queries: for repeated rows, for equal
@@ -281,7 +286,8 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5, relax: float = 0
 
     best = W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     home = durable(route(asked).withColumn("t", F.lit(float("inf"))))
-    at_home = visit(home).withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k).drop("rank")
+    once = lambda df: df.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+    at_home = once(visit(home)).withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k).drop("rank")
     at_home = durable(at_home)
     kth = at_home.groupBy("query_id").agg(F.min("score").alias("kth"), F.count("*").alias("got")).filter(F.col("got") >= k).select(F.col("query_id").alias("id"), "kth")
     known = home.drop("t").join(kth, "id", "left").select("bits", "cell", "id", "v", F.coalesce(F.sqrt(F.greatest(F.lit(0.0), 2 - 2 * F.col("kth"))), F.lit(float("inf"))).alias("t"))
@@ -304,7 +310,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5, relax: float = 0
 
     kind = dict(home.dtypes)["v"]
     away = durable(known.mapInArrow(other_cells, f"bits int, cell int, id long, v {kind}, t double"))
-    found = at_home.unionByName(visit(away))
+    found = once(at_home.unionByName(visit(away)))
     return found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
