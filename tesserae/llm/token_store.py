@@ -7,6 +7,7 @@ documents, or a span of the token stream, meets only the pages that hold them, b
 
 from __future__ import annotations
 
+import gc
 import json
 import os
 import re
@@ -51,12 +52,15 @@ class Encoder:
         parts = [self.cut.split(t) if self.cut and not (self.special and self.special.search(t)) else [t] for t in texts]
         if len(self.memo) > self.entries:
             self.memo = {}
-        memo, once = self.memo, {}
+        memo = self.memo
         wanted = [w for w in set().union(*parts) if w not in memo]
         for word, found in zip(wanted, self.library.encode_batch_fast(wanted, add_special_tokens=False), strict=True):
-            (memo if len(word) <= self.longest else once)[word] = array("i", found.ids).tobytes()
-        known = memo | once if once else memo
-        return [b"".join(map(known.__getitem__, p)) for p in parts]
+            memo[word] = array("i", found.ids).tobytes()
+        out = [b"".join(map(memo.__getitem__, p)) for p in parts]
+        for word in wanted:
+            if len(word) > self.longest:
+                del memo[word]
+        return out
 
 
 def encode_with_end(docs: DataFrame, vocabulary: str, end_id: int | None = 0, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -65,6 +69,7 @@ def encode_with_end(docs: DataFrame, vocabulary: str, end_id: int | None = 0, id
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
 
     def run(batches):
+        gc.disable()  # nothing here has cycles, and the memo is large to walk
         encoder = Encoder(shared.value)
         end = b"" if end_id is None else array("i", [end_id]).tobytes()
         for batch in sliced(batches, 100):
