@@ -25,10 +25,15 @@ def durable(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def remove_folder(spark: SparkSession, folder: str) -> None:
+    """Delete a folder through the file system that Spark itself uses for it."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def forget(*frames: DataFrame) -> None:
     """Remove the files that ``durable`` wrote for ``frames``. Only for frames that nothing reads any more, lazily defined frames included."""
     for df in frames:
         place = df._jdf.queryExecution().logical().rdd().getCheckpointFile()
         if place.isDefined():
-            folder = df.sparkSession._jvm.org.apache.hadoop.fs.Path(place.get())
-            folder.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+            remove_folder(df.sparkSession, place.get())

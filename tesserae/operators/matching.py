@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from ..functions.normalize import normalize_conservative, normalize_postal_town, normalize_relaxed
 from .bridges import cascade
+from .similarity import nearest_names
 
 #: A municipality, with its prefecture before it or not.
 _MUNICIPALITY = r"^(.+?[都道府県])?(.+?[市区町村])$"
@@ -34,15 +35,28 @@ def postal(addresses: DataFrame, codes: DataFrame, records: DataFrame) -> DataFr
     return cascade(addresses, [("P1", 1.0, by_key), ("P2", 0.9, by_name), ("P3", 0.3, by_municipality, False)])
 
 
-def town_reference(addresses: DataFrame, towns: DataFrame, decided: DataFrame | None = None) -> DataFrame:
+def town_reference(addresses: DataFrame, towns: DataFrame, decided: DataFrame | None = None, most: int | None = None) -> DataFrame:
     """Addresses (id, lg_code, name) to town reference points (lg_code, mlit_code, name). M0 a person's decision (id, target); M1 the conservative name; M3 the relaxed name
-    (one leading 大字 or 字 less on either side). The relaxed profile is used for M3 alone."""
+    (one leading 大字 or 字 less on either side). The relaxed profile is used for M3 alone.
+
+    With ``most``, names of one municipality that disagree in up to as many edits come last: M2 where one town is nearest, which a person has to confirm (equivalent), M4 where
+    several are (ambiguous).
+    """
     exact = lambda e: _joined(e, towns, normalize_conservative(F.col("name")), normalize_conservative(F.col("name")), "mlit_code")
     relaxed = lambda e: _joined(e, towns, normalize_relaxed(F.col("name")), normalize_relaxed(F.col("name")), "mlit_code")
     rules = [("M1", 1.0, exact), ("M3", 0.8, relaxed)]
     if decided is not None:
         rules = [("M0", 1.0, lambda e: e.select("id").join(decided, "id")), *rules]
-    return cascade(addresses, rules)
+    if most is None:
+        return cascade(addresses, rules)
+    named = lambda df, *more: df.select(F.col("lg_code").alias("block"), normalize_conservative(F.col("name")).alias("name"), *more).filter("name <> ''")
+    targets = named(towns, F.col("mlit_code").alias("target")).withColumnRenamed("name", "other").distinct()
+    near = nearest_names(named(addresses), named(towns), most).join(targets, ["block", "other"]).groupBy("block", "name").agg(F.collect_set("target").alias("targets"))
+    found = named(addresses, "id").join(near, ["block", "name"])
+    nearest = lambda several: lambda e: found.filter((F.size("targets") > 1) == several).select("id", F.explode("targets").alias("target"))
+    out = cascade(addresses, [*rules, ("M2", 0.6, nearest(False)), ("M4", 0.4, nearest(True))])
+    disagrees = F.col("matching_rule_id") == "M2"
+    return out.withColumns({"relation_type": F.when(disagrees, "equivalent").otherwise(F.col("relation_type")), "verification_status": F.when(disagrees, "review_required").otherwise(F.col("verification_status"))})
 
 
 def _marks(text: Column) -> Column:

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
-from ..durable import durable
-from ..operators import gates, versioning
+from ..durable import durable, remove_folder, shared_folder
+from ..operators import gates, similarity, trees, versioning
 from .inputs import register, table
 
 QUERIES: dict = {}
@@ -196,3 +198,46 @@ def table_multiset_difference(spark, d):
     o = table(spark, d, "orders").select("o_orderkey", "o_orderstatus", F.lit("now").alias("created_at"))
     again = o.withColumn("created_at", F.lit("later"))
     return gates.multiset_differences(o, again.unionByName(again.filter("o_orderkey % 100 = 0")))
+
+
+@register(QUERIES, SQL, f"""WITH {_ORD}, a AS (SELECT * FROM cur EXCEPT ALL SELECT * FROM prev), b AS (SELECT * FROM prev EXCEPT ALL SELECT * FROM cur)
+    SELECT *, count(*) AS surplus FROM a GROUP BY ALL UNION ALL SELECT *, -count(*) FROM b GROUP BY ALL""")
+def release_tree_diff(spark, d):
+    """Two releases written as hash trees, compared range by range."""
+    folder = f"{shared_folder(spark)}/trees-{uuid.uuid4().hex}"
+    cur, prev = _orders(spark, d)
+    trees.write_tree(cur, f"{folder}/now", ["k"], depth=1)
+    trees.write_tree(prev, f"{folder}/before", ["k"], depth=1)
+    out = durable(trees.tree_diff(spark, f"{folder}/now", f"{folder}/before"))
+    remove_folder(spark, folder)
+    return out
+
+
+#: Who refers to whom; a few parents lack rows.
+_REFERENCES = [
+    ("lineitem", "l_orderkey", "orders", "o_orderkey"), ("lineitem", "l_partkey", "part", "p_partkey"), ("lineitem", "l_suppkey", "supplier", "s_suppkey"), ("orders", "o_custkey", "customer", "c_custkey"),
+    ("customer", "c_nationkey", "nation", "n_nationkey"), ("supplier", "s_nationkey", "nation", "n_nationkey"), ("nation", "n_regionkey", "region", "r_regionkey"), ("labels", "doc_id", "documents", "doc_id"),
+    ("events", "user_id", "customer", "c_custkey"), ("pages", "page_id", "documents", "doc_id"),
+]
+_LACKING = {"orders": "o_orderkey % 97 <> 5", "part": "p_partkey % 50 <> 7", "customer": "c_custkey % 31 <> 3", "nation": "n_nationkey <> 11"}
+
+
+@register(QUERIES, SQL, " UNION ALL ".join(
+    f"""SELECT '{c}.{a} -> {p}.{k}' AS reference, count(*) AS child_rows, count(*) FILTER (WHERE lost) AS lost_rows, count(DISTINCT key) FILTER (WHERE lost) AS lost_keys, min(key) FILTER (WHERE lost) AS least_lost
+    FROM (SELECT CAST({a} AS VARCHAR) AS key, {a} NOT IN (SELECT {k} FROM {p} WHERE {_LACKING.get(p, 'true')}) AS lost FROM {c} WHERE {_LACKING.get(c, 'true')})"""
+    for c, a, p, k in _REFERENCES))
+def reference_check(spark, d):
+    """Ten references over ten tables, some of which lack rows, checked in one pass."""
+    names = sorted({t for r in _REFERENCES for t in (r[0], r[2])})
+    return trees.check_references({t: table(spark, d, t).filter(_LACKING.get(t, "true")) for t in names}, _REFERENCES)
+
+
+@register(QUERIES, SQL, """
+    WITH l AS (SELECT DISTINCT p_size AS block, p_brand || p_partkey % 40 AS name FROM part), r AS (SELECT DISTINCT p_size AS block, CASE WHEN p_partkey % 3 = 0 THEN reverse(p_brand) ELSE p_brand END || p_partkey % 60 AS name FROM part WHERE p_partkey % 2 = 1)
+    SELECT l.block, l.name, r.name AS other, levenshtein(l.name, r.name) AS distance FROM l JOIN r ON l.block = r.block WHERE distance <= 2""")
+def town_name_similarity(spark, d):
+    """Names of one municipality (a size of part) that differ in two edits at most."""
+    p, k = table(spark, d, "part"), F.col("p_partkey")
+    left = p.select(F.col("p_size").alias("block"), F.concat("p_brand", (k % 40).cast("string")).alias("name"))
+    right = p.filter(k % 2 == 1).select(F.col("p_size").alias("block"), F.concat(F.when(k % 3 == 0, F.reverse("p_brand")).otherwise(F.col("p_brand")), (k % 60).cast("string")).alias("name"))
+    return similarity.similar_names(left, right, most=2)
