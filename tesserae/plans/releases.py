@@ -7,7 +7,8 @@ import uuid
 from pyspark.sql import functions as F
 
 from ..durable import durable, remove_folder, shared_folder
-from ..operators import gates, similarity, trees, versioning
+from ..operators import gates, history, similarity, trees, versioning
+from ..sources import release_files
 from .inputs import register, table
 
 QUERIES: dict = {}
@@ -41,6 +42,32 @@ def scd2_carry_forward(spark, d):
     return versioning.carry_forward(cur, prev, "k", "ver_id", "2026-09-17")
 
 
+@register(QUERIES, SQL, SQL["scd2_carry_forward"])
+def scd2_history(spark, d):
+    """The same through bucketed tables: the earlier release's open rows are joined where they lie, its closed rows are not read."""
+    cur, prev = _releases(spark, d)
+    h = history.History(spark, f"scd2_{uuid.uuid4().hex}", "k", "ver_id", buckets=8)
+    try:
+        h.advance(prev.filter("is_current"), 0, "2026-08-01")
+        h.advance(cur, 1, "2026-09-17")
+        return durable(h.rows(1).unionByName(prev.filter("NOT is_current")))
+    finally:
+        for name in (f"{h.name}_open_0", f"{h.name}_open_1", f"{h.name}_closed"):
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+@register(QUERIES, SQL, "SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer")
+def release_files_read(spark, d):
+    """A table written as release files by the executors, checked against the manifest and read back."""
+    folder = f"{shared_folder(spark)}/release-{uuid.uuid4().hex}"
+    try:
+        release_files.write_release(table(spark, d, "customer").select("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"), folder, ["c_custkey"], rows_per_file=1000)
+        release_files.check_release(spark, folder)
+        return durable(release_files.read_release(spark, folder))
+    finally:
+        remove_folder(spark, folder)
+
+
 @register(QUERIES, SQL, f"""WITH {_SCD}, ch AS (SELECT p.k, unnest(['nation', 'name']) AS field, unnest([p.nation, p.name]) AS old_value, unnest([c.nation, c.name]) AS new_value FROM live p JOIN cur c ON p.k = c.k)
     SELECT 'his_' || substr(sha256(concat_ws(chr(31), '=' || k, '=' || field, '=' || old_value, '=' || new_value)), 1, 16) AS history_id, k, field, old_value, new_value FROM ch WHERE old_value <> new_value""")
 def address_history(spark, d):
