@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..durable import durable, forget
 from ..errors import BuildError, stop_if_any
 
 
@@ -101,6 +102,12 @@ def apply_decisions(table: DataFrame, decisions: DataFrame) -> tuple[DataFrame,
     return done, report
 
 
+def stale_report(report: DataFrame) -> DataFrame:
+    """(id, reason, rows) of the decisions in a report of ``apply_decisions`` that were not applied: a column is absent, no row matches, or the source has changed (then its rows are marked)."""
+    reason = F.when(F.size("unknown_columns") > 0, "a column is absent").when(F.col("rows") == 0, "no row matches").when(F.col("stale"), "the source has changed")
+    return report.select("id", reason.alias("reason"), "rows").filter("reason IS NOT NULL")
+
+
 def apply_overrides(table: DataFrame, overrides: list[dict], shas: dict[str, str]) -> tuple[DataFrame, list[dict]]:
     """``apply_decisions`` of overrides from a file; the report, a row an override, comes to the driver."""
     if not overrides:
@@ -132,11 +139,15 @@ def gate(metrics: DataFrame, thresholds: DataFrame, approved: DataFrame) -> Data
 
 
 def diff_keys(current: DataFrame, previous: DataFrame, key: str, samples: int = 25) -> dict:
-    """Counts of keys added and removed, with the first few in order."""
-    a, b = current.select(key).distinct(), previous.select(key).distinct()
-    added, removed = a.join(b, key, "left_anti"), b.join(a, key, "left_anti")
-    first = lambda df: [r[0] for r in df.orderBy(key).limit(samples).collect()]
-    return {"added": added.count(), "removed": removed.count(), "added_sample": first(added), "removed_sample": first(removed)}
+    """Counts of keys added and removed, with the first few in order. The tables meet once; keys that differ are written, and counted from there. A NULL is no key."""
+    sides = [df.select(F.col(key).alias("key"), F.lit(n).alias("side")) for n, df in ((1, current), (2, previous))]
+    met = sides[0].unionByName(sides[1]).filter("key IS NOT NULL").groupBy("key").agg(F.bit_or("side").alias("side"))  # combined where they are read
+    differ = durable(met.filter("side <> 3"))
+    counts = dict(differ.groupBy("side").count().collect())
+    first = lambda side: [r[0] for r in differ.filter(F.col("side") == side).orderBy("key").limit(samples).collect()]
+    out = {"added": counts.get(1, 0), "removed": counts.get(2, 0), "added_sample": first(1), "removed_sample": first(2)}
+    forget(differ)
+    return out
 
 
 def unexplained_removals(current: DataFrame, previous: DataFrame, explained: DataFrame, key: str) -> DataFrame:

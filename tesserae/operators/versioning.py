@@ -66,6 +66,18 @@ def mint(*parts: Column) -> Column:
     return F.concat(F.lit("tsr1"), F.substring(F.sha2(F.concat_ws("\x1f", *parts), 256), 1, 16))
 
 
+# The digits of base 32 that are not mistaken for one another (no i, l, o, u).
+BASE32 = "0123456789abcdefghjkmnpqrstvwxyz"
+
+
+def mint_base32(prefix: str, *parts: Column) -> Column:
+    """A persistent id of ``prefix`` and 16 digits of base 32: the first 80 bits of the parts' SHA-256. It shows nothing of the parts, and depends on every character of them."""
+    digest = F.sha2(F.concat_ws("\x1f", *parts), 256)
+    chunk = lambda i: F.conv(F.substring(digest, 1 + 5 * i, 5), 16, 10).cast("long")
+    digit = lambda i, k: F.substring(F.lit(BASE32), (F.shiftright(chunk(i), 5 * k) % 32 + 1).cast("int"), F.lit(1))
+    return F.concat(F.lit(prefix), *[digit(i, k) for i in range(4) for k in (3, 2, 1, 0)])
+
+
 def resolve_identity(towns: DataFrame, ledger: DataFrame, recodes: DataFrame) -> DataFrame:
     """(area, code, name, entity_id, rule, review): which persistent id each town of this release has; no id goes to two towns.
 
