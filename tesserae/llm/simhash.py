@@ -212,7 +212,14 @@ def link_fingerprints(fps: DataFrame, radius: int = 2, cell_most: int = CELL_MOS
     if large.isEmpty():
         return dealt.groupBy("cell").applyInArrow(link, "a long, b long")
     links = skew_join(dealt, large, ["cell"], "left_anti").groupBy("cell").applyInArrow(link, "a long, b long")
-    return links.unionByName(links_by_flips(skew_join(dealt, large, ["cell"], "left_semi").select("fp").distinct(), radius))
+    if radius <= 2:
+        return links.unionByName(links_by_flips(skew_join(dealt, large, ["cell"], "left_semi").select("fp").distinct(), radius))
+    # every two blocks of a dense cell meet in a task of their own, which discards pairs by the same tables
+    blocks = durable(dealt.groupBy("cell").count().filter(F.col("count") > cell_most).select("cell", F.ceil(F.col("count") * 2 / cell_most).cast("int").alias("blocks")))
+    own = skew_join(dealt, blocks, ["cell"]).withColumn("block", F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int"))
+    met = own.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).filter("other <> block")
+    met = met.select("fp", "cell", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
+    return links.unionByName(met.groupBy("cell", "low", "high").applyInArrow(lambda t: link(t.select(["fp"])), "a long, b long"))
 
 
 def links_by_flips(fps: DataFrame, radius: int) -> DataFrame:
@@ -220,8 +227,6 @@ def links_by_flips(fps: DataFrame, radius: int) -> DataFrame:
     one bit at most, and all of the 65 that can share it are within distance 2 of each other, so no group exceeds 65 rows."""
     flips = F.array(F.col("fp"), *[F.col("fp").bitwiseXOR(F.lit(1 << b if b < 63 else -(1 << 63)).cast("long")) for b in range(64)])
     at = fps.select("fp", F.explode(flips).alias("at"))
-    if radius > 2:
-        raise ValueError("dense cells are linked exactly up to radius 2")
     if radius < 2:
         flipped = at.filter("fp <> at").select(F.col("fp").alias("a"), F.col("at").alias("b")) if radius else at.limit(0).select(F.col("fp").alias("a"), F.col("at").alias("b"))
         return flipped.join(fps.select(F.col("fp").alias("b")), "b", "left_semi").select("a", "b")

@@ -40,3 +40,23 @@ def test_lines_with_bytes_that_are_no_text(spark):
     have = sorted((r.doc_id, r.n_lines, r.n_dropped, brute.sha(r.text)) for r in line_dedup.dedup_lines(df).collect())
     # the replacement of a bad byte, as Python makes it
     assert have == sorted(brute.line_dedup([(i, None if t is None else t.decode(errors="replace")) for i, t in rows]))
+
+
+def test_dense_fingerprints_at_any_radius(spark):
+    from tesserae.llm import simhash
+    from tesserae.llm._common import components
+
+    rng = np.random.default_rng(6)
+    base = rng.integers(-(2**63), 2**63, 3, dtype=np.int64)
+    fps = sorted({int(b ^ np.int64(rng.integers(0, 2**14))) for b in base for _ in range(400)})  # so close that no pivot parts them
+    df = spark.createDataFrame([(x,) for x in fps], "fp long")
+    for radius in (3, 1):
+        links = components(simhash.link_fingerprints(df, radius, cell_most=150))
+        have = {r.node: r.root for r in links.collect()}
+        pairs = [(a, b) for i, a in enumerate(fps) for b in fps[:i] if bin((a ^ b) & (2**64 - 1)).count("1") <= radius]
+        want = {x: x for x in fps}
+        for a, b in pairs:
+            low, high = sorted((want[a], want[b]))
+            if low != high:
+                want = {x: low if r == high else r for x, r in want.items()}
+        assert {x: have.get(x, x) for x in fps} == want
