@@ -148,11 +148,11 @@ class Codec:
         return b"".join(map(self.piece_of.__getitem__, array("I", ids)))
 
 
-def encode_documents(docs: DataFrame, ranks: bytes, pattern: str, id_col: str = "doc_id", text_col: str = "text", keep_ids: bool = False) -> DataFrame:
+def encode_documents(docs: DataFrame, ranks: bytes, pattern: str, id_col: str = "doc_id", text_col: str = "text", keep_ids: bool = False, carry: tuple[str, ...] = ()) -> DataFrame:
     """Encode every whole text and decode the ids again; one output row per input row, no shuffle.
 
     ``ranks`` is the content of the rank file (fixed size); the perfect hash over it is built once, on the driver. ``keep_ids`` adds
-    ``ids array<int>``. A null text is empty: no tokens, digests of no bytes. A null id stays null, repeated rows repeat (a text that
+    ``ids array<int>``, ``carry`` names columns that follow as they are. A null text is empty: no tokens, digests of no bytes. A null id stays null, repeated rows repeat (a text that
     follows itself is encoded once), an empty table gives no rows, other columns are ignored.
     """
     shared = docs.sparkSession.sparkContext.broadcast((ranks, pattern, Codec(ranks, pattern).parts()))
@@ -173,10 +173,13 @@ def encode_documents(docs: DataFrame, ranks: bytes, pattern: str, id_col: str =
                 ends = np.cumsum([0, *(len(x[0]) // 4 for x in found)]).astype(np.int32)
                 columns.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(x[0] for x in found), np.int32))))
                 names.append("ids")
-            yield pa.RecordBatch.from_arrays(columns, names=names)
+            yield pa.RecordBatch.from_arrays([*columns, *batch.columns[2:]], names=[*names, *batch.schema.names[2:]])
 
-    schema = SCHEMA + (", ids array<int>" if keep_ids else "")
-    return spread(docs.select(named(id_col).cast("long").alias("doc_id"), named(text_col).alias("text"))).mapInArrow(run, schema)
+    # columns travel under numbers, so names may hold anything
+    rows = docs.select(named(id_col).cast("long").alias("doc_id"), named(text_col).alias("text"), *[named(c).alias(str(i)) for i, c in enumerate(carry)])
+    schema = SCHEMA + (", ids array<int>" if keep_ids else "") + "".join(f", `{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[2:])
+    out = spread(rows).mapInArrow(run, schema)
+    return out.withColumnsRenamed({str(i): c for i, c in enumerate(carry)}) if carry else out
 
 
 def op9_byte_bpe(spark, sf_dir):

@@ -149,10 +149,11 @@ class Model:
 
 
 class Labeller:
-    """Labels the words of texts; memoises the scores of words, within a bound that is checked between texts."""
+    """Labels the words of texts; memoises the scores of words, within a bound of words and of bytes that is checked between texts."""
 
-    def __init__(self, model: Model, penalty: float, entries: int = 200_000):
-        self.model, self.penalty, self.entries = model, penalty, entries
+    def __init__(self, model: Model, penalty: float, entries: int = 200_000, most_bytes: int = 64 << 20):
+        self.model, self.penalty = model, penalty
+        self.entries = min(entries, most_bytes // (4 * max(1, len(model.languages))))  # a score of four bytes a language
         self._reset()
 
     def _reset(self):
@@ -248,14 +249,14 @@ def viterbi(scores: np.ndarray, penalty: float, at: np.ndarray | None = None, st
     return labels
 
 
-def learn(labelled: DataFrame, per_language: int = 2000, sample: int = 200_000, max_languages: int | None = None, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Model:
+def learn(labelled: DataFrame, per_language: int = 2000, sample: int = 200_000, sample_chars: int = 1 << 30, max_languages: int | None = None, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Model:
     """Learn every language from a bounded sample: whole texts of at most ``per_language`` documents of each, and of
-    ``sample`` documents in all if there are so many languages (one of each at least), chosen by a hash of the id. All n-grams of
-    the sample are kept. The model holds every language; a caller who cannot have more than ``max_languages`` gets an error beyond that.
+    ``sample`` documents in all if there are so many languages (one of each at least), chosen by a hash of the id; of a language whose texts are long, only the
+    first of these, up to its share of ``sample_chars`` characters (and the one that passes it). All n-grams of the sample are kept. The model holds every language; a caller who cannot have more than ``max_languages`` gets an error beyond that.
 
     Rows with a null text, language or id are not learned from. No usable rows: a model without languages.
     """
-    usable = labelled.select(named(id_col).cast("long").alias("id"), named(text_col).alias("text"), named(lang_col).cast("string").alias("lang")).dropna()
+    usable = labelled.select(named(id_col).cast("long").alias("id"), named(text_col).alias("text"), named(lang_col).cast("string").alias("lang")).dropna().withColumn("chars", F.length("text").cast("long"))
     counted = usable.groupBy("lang").count()
     documents = dict(map(tuple, (counted.limit(max_languages + 1) if max_languages else counted).collect()))
     if max_languages and len(documents) > max_languages:
@@ -267,8 +268,10 @@ def learn(labelled: DataFrame, per_language: int = 2000, sample: int = 200_000,
     bounds = [(x, -(2**63) + min(2**64 - 1, 2**64 * 2 * wanted // n)) for x, n in documents.items()]
     bounds = F.broadcast(labelled.sparkSession.createDataFrame(bounds, "lang string, bound long"))  # a row for each language
     by_hash = W.partitionBy("lang").orderBy(F.xxhash64("id"), "id")
-    ranked = usable.select("id", "lang").join(bounds, "lang").filter(F.xxhash64("id") <= F.col("bound")).withColumn("n", F.row_number().over(by_hash))
-    chosen = ranked.filter(F.col("n") <= wanted).select("id", "lang").distinct()
+    ranked = usable.select("id", "lang", "chars").join(bounds, "lang").filter(F.xxhash64("id") <= F.col("bound"))
+    before = F.coalesce(F.sum("chars").over(by_hash.rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    ranked = ranked.withColumns({"n": F.row_number().over(by_hash), "before": before})
+    chosen = ranked.filter((F.col("n") <= wanted) & (F.col("before") < sample_chars // len(documents))).select("id", "lang").distinct()
     texts = spread(usable).join(F.broadcast(chosen), ["id", "lang"])  # ``sample`` ids at most, or one of each language
 
     def count(batches):

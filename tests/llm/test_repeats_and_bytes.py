@@ -60,3 +60,30 @@ def test_dense_fingerprints_at_any_radius(spark):
             if low != high:
                 want = {x: low if r == high else r for x, r in want.items()}
         assert {x: have.get(x, x) for x in fps} == want
+
+
+def test_columns_carried_beside_ids(spark):
+    import public_tokenizers
+
+    from tesserae.llm import byte_bpe
+
+    with open(public_tokenizers.path("byte_bpe_50k.tiktoken"), "rb") as f:
+        ranks = f.read()
+    df = spark.createDataFrame([(1, "a text", "x", 2.5), (2, None, None, None)], "doc_id long, text string, `a.b` string, n double")
+    out = byte_bpe.encode_documents(df, ranks, public_tokenizers.PATTERN, keep_ids=True, carry=("a.b", "n"))
+    assert out.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "ids", "a.b", "n"]
+    assert sorted((r[0], r[1], r[5], r[6]) for r in out.collect()) == [(1, 2, "x", 2.5), (2, 0, None, None)]
+
+
+def test_a_sample_bounded_by_characters(spark):
+    from tesserae.llm import language_id
+
+    rows = [(i, "the house and the river " * 50, "en") for i in range(20)] + [(100 + i, "das haus und der fluss " * 50, "de") for i in range(20)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    few = language_id.learn(df, sample_chars=10)  # one text of each language
+    many = language_id.learn(df)
+    assert sorted(few.languages) == sorted(many.languages) == ["de", "en"]
+    told = {r.doc_id: r.lang_pred for r in language_id.identify(df, few).collect()}
+    assert told == {i: lang for i, _, lang in rows}
+    narrow = language_id.Labeller(many, 12.0, most_bytes=80)
+    assert narrow.entries == 10 and [narrow.label(t)[0] for _, t, _ in rows] == [lang for *_, lang in rows]
