@@ -17,7 +17,7 @@ _TABLES = "region nation customer supplier part orders lineitem events documents
 
 def over_tables(spark: SparkSession, sf_dir: str, text: str, **args) -> DataFrame:
     """SQL over the test tables, which are handed to it as they are: the session's views stay as they were."""
-    text = re.sub(rf"\b({'|'.join(_TABLES)})\b", r"{\1}", text)
+    text = re.sub(rf"(?:(?<=FROM )|(?<=JOIN )|(?<=[a-z], ))({'|'.join(_TABLES)})\b(?![.'])", r"{\1}", text)
     return spark.sql(text, args=args, **{t: table(spark, sf_dir, t) for t in _TABLES if f"{{{t}}}" in text})
 
 
