@@ -37,7 +37,7 @@ def drop_shared_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates: texts that share four fifths of their five-word shingles. SimHash links those within
-    its radius, which are then checked by their shingles; least hashes bring together those beyond it."""
+    its radius, which are then checked by their shingles; least hashes bring together those beyond it, which are most of them: see the README."""
     return simhash.keep_least(docs, shingle_dedup.near_copies(docs))
 
 
@@ -48,13 +48,13 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of each use of a document, with a digest of what they decode to; uses that follow each other are encoded once. A null or empty text
-    has no tokens."""
+    """Token ids of each use of a document, with a digest of what they decode to, then its source and language; uses that follow each other are encoded once. A
+    null or empty text has no tokens."""
     import public_tokenizers
 
     with open(public_tokenizers.path("byte_bpe_50k.tiktoken"), "rb") as f:
         ranks = f.read()
-    return byte_bpe.encode_documents(docs, ranks, public_tokenizers.PATTERN, keep_ids=True)
+    return byte_bpe.encode_documents(docs, ranks, public_tokenizers.PATTERN, keep_ids=True, carry=tuple(c for c in ("source", "lang") if c in docs.columns))
 
 
 STAGES = [
