@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..durable import durable
+
 
 def in_rings(x: Column, y: Column, rings: Column) -> Column:
     """Even-odd containment over all rings. An edge counts if exactly one of its ends lies above the point (half-open, so a
@@ -108,6 +110,10 @@ def crosses_right(x: Column, y: Column, e: Column) -> Column:
     return ((e["ay"] > y) != (e["by"] > y)) & F.coalesce(x < at, F.lit(False))
 
 
+#: Cells, and edges, of shapes that may be broadcast.
+FEW = 500_000
+
+
 def containment_join(points: DataFrame, shapes: DataFrame, cell: tuple[float, float] = (0.05, 0.05)) -> DataFrame:
     """Pairs of ``points`` (``x``, ``y``, ...) and ``shapes`` (``shape_id``, ``code``, ``rings``) that hold them: columns of the points, and ``code``.
 
@@ -115,14 +121,20 @@ def containment_join(points: DataFrame, shapes: DataFrame, cell: tuple[float, fl
     of those that it crosses decides, by the rule of ``in_rings``. No ring ever stands beside a point. ``shape_id`` is unique; points without
     coordinates (NULL, NaN) and vertices without them meet nothing.
     """
-    cells, bands = covering(shapes, cell)
+    cells, bands = map(durable, covering(shapes, cell))
+    bands = bands.withColumnsRenamed({"shape_id": "of shape", "band": "the band", "edges": "edges of the band"})
+    cells = cells.select("cell x", "cell y", "code", F.col("shape_id").alias("of shape"), F.col("scale").alias("bands a unit"), F.col("inside").alias("cell inside"))
     placed = points.withColumns({f"cell {c}": F.when(~F.isnan(c), _cell(F.col(c), size)) for c, size in zip("xy", cell, strict=True)})
-    settled = placed.join(cells.filter("inside").select("cell x", "cell y", "code"), ["cell x", "cell y"]).select(*points.columns, "code")
-    near = cells.filter("NOT inside").select("cell x", "cell y", "code", F.col("shape_id").alias("of shape"), F.col("scale").alias("bands a unit"))
-    open_ = placed.join(near, ["cell x", "cell y"]).withColumn("the band", F.floor(F.col("y") * F.col("bands a unit"))).drop("bands a unit", "cell x", "cell y")
-    beside = open_.join(bands.withColumnsRenamed({"shape_id": "of shape", "band": "the band", "edges": "edges of the band"}), ["of shape", "the band"])
-    count = F.size(F.filter("edges of the band", lambda e: crosses_right(F.col("x"), F.col("y"), e)))
-    return settled.unionByName(beside.filter(count % 2 == 1).select(*points.columns, "code"))
+    band = F.floor(F.col("y") * F.col("bands a unit"))
+    odd = F.size(F.filter("edges of the band", lambda e: crosses_right(F.col("x"), F.col("y"), e))) % 2 == 1
+    if cells.limit(FEW + 1).count() <= FEW and (bands.agg(F.sum(F.size("edges of the band"))).first()[0] or 0) <= FEW:
+        # counted, and few: both are sent to the points, which are read once and stay where they are
+        beside = placed.join(F.broadcast(cells), ["cell x", "cell y"]).withColumn("the band", band).join(F.broadcast(bands), ["of shape", "the band"], "left")
+        return beside.filter(F.col("cell inside") | F.coalesce(odd, F.lit(False))).select(*points.columns, "code")
+    settled = placed.join(cells.filter("`cell inside`"), ["cell x", "cell y"]).select(*points.columns, "code")
+    open_ = placed.join(cells.filter("NOT `cell inside`"), ["cell x", "cell y"]).withColumn("the band", band).drop("bands a unit", "cell x", "cell y", "cell inside")
+    beside = open_.join(bands, ["of shape", "the band"])
+    return settled.unionByName(beside.filter(odd).select(*points.columns, "code"))
 
 
 def segments(lines: DataFrame, key: str = "id") -> DataFrame:

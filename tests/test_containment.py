@@ -3,6 +3,7 @@
 import math
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from tesserae.functions import mesh
@@ -34,7 +35,7 @@ def check(spark, shapes, points, cell):
     return have
 
 
-def test_shapes_of_all_kinds(spark):
+def test_shapes_of_all_kinds(spark, monkeypatch):
     rng = random.Random(3)
     comb = [(0.0, 0.0)] + [p for i in range(40) for p in ((i / 4, 5.0), (i / 4 + 0.1, 0.5))] + [(10.0, 5.0), (10.0, 0.0)]
     bow = [(0.0, 0.0), (4.0, 4.0), (4.0, 0.0), (0.0, 4.0)]
@@ -43,8 +44,10 @@ def test_shapes_of_all_kinds(spark):
         [[(1.0, 1.0), (2.0, 1.0), (2.0, 2.0), (1.0, 2.0)], [(4.0, 4.0), (5.0, 4.0), (5.0, 5.0), (4.0, 5.0)]],
     ]
     points = [(rng.uniform(-1, 11), rng.uniform(-2, 12)) for _ in range(1500)] + [(float(x), float(y)) for x in range(0, 6) for y in range(0, 6)] + [(None, 1.0), (1.0, None), (float("nan"), 1.0)]
-    for cell in ((0.5, 0.5), (3.0, 0.2), (100.0, 100.0)):
-        check(spark, shapes, points, cell)
+    for few in (0, spatial.FEW):  # the cells and edges sent to the points, or all sides dealt out
+        monkeypatch.setattr(spatial, "FEW", few)
+        for cell in ((0.5, 0.5), (3.0, 0.2), (100.0, 100.0)):
+            check(spark, shapes, points, cell)
 
 
 def test_a_ring_of_100000_vertices(spark):
@@ -58,7 +61,9 @@ def test_a_ring_of_100000_vertices(spark):
     assert rows <= 2 * 121_000 and most < 400
 
 
-def test_no_ring_stands_beside_a_point(spark):
+@pytest.mark.parametrize("few", [0, spatial.FEW])
+def test_no_ring_stands_beside_a_point(spark, monkeypatch, few):
+    monkeypatch.setattr(spatial, "FEW", few)
     made = spark.createDataFrame([(0, "c", [[{"x": 0.0, "y": 0.0}, {"x": 1.0, "y": 0.0}, {"x": 0.0, "y": 1.0}]])], RINGS)
     points = spark.range(10).selectExpr("id", "id / 10.0d AS x", "0.2d AS y")
     plan = spatial.containment_join(points, made, (0.5, 0.5))._jdf.queryExecution().optimizedPlan()
