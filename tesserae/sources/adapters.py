@@ -7,6 +7,7 @@ all its resources; one that is not may have none, but not some of them.
 from __future__ import annotations
 
 from dataclasses import dataclass, replace
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..errors import BuildError
 from ..operators.gates import check_unique
-from ..operators.points import change_edges, lineage_edges, municipality_changes
+from ..operators.points import change_edges, lineage_edges, municipality_changes, succession
 from . import readers
 from .archives import Limits, SchemaInfo, check_drift, check_magic, mask_digits, read_members
 from .binary import read_dbf
@@ -38,6 +39,14 @@ BOUNDARY = (
 ).split()
 RAILWAY = "N02_001 N02_002 N02_003 N02_004 N02_005 N02_005c N02_005g".split()
 SCHOOLS = [f"P29_{i:03d}" for i in range(1, 10)]
+POSTAL_RECORDS = (
+    "jis_city_code old_postal_code_raw postal_code pref_kana city_kana town_kana pref city town flag_multi_code flag_koaza_banchi flag_has_chome flag_multi_town update_flag change_reason"
+).split()
+TOWN_POINTS = "都道府県コード 都道府県名 市区町村コード 市区町村名 大字町丁目コード 大字町丁目名 緯度 経度 原典資料コード 大字・字・丁目区分コード".split()
+SCHOOL_CODES = "学校コード 学校種 都道府県番号 設置区分 本分校 学校名 学校所在地 郵便番号 属性情報設定年月日 属性情報廃止年月日 旧学校調査番号 移行後の学校コード".split()
+BUS_STOPS = ["P11_001", "P11_002", *[f"P11_003_{i:02d}" for i in range(1, 36)], *[f"P11_004_{i:02d}" for i in range(1, 36)], "P11_005"]
+# How a town's name ends that is none, and what kind of record that is.
+SPECIAL_TOWNS = {"以下に掲載がない場合": "no_listing", "の次に番地がくる場合": "city_banchi", "一円": "ichien"}
 
 
 @dataclass(frozen=True)
@@ -48,6 +57,7 @@ class Resource:
     pinned: SchemaInfo
     suffix: str = ".csv"
     limits: Limits = Limits()
+    optional: bool = False
 
 
 def _csv(key: str, columns: list[str], container: str = "zip", members: tuple[str, ...] = (), encoding: str = "utf-8") -> Resource:
@@ -86,7 +96,7 @@ class Adapter:
         unknown = sorted(set(payloads) - {r.key for r in self.resources})
         if unknown:
             raise BuildError("VALIDATION_FAILED", f"{self.name} has no such resources", unknown=unknown)
-        missing = [r.key for r in self.resources if r.key not in payloads]
+        missing = [r.key for r in self.resources if r.key not in payloads and not r.optional]
         if missing and (self.required or payloads):
             raise BuildError("REQUIRED_SOURCE_MISSING" if self.required else "SOURCE_FETCH_FAILED", f"{self.name} is not whole", missing=missing)
         self.spark, self.payloads = spark, payloads
@@ -204,3 +214,86 @@ class SchoolPoints(Adapter):
         paired = paired.filter(F.when(F.col("here").isNull() | F.col("there").isNull(), stop).otherwise(F.lit(True))).drop("here", "there", "folder")
         check_unique(paired, ["P29_002", "P29_008"])
         return {"schools": paired}
+
+
+def _no_header(key: str, optional: bool = False) -> Resource:
+    return Resource(key, SchemaInfo(tuple(POSTAL_RECORDS), "utf-8", "zip", (), ",", has_header=False), optional=optional)
+
+
+class PostalRecords(Adapter):
+    """Postal records: the whole, and what a month added and deleted."""
+
+    name = "postal_records"
+    resources = (_no_header("ken_all"), _no_header("delta_add", optional=True), _no_header("delta_del", optional=True))
+
+    def parse(self) -> dict[str, DataFrame]:
+        """``ken_all`` with the old code without the blanks at its right (zeros stay) and the kind of record, told by how the town's name ends; ``delta``: the rows of a
+        month, ``action`` being add or del."""
+        kind = reduce(lambda k, s: k.when(F.col("town").endswith(s), SPECIAL_TOWNS[s]), SPECIAL_TOWNS, F.when(F.lit(False), "")).otherwise("town")
+        out = {"ken_all": self.read("ken_all").withColumns({"old_postal_code": F.rtrim("old_postal_code_raw"), "record_kind": kind})}
+        deltas = [self.read(f"delta_{a}").withColumn("action", F.lit(a)) for a in ("add", "del") if f"delta_{a}" in self.payloads]
+        return out | ({"delta": reduce(DataFrame.unionByName, deltas)} if deltas else {})
+
+
+def rolled_forward(records: DataFrame, delta: DataFrame) -> DataFrame:
+    """Postal records after a month's ``delta`` (with ``action``): rows are added and taken out as often as they are named, by all published columns. A row to be taken out that
+    is not there, as often as named, is an error: the two do not belong together."""
+    tally = lambda df, n: df.groupBy(*POSTAL_RECORDS).agg(F.sum(n).alias("n"))
+    both = tally(records, F.lit(1)).unionByName(tally(delta, F.when(F.col("action") == "add", 1).otherwise(-1))).groupBy(*POSTAL_RECORDS).agg(F.sum("n").alias("n"))
+    stop = F.raise_error(F.lit("[VALIDATION_FAILED] a deleted postal record was not there")).cast("boolean")
+    left = both.filter(F.when(F.col("n") < 0, stop).otherwise(F.col("n") > 0))
+    return left.select(*POSTAL_RECORDS, F.explode(F.sequence(F.lit(1), F.col("n").cast("int"))).alias("copy")).drop("copy")
+
+
+class TownPoints(Adapter):
+    """Reference points of towns, a file for each prefecture."""
+
+    name = "town_points"
+    resources = (_csv("towns", TOWN_POINTS, encoding="cp932"),)
+
+    def parse(self) -> dict[str, DataFrame]:
+        """Codes as text, coordinates as numbers; a coordinate that is none is NULL."""
+        names = "pref_code pref city_code city mlit_code town_name latitude longitude source_code class_code".split()
+        rows = self.read("towns").withColumnsRenamed(dict(zip(TOWN_POINTS, names, strict=True)))
+        return {"towns": rows.withColumns({c: F.col(c).try_cast("double") for c in ("latitude", "longitude")})}
+
+
+class SchoolCodes(Adapter):
+    """Codes of all schools: the east, the west, universities. One of the three alone is not the country."""
+
+    name, required = "school_codes", False
+    resources = tuple(_csv(k, SCHOOL_CODES, "csv", encoding="cp932") for k in ("east", "west", "university"))
+
+    def parse(self) -> dict[str, DataFrame]:
+        """``school``, each row with the resource that it is from, and ``school_succession``, the edges to the codes that it moved to. A code that occurs twice is an error."""
+        if not self.payloads:
+            return {}
+        names = "school_code school_type_code pref_number founder_code branch school_name_raw address_raw postal_code valid_from valid_to survey_number successor_school_codes_raw".split()
+        rows = reduce(DataFrame.unionByName, [self.read(r.key).withColumn("resource", F.lit(r.key)) for r in self.resources]).withColumnsRenamed(dict(zip(SCHOOL_CODES, names, strict=True)))
+        check_unique(rows, ["school_code"])
+        return {"school": rows.withColumn("is_active", F.trim("valid_to") == ""), "school_succession": succession(rows)}
+
+
+class BusStops(Adapter):
+    """Bus stops: attributes in archives of their own, and points by the same index."""
+
+    name, required = "bus_stops", False
+    resources = (_dbf("stops", BUS_STOPS, "cp932", ratio=400),)
+
+    def parse(self) -> dict[str, DataFrame]:
+        """``stops`` (p11_stop_id, stop_name_raw, operator_name_raw, x, y) and ``stop_operators`` (p11_stop_id, place, operator, routes): up to 35 operators stand in columns beside each
+        other; those that are filled become rows. The id depends on the file and the place in it."""
+        if not self.payloads:
+            return {}
+        place = ["source_file", "folder", "row_ordinal"]
+        folder = F.regexp_replace("member", r"\.[^./]*$", "")
+        rows = self.read("stops").withColumn("folder", folder)
+        points = readers.shapes(self.spark, self.payloads["stops"], expect=1, limits=self.resources[0].limits).withColumn("folder", folder)
+        paired = rows.withColumn("here", F.lit(True)).join(points.select(*place, F.col("x0").alias("x"), F.col("y0").alias("y"), F.lit(True).alias("there")), place, "full_outer")
+        stop = F.raise_error(F.lit("[SOURCE_SCHEMA_CHANGED] attributes and points differ in number")).cast("boolean")
+        paired = paired.filter(F.when(F.col("here").isNull() | F.col("there").isNull(), stop).otherwise(F.lit(True)))
+        stop_id = F.concat(F.lit("p11_"), F.substring(F.sha2(F.concat_ws("\x1f", "folder", F.col("row_ordinal").cast("string")), 256), 1, 16))
+        stops = paired.select(stop_id.alias("p11_stop_id"), F.trim("P11_001").alias("stop_name_raw"), F.trim("P11_002").alias("operator_name_raw"), "x", "y")
+        pairs = F.array(*[F.struct(F.lit(i).alias("place"), F.trim(f"P11_003_{i:02d}").alias("operator"), F.trim(f"P11_004_{i:02d}").alias("routes")) for i in range(1, 36)])
+        operators = paired.select(stop_id.alias("p11_stop_id"), F.explode(F.filter(pairs, lambda p: (p["operator"] != "") | (p["routes"] != ""))).alias("p")).select("p11_stop_id", "p.*")
+        return {"stops": stops, "stop_operators": operators}

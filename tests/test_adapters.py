@@ -111,3 +111,68 @@ def test_release_gates(spark):
     assert found == {("exact_fall", "b"): "warn", ("exact_fall", "c"): "fail", ("exact_rise", "b"): "approved", ("exact_rise", "c"): "unknown", ("duplicate_keys", "s"): "fail"}
     with pytest.raises(Exception, match="VALIDATION_FAILED"):
         gates.release_gates(measures.withColumn("metric", gates.F.lit("other")), approved, versions).collect()
+
+
+def record(code, town, old="060  "):
+    return ["01101", old, code, "k", "k", "k", "北海道", "札幌市中央区", town, "0", "0", "0", "0", "0", "0"]
+
+
+def test_postal_records_and_deltas(spark):
+    whole = [record("0640941", "旭ケ丘"), record("0600000", "以下に掲載がない場合"), record("0600042", "大通西（１～１９丁目）", "00601"), record("0600042", "大通西（１～１９丁目）", "00601")]
+    added, gone = [record("0600099", "新町"), record("1000000", "島一円")], [whole[3]]
+    made = lambda rows, name: payload(spark, zip_payload({name: csv_payload(None, rows, "utf-8-sig")}))
+    source = adapters.PostalRecords(spark, {"ken_all": made(whole, "utf_ken_all.csv"), "delta_add": made(added, "utf_add_2607.csv"), "delta_del": made(gone, "utf_del_2607.csv")})
+    assert set(source.check()) == {"ken_all", "delta_add", "delta_del"}
+    tables = source.parse()
+    assert sorted((r.postal_code, r.old_postal_code, r.record_kind) for r in tables["ken_all"].collect()) == [
+        ("0600000", "060", "no_listing"), ("0600042", "00601", "town"), ("0600042", "00601", "town"), ("0640941", "060", "town")]
+    after = adapters.rolled_forward(tables["ken_all"], tables["delta"])
+    assert sorted(r.postal_code for r in after.collect()) == ["0600000", "0600042", "0600099", "0640941", "1000000"]
+    again = adapters.rolled_forward(after, tables["delta"])  # takes out the second of the two
+    assert again.filter("postal_code = '0600042'").isEmpty()
+    with pytest.raises(Exception, match="VALIDATION_FAILED"):
+        adapters.rolled_forward(again, tables["delta"]).collect()
+    alone = adapters.PostalRecords(spark, {"ken_all": made(whole, "utf_ken_all.csv")})
+    assert set(alone.parse()) == {"ken_all"}
+    with pytest.raises(BuildError) as e:
+        adapters.PostalRecords(spark, {"delta_add": made(added, "a.csv")})
+    assert e.value.code == "REQUIRED_SOURCE_MISSING"
+
+
+def test_town_points_and_school_codes(spark):
+    towns = [["01", "北海道", "01101", "札幌市中央区", "011010001001", "旭ケ丘一丁目", "43.04223", "141.319722", "1", "3"], ["01", "北海道", "01101", "札幌市中央区", "011010002000", "円山", "", "x", "1", "1"]]
+    files = [zip_payload({f"0{i}_2025.csv": csv_payload(adapters.TOWN_POINTS, towns[i : i + 1], "cp932")}) for i in (0, 1)]
+    found = adapters.TownPoints(spark, {"towns": payload(spark, *files)})
+    assert len(found.check()["towns"].columns) == 10
+    assert sorted((r.mlit_code, r.latitude, r.longitude) for r in found.parse()["towns"].collect()) == [("011010001001", 43.04223, 141.319722), ("011010002000", None, None)]
+    school = lambda code, to="", end="": [code, "B1", "01", "2", "1", "学校", "札幌市", "0600000", "2020-04-01", end, "", to]
+    made = lambda **rows: {k: payload(spark, csv_payload(adapters.SCHOOL_CODES, v, "cp932")) for k, v in rows.items()}
+    tables = adapters.SchoolCodes(spark, made(east=[school("A1", "B2; C9", "2024-03-31")], west=[school("B2")], university=[])).parse()
+    assert sorted((r.school_code, r.resource, r.is_active) for r in tables["school"].collect()) == [("A1", "east", False), ("B2", "west", True)]
+    assert sorted(map(tuple, tables["school_succession"].collect())) == [("A1", "B2", True), ("A1", "C9", False)]
+    assert adapters.SchoolCodes(spark, {}).parse() == {}
+    with pytest.raises(BuildError) as e:
+        adapters.SchoolCodes(spark, made(east=[], west=[]))
+    assert e.value.code == "SOURCE_FETCH_FAILED"
+    with pytest.raises(BuildError) as e:
+        adapters.SchoolCodes(spark, made(east=[school("A1")], west=[school("A1")], university=[])).parse()
+    assert e.value.code == "DUPLICATE_KEY_ANOMALY"
+
+
+def test_bus_stops(spark):
+    def stop(name, *operators):
+        return [name, "会社", *[o for o, _ in operators], *[""] * (35 - len(operators)), *[r for _, r in operators], *[""] * (35 - len(operators)), ""]
+
+    def zipped(rows, *shapes):
+        inner = zip_payload({"P11-22_01.dbf": dbf_payload(adapters.BUS_STOPS, rows, "cp932"), "P11-22_01.shp": shp_points(*shapes)})
+        return {"stops": payload(spark, zip_payload({"P11-22_01_GML.zip": inner}))}
+
+    rows = [stop("駅前", ("甲バス", "1,2"), ("乙バス", "3")), stop("役場")]
+    source = adapters.BusStops(spark, zipped(rows, (141.3, 43.0), None))
+    assert len(source.check()["stops"].columns) == 73
+    tables = source.parse()
+    stops = {r.stop_name_raw: r for r in tables["stops"].collect()}
+    assert (stops["駅前"].x, stops["駅前"].y, stops["役場"].x) == (141.3, 43.0, None) and len({r.p11_stop_id for r in stops.values()}) == 2
+    assert sorted((r.place, r.operator, r.routes) for r in tables["stop_operators"].collect()) == [(1, "甲バス", "1,2"), (2, "乙バス", "3")]
+    with pytest.raises(Exception, match="SOURCE_SCHEMA_CHANGED"):
+        adapters.BusStops(spark, zipped(rows, (141.3, 43.0))).parse()["stops"].collect()
