@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..durable import remove_folder
 from .versioning import CLOCK, content_hash
 
 
@@ -15,11 +16,15 @@ class History:
     """Version rows in the tables ``<name>_open_<n>`` (n the number of the release) and ``<name>_closed`` of the session's catalog.
 
     Columns as ``carry_forward`` has them: key, content, id and clock columns; keys are unique and not NULL. ``buckets`` is fixed for good: it bounds the parallelism of a release, as a bucket is
-    one task's work. A release that failed half-way is done again: what it had written is removed first.
+    one task's work. Tables lie in ``folder``, which all executors share, or else in the session's warehouse. A release that failed half-way is done again: what it had written
+    is removed first.
     """
 
-    def __init__(self, spark: SparkSession, name: str, key: str, id_col: str, buckets: int = 200):
-        self.spark, self.name, self.key, self.id_col, self.buckets = spark, name, key, id_col, buckets
+    def __init__(self, spark: SparkSession, name: str, key: str, id_col: str, buckets: int = 200, folder: str | None = None):
+        self.spark, self.name, self.key, self.id_col, self.buckets, self.folder = spark, name, key, id_col, buckets, folder
+
+    def _placed(self, writer, table: str):
+        return writer.option("path", f"{self.folder}/{table}") if self.folder else writer
 
     def _open(self, release: int) -> str:
         return f"{self.name}_open_{release}"
@@ -28,9 +33,10 @@ class History:
         return f"{self.name}_closed"
 
     def _write_open(self, rows: DataFrame, release: int) -> None:
-        self.spark.sql(f"DROP TABLE IF EXISTS {self._open(release)}")
+        self.drop(release)
         # one file a bucket
-        rows.write.bucketBy(self.buckets, self.key).sortBy(self.key).format("parquet").saveAsTable(self._open(release))
+        writer = rows.write.bucketBy(self.buckets, self.key).sortBy(self.key).format("parquet")
+        self._placed(writer, self._open(release)).saveAsTable(self._open(release))
 
     def joined(self, current: DataFrame, release: int) -> DataFrame:
         """(p, c, same): each key's open row of the release before and its row of this one. The older side lies as the join wants it; only ``current`` is shuffled."""
@@ -56,7 +62,9 @@ class History:
         closing = both.filter("p IS NOT NULL AND NOT same").select(shut.alias("r")).select("r.*").withColumn("closed_in", F.lit(release))
         if self.spark.catalog.tableExists(self._closed()):
             self.spark.sql(f"ALTER TABLE {self._closed()} DROP IF EXISTS PARTITION (closed_in = {release})")
-        closing.write.partitionBy("closed_in").format("parquet").mode("append").saveAsTable(self._closed())
+        if self.folder:
+            remove_folder(self.spark, f"{self.folder}/{self._closed()}/closed_in={release}")
+        self._placed(closing.write.partitionBy("closed_in").format("parquet").mode("append"), self._closed()).saveAsTable(self._closed())
 
     def rows(self, release: int) -> DataFrame:
         """All version rows as of a release."""
@@ -68,3 +76,5 @@ class History:
     def drop(self, release: int) -> None:
         """Remove the open rows of a release that no later one needs any more."""
         self.spark.sql(f"DROP TABLE IF EXISTS {self._open(release)}")
+        if self.folder:
+            remove_folder(self.spark, f"{self.folder}/{self._open(release)}")

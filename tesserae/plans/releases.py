@@ -46,7 +46,8 @@ def scd2_carry_forward(spark, d):
 def scd2_history(spark, d):
     """The same through bucketed tables: the earlier release's open rows are joined where they lie, its closed rows are not read."""
     cur, prev = _releases(spark, d)
-    h = history.History(spark, f"scd2_{uuid.uuid4().hex}", "k", "ver_id", buckets=8)
+    folder = f"{shared_folder(spark)}/scd2-{uuid.uuid4().hex}"
+    h = history.History(spark, f"scd2_{uuid.uuid4().hex}", "k", "ver_id", buckets=8, folder=folder)
     try:
         h.advance(prev.filter("is_current"), 0, "2026-08-01")
         h.advance(cur, 1, "2026-09-17")
@@ -54,6 +55,7 @@ def scd2_history(spark, d):
     finally:
         for name in (f"{h.name}_open_0", f"{h.name}_open_1", f"{h.name}_closed"):
             spark.sql(f"DROP TABLE IF EXISTS {name}")
+        remove_folder(spark, folder)
 
 
 @register(QUERIES, SQL, "SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer")

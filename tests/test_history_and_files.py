@@ -14,9 +14,10 @@ from tesserae.sources import release_files
 VERSION = "k long, name string, nation string, observed_from string, observed_to string, is_current boolean, ver_id string"
 
 
-def test_ten_releases(spark):
+@pytest.mark.parametrize("placed", [False, True])
+def test_ten_releases(spark, tmp_path, placed):
     rng = random.Random(4)
-    h = history.History(spark, f"h{uuid.uuid4().hex[:8]}", "k", "ver_id", buckets=4)
+    h = history.History(spark, f"h{uuid.uuid4().hex[:8]}", "k", "ver_id", buckets=4, folder=f"{tmp_path}/tables" if placed else None)
     plain = None
     try:
         for n in range(10):
