@@ -7,7 +7,6 @@ documents, or a span of the token stream, meets only the pages that hold them, b
 
 from __future__ import annotations
 
-import gc
 import json
 import os
 import re
@@ -69,7 +68,6 @@ def encode_with_end(docs: DataFrame, vocabulary: str, end_id: int | None = 0, id
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
 
     def run(batches):
-        gc.disable()  # nothing here has cycles, and the memo is large to walk
         encoder = Encoder(shared.value)
         end = b"" if end_id is None else array("i", [end_id]).tobytes()
         for batch in sliced(batches, 100):
