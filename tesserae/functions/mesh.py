@@ -122,7 +122,8 @@ def _joined_runs(squares: DataFrame, size_of: dict[int, int]) -> DataFrame:
     cuts = ends.filter(F.col("p") < (F.col("block") + 1) * block).distinct()
     pieces = cuts.withColumn("q", F.coalesce(F.lead("p").over(W.partitionBy("block").orderBy("p")), (F.col("block") + 1) * block))
     holders = F.explode(F.array(*[F.struct(F.lit(k).alias("level"), _div(F.col("p"), n).alias("square")) for k, n in size_of.items()]))
-    held = pieces.withColumn("h", holders).select("block", "p", "q", "h.*").join(squares.withColumn("square", F.floor(F.col("start") / F.col("len"))), ["level", "square"])
+    # squares are many for each shape, whatever the size of the shapes' files lets a planner expect: never broadcast
+    held = pieces.withColumn("h", holders).select("block", "p", "q", "h.*").join(squares.withColumn("square", F.floor(F.col("start") / F.col("len"))).hint("merge"), ["level", "square"])
     runs = held.groupBy("block", "p", "q").agg(F.sort_array(F.collect_set("id")).alias("ids"), F.min("inside").alias("inside"))
     runs = runs.select("block", "p", "q", "ids", (F.col("inside") & (F.size("ids") == 1)).alias("uniform"))
     for group in (["block"], ["ids", "uniform"]):  # within blocks, then what is left at their borders
