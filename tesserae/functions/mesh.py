@@ -157,7 +157,7 @@ def run_lookup(codes: DataFrame, runs: DataFrame, width: int | None = None) -> D
     swept = swept.filter(F.when(overlap, stop.cast("boolean")).otherwise(F.col("kind") == 1)).withColumn("run", F.coalesce("own", "carried"))
     hit = swept.filter("at < run.start + run.len").select(F.col("at").alias("code"), "run.ids")
     kind = F.when(F.col("ids").isNull(), "none").when(F.size("ids") > 1, "ambiguous").when(F.element_at("ids", 1) == 65535, "unknown").otherwise("contains")
-    return codes.join(hit, "code", "left").withColumn("kind", kind)
+    return codes.join(hit.hint("merge"), "code", "left").withColumn("kind", kind)  # hits carry their ids: never broadcast
 
 
 def cells_of(runs: DataFrame) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..durable import durable
 from ..functions.normalize import normalize_conservative, normalize_postal_town, normalize_relaxed
 from .bridges import cascade
 from .similarity import nearest_names
@@ -92,7 +93,8 @@ def clause_tree(areas: DataFrame) -> DataFrame:
     bracket's text without that word. ``included``: whether what the name stands for is covered, as far as its own bracket lets it: each ``except`` around it turns that over. ``raw`` is
     the text from the name on to its bracket's end, as it is written. Names stand between 、 at every depth. A closing bracket too many is part of a name, one too few ends with the text.
     """
-    marks = areas.select("area_code", "area_text", F.explode(_marks(F.col("area_text"))).alias("m")).select("area_code", "area_text", "m.*")
+    # marks are many for each area, whatever the size of the areas' files lets a planner expect: made once, and nothing that comes of them is broadcast
+    marks = durable(areas.select("area_code", "area_text", F.explode(_marks(F.col("area_text"))).alias("m")).select("area_code", "area_text", "m.*"))
     parent = F.coalesce(F.try_element_at("path", F.lit(-1)), F.lit(0))
     marks = marks.withColumn("parent", parent)
     # the last word inside of a bracket may end with what the bracket does
@@ -107,21 +109,21 @@ def clause_tree(areas: DataFrame) -> DataFrame:
     last = words.select("area_code", "node", (F.col("at") + F.length("word")).alias("ends")).unionByName(marks.filter("word IS NULL").select("area_code", "node", "ends"))
     ends = last.groupBy("area_code", "node").agg(F.max("ends").alias("ends"))
     names = words.groupBy("area_code", "node").agg(F.min_by("word", "at").alias("name"))
-    rows = nodes.join(ends, ["area_code", "node"]).join(names, ["area_code", "node"]).join(inside, ["area_code", "node"], "left")
-    around = rows.select("area_code", F.explode("path").alias("outer"), F.col("node").alias("within")).join(inside.select("area_code", F.col("node").alias("outer"), "mode"), ["area_code", "outer"])
+    rows = nodes.join(ends.hint("merge"), ["area_code", "node"]).join(names.hint("merge"), ["area_code", "node"]).join(inside.hint("merge"), ["area_code", "node"], "left")
+    around = rows.select("area_code", F.explode("path").alias("outer"), F.col("node").alias("within")).join(inside.select("area_code", F.col("node").alias("outer"), "mode").hint("merge"), ["area_code", "outer"])
     turns = around.groupBy("area_code", F.col("within").alias("node")).agg(F.count_if(F.col("mode") == "except").alias("turns"))
     text = lambda a, b: F.substring(F.col("area_text"), F.col(a) + 1, F.col(b) - F.col(a))
-    return rows.join(turns, ["area_code", "node"], "left").select(
+    return rows.join(turns.hint("merge"), ["area_code", "node"], "left").select(
         "area_code", "node", F.coalesce(F.try_element_at("path", F.lit(-1)), F.lit(0)).alias("parent"), F.size("path").alias("depth"), F.trim("name").alias("name"), "mode",
         F.when(F.col("mode").isNotNull(), text("opened", "shut")).alias("inner"), (F.coalesce("turns", F.lit(0)) % 2 == 0).alias("included"), F.trim(text("at", "ends")).alias("raw"),
     )
 
 
-def coverage_clauses(areas: DataFrame) -> DataFrame:
+def coverage_clauses(areas: DataFrame, tree: DataFrame | None = None) -> DataFrame:
     """(area_code, node, clause_raw, pref_name, municipality_name, qualifier, coverage_type, exception_text) of areas (area_code, area_text): the outermost names of ``clause_tree``. A clause
     that is limited or excepted is ``partial``, and its text is kept as it is, ``exception_text`` being what is taken out; one that is no municipality, or whose bracket does
-    neither, is ``unparsed``."""
-    rows = clause_tree(areas).filter("depth = 0 AND raw <> ''")
+    neither, is ``unparsed``. ``tree``: the areas' ``clause_tree``, where it is made already."""
+    rows = (clause_tree(areas) if tree is None else tree).filter("depth = 0 AND raw <> ''")
     part = lambda n: F.nullif(F.regexp_extract("name", _MUNICIPALITY, n), F.lit(""))
     kind = F.when(part(2).isNull() | (F.col("mode") == "note"), "unparsed").when(F.col("mode").isNotNull(), "partial").otherwise("whole")
     rows = rows.withColumns({"coverage_type": kind, "pref_name": part(1), "municipality_name": part(2)})
@@ -138,11 +140,11 @@ def ward_coverage(areas: DataFrame, wards: DataFrame) -> DataFrame:
     A ward that a bracket names is as the tree says: covered or not, in part where it has a bracket of its own. One that is not named is covered, unless the bracket is a limit
     to others. Clauses that are unparsed settle no ward.
     """
-    tree = clause_tree(areas)
-    clauses = coverage_clauses(areas).filter("coverage_type <> 'unparsed'").select("area_code", F.col("node").alias("parent"), "municipality_name")
+    tree = durable(clause_tree(areas))
+    clauses = coverage_clauses(areas, tree).filter("coverage_type <> 'unparsed'").select("area_code", F.col("node").alias("parent"), "municipality_name")
     modes = tree.filter("depth = 0").select("area_code", F.col("node").alias("parent"), F.col("mode").alias("of_clause"))
     named = tree.filter("depth = 1").groupBy("area_code", "parent", F.col("name").alias("ward")).agg(F.max("included").alias("included"), F.max(F.col("mode").isNotNull()).alias("cut"))
-    rows = clauses.join(modes, ["area_code", "parent"]).join(wards, "municipality_name").join(named, ["area_code", "parent", "ward"], "left")
+    rows = clauses.join(modes.hint("merge"), ["area_code", "parent"]).join(wards.hint("merge"), "municipality_name").join(named.hint("merge"), ["area_code", "parent", "ward"], "left")
     here = F.when(F.col("included").isNull(), F.when(F.col("of_clause") == "only", 0).otherwise(2)).when(F.col("cut"), 1).when(F.col("included"), 2).otherwise(0)
     out = rows.groupBy("area_code", "municipality_name", "ward").agg(F.max(here).alias("most"))  # several clauses of an area add up
     return out.select("area_code", "municipality_name", "ward", F.element_at(F.array(F.lit("none"), F.lit("partial"), F.lit("whole")), F.col("most") + 1).alias("coverage"))

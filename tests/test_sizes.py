@@ -15,3 +15,11 @@ def test_squares_of_runs_are_not_broadcast(spark):
     runs = mesh.build_runs(plots(spark), level=6)
     assert "Broadcast" not in plan(runs)
     assert runs.filter("size(ids) = 3").count() > 0
+
+
+def test_runs_that_codes_met_are_not_broadcast(spark):
+    runs = mesh.build_runs(plots(spark), level=6).localCheckpoint()
+    codes = runs.select(runs.start.alias("code"), "ids").limit(3)
+    found = mesh.run_lookup(codes.select("code"), runs)
+    assert plan(found).count("BroadcastHashJoin") == 1  # a row a part
+    assert {(r.code, tuple(r.ids)) for r in found.collect()} == {(r.code, tuple(r.ids)) for r in codes.collect()}
