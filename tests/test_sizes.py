@@ -1,6 +1,7 @@
 """What may grow with the tables is not broadcast, and pairs are made last."""
 
 from tesserae.functions import mesh
+from tesserae.operators import matching
 
 
 def plan(df):
@@ -23,3 +24,11 @@ def test_runs_that_codes_met_are_not_broadcast(spark):
     found = mesh.run_lookup(codes.select("code"), runs)
     assert plan(found).count("BroadcastHashJoin") == 1  # a row a part
     assert {(r.code, tuple(r.ids)) for r in found.collect()} == {(r.code, tuple(r.ids)) for r in codes.collect()}
+
+
+def test_clauses_are_not_broadcast(spark):
+    areas = spark.range(1, 4).selectExpr("CAST(id AS STRING) AS area_code", "'甲市（東区を除く）、乙町' AS area_text")
+    wards = spark.createDataFrame([("甲市", "東区"), ("甲市", "西区")], "municipality_name string, ward string")
+    found = matching.ward_coverage(areas, wards)
+    assert "Broadcast" not in plan(found)
+    assert {(r.ward, r.coverage) for r in found.collect()} == {("東区", "none"), ("西区", "whole")}
