@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..durable import durable
 from .spatial import containment_join, line_centroid, point_on_line, sample_line
 
 CONTAINS, AMBIGUOUS, UNRESOLVED, OVERLAP = "contains", "ambiguous", "unresolved", "overlap"
@@ -104,17 +107,90 @@ def line_bridge(lines: DataFrame, shapes: DataFrame, current: DataFrame, success
     return counted.withColumns({"relation_type": F.lit(OVERLAP), "match_method": method, "verification_status": status, "mismatch_note": note}).withColumnRenamed("code", "boundary_code").drop("via_lineage")
 
 
+@dataclass(frozen=True)
+class By:
+    """A matching rule as an equi-join: ``on`` has a column over the entities for each column of ``targets`` that it must equal; ``targets`` has these and ``target``. NULLs agree with nothing."""
+
+    on: dict[str, Column]
+    targets: DataFrame
+
+
+#: Candidates in an array at most, or so.
+BLOCK = 1000
+
+
+def in_blocks(rows: DataFrame, on: list[str], value: str) -> tuple[DataFrame, DataFrame]:
+    """Groups of ``rows`` by ``on``: (on..., n, blocks), and (on..., block, values), the distinct values of a group in arrays of ``BLOCK`` or so. NULLs are not counted, but kept."""
+    rows = rows.select(*on, value).distinct()
+    sizes = rows.groupBy(*on).agg(F.count(value).alias("n"), F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    dealt = rows.join(sizes.hint("merge"), on).withColumn("block", F.pmod(F.xxhash64(value), F.col("blocks")).cast("int"))
+    return sizes, dealt.groupBy(*on, "block").agg(F.collect_list(value).alias("values"))
+
+
+def repeated(rows: DataFrame, key: str) -> DataFrame:
+    """Keys of several rows, and NULL."""
+    return rows.groupBy(key).count().filter((F.col("count") > 1) | F.col(key).isNull()).select(key)
+
+
 def cascade(entities: DataFrame, rules: list[tuple], key: str = "id") -> DataFrame:
-    """Ordered matching rules: ``(rule id, confidence, function(entities) -> (key, target)[, complete])``. An entity keeps the matches of the first rule that
+    """Ordered matching rules: ``(rule id, confidence, rule[, complete])``, a rule being ``By`` or a function(entities) -> (key, target). An entity keeps the matches of the first rule that
     matches it; what no rule matches stays, unresolved. Candidates are counted by entity and nothing is chosen among them. ``complete`` (True by
     default) tells whether a rule's evidence names all candidates; it becomes ``candidate_count_is_complete``.
 
-    Each rule is tried on all entities and the least rule is kept by an aggregate, so the plan grows by one branch a rule.
+    An entity meets the number of each rule's candidates first, keeps a rule, and only then its candidates, in arrays by what they agree in: pairs are made last, and not shuffled.
     """
+    twice = repeated(entities, key)
+    if not twice.isEmpty():  # the candidates of an entity with several rows are those of all its rows
+        twice = twice.select(F.col(key).alias("the key"))
+        same = F.col(key).eqNullSafe(F.col("the key"))
+        return _by_numbers(entities.join(twice, same, "left_anti"), rules, key).unionByName(_by_pairs(entities.join(twice, same, "left_semi"), rules, key))
+    return _by_numbers(entities, rules, key)
+
+
+def _by_numbers(entities: DataFrame, rules: list[tuple], key: str) -> DataFrame:
+    """``cascade`` of entities with one row each."""
+    rules = [(rule, confidence, match if isinstance(match, By) else By({key: F.col(key)}, match(entities).select(key, "target")), not complete or complete[0]) for rule, confidence, match, *complete in rules]
+    met = entities.select(key, *[c.alias(f"{name} {i}") for i, (_, _, by, _) in enumerate(rules) for name, c in by.on.items()])
+    arrays = []
+    for i, (_, _, by, _) in enumerate(rules):
+        on = [f"{name} {i}" for name in by.on]
+        rows = by.targets.select(*[F.col(name).alias(c) for name, c in zip(by.on, on, strict=True)], F.col("target").cast("string").alias("target"))
+        rows = rows.filter(F.forall(F.array(*[F.col(c).isNotNull() for c in rows.columns]), lambda known: known))
+        sizes, values = in_blocks(rows, on, "target")
+        met = met.join(sizes.withColumnsRenamed({"n": f"n {i}", "blocks": f"blocks {i}"}).hint("merge"), on, "left")
+        arrays.append((on, values))
+    group = F.concat(F.lit("grp_"), F.substring(F.sha2(F.col(key).cast("string"), 256), 1, 16))
+    first = F.coalesce(*[F.when(F.col(f"n {i}").isNotNull(), i) for i in range(len(rules))], F.lit(-1))
+    met = durable(met.withColumns({"rule": first, "group": group}))
+    out = None
+    for i, (rule, confidence, complete) in enumerate([*[(r, c, w) for r, c, _, w in rules], (UNRESOLVED, 0.0, True)]):
+        if i < len(rules):
+            on, values = arrays[i]
+            asked = met.filter(F.col("rule") == i).select(key, "group", *on, F.col(f"n {i}").alias("n"), F.explode(F.sequence(F.lit(0), F.col(f"blocks {i}") - 1)).alias("block"))
+            # dealt by group and block, so that a group with many entities and many candidates is spread
+            rows = asked.join(values.hint("merge"), [*on, "block"]).select(asked[key], "group", "n", F.explode("values").alias("target"))
+        else:
+            rows = met.filter("rule = -1").select(key, "group", F.lit(0).cast("long").alias("n"), F.lit(None).cast("string").alias("target"))
+        rows = rows.select(
+            key, "target", F.lit(rule).alias("matching_rule_id"), F.lit(float(confidence)).alias("confidence"), F.lit(complete).alias("candidate_count_is_complete"),
+            F.col("group").alias("candidate_group_id"), F.col("n").alias("candidate_count"), *_relations(F.col("n")),
+        )
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+def _by_pairs(entities: DataFrame, rules: list[tuple], key: str) -> DataFrame:
+    """``cascade`` of entities with any number of rows: all pairs of each rule, the least rule kept by an aggregate."""
     found = None
     for n, (rule, confidence, match, *complete) in enumerate(rules):
         marks = {"order": F.lit(n), "matching_rule_id": F.lit(rule), "confidence": F.lit(float(confidence)), "candidate_count_is_complete": F.lit(complete[0] if complete else True)}
-        rows = match(entities).select(key, F.col("target").cast("string").alias("target")).filter("target IS NOT NULL").distinct().withColumns(marks)
+        if isinstance(match, By):
+            on = [f"{name} {n}" for name in match.on]
+            targets = match.targets.select(*[F.col(name).alias(c) for name, c in zip(match.on, on, strict=True)], "target")
+            rows = entities.select(F.col(key).alias("the key"), *[c.alias(a) for c, a in zip(match.on.values(), on, strict=True)]).join(targets, on).withColumnRenamed("the key", key)
+        else:
+            rows = match(entities)
+        rows = rows.select(key, F.col("target").cast("string").alias("target")).filter("target IS NOT NULL").distinct().withColumns(marks)
         found = rows if found is None else found.unionByName(rows)
     if found is None:
         none = {"target": F.lit(None).cast("string"), "matching_rule_id": F.lit("unresolved"), "confidence": F.lit(0.0), "candidate_count_is_complete": F.lit(True)}
@@ -125,6 +201,11 @@ def cascade(entities: DataFrame, rules: list[tuple], key: str = "id") -> DataFra
     return candidate_accounting(kept, key, "target")
 
 
+def _relations(count: Column) -> list[Column]:
+    unique = count == 1
+    return [unique.alias("is_unique_match"), F.when(count == 0, UNRESOLVED).when(unique, "exact").otherwise(AMBIGUOUS).alias("relation_type"), F.when(unique, AUTO).otherwise(REVIEW).alias("verification_status")]
+
+
 def candidate_accounting(rows: DataFrame, key: str, target: str) -> DataFrame:
     """``candidate_group_id``, ``candidate_count``, ``is_unique_match``, ``relation_type``, ``verification_status``."""
     count = F.count(target).over(W.partitionBy(key))

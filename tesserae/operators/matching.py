@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ..durable import durable
 from ..functions.normalize import normalize_conservative, normalize_postal_town, normalize_relaxed
-from .bridges import cascade
+from .bridges import By, cascade
 from .similarity import nearest_names
 
 #: A municipality, with its prefecture before it or not.
@@ -25,14 +25,19 @@ def _joined(entities: DataFrame, others: DataFrame, left, right, target: str) ->
     return a.join(b, ["lg_code", "the name"])
 
 
+def _named(left: Column, others: DataFrame, right: Column, target: str) -> By:
+    """Others of the entity's municipality whose names agree; empty names agree with none."""
+    return By({"lg_code": F.col("lg_code"), "the name": F.nullif(left, F.lit(""))}, others.select("lg_code", right.alias("the name"), F.col(target).alias("target")))
+
+
 def postal(addresses: DataFrame, codes: DataFrame, records: DataFrame) -> DataFrame:
     """Addresses (id, lg_code, machiaza_id, name) to postal codes. ``codes``: lg_code, machiaza_id, postal_code (the registry's own conversion). ``records``: lg_code, town_raw,
     postal_code, record_kind. P1 the conversion of the town's key; P2 the town's name, normalised without brackets; P3 the municipality's special records (no listing,
     whole municipality), which do not name towns, so that their candidates are not complete. Several codes stay, ambiguous; none: unresolved."""
-    by_key = lambda e: e.join(codes.select("lg_code", "machiaza_id", F.col("postal_code").alias("target")), ["lg_code", "machiaza_id"])
+    by_key = By({"lg_code": F.col("lg_code"), "machiaza_id": F.col("machiaza_id")}, codes.select("lg_code", "machiaza_id", F.col("postal_code").alias("target")))
     towns, special = records.filter("record_kind = 'town'"), records.filter("record_kind <> 'town'")
-    by_name = lambda e: _joined(e, towns, normalize_conservative(F.col("name")), normalize_postal_town(F.col("town_raw")), "postal_code")
-    by_municipality = lambda e: e.join(special.select("lg_code", F.col("postal_code").alias("target")), "lg_code")
+    by_name = _named(normalize_conservative(F.col("name")), towns, normalize_postal_town(F.col("town_raw")), "postal_code")
+    by_municipality = By({"lg_code": F.col("lg_code")}, special.select("lg_code", F.col("postal_code").alias("target")))
     return cascade(addresses, [("P1", 1.0, by_key), ("P2", 0.9, by_name), ("P3", 0.3, by_municipality, False)])
 
 

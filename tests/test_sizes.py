@@ -1,7 +1,9 @@
 """What may grow with the tables is not broadcast, and pairs are made last."""
 
+from pyspark.sql import functions as F
+
 from tesserae.functions import mesh
-from tesserae.operators import matching
+from tesserae.operators import bridges, matching
 
 
 def plan(df):
@@ -32,3 +34,22 @@ def test_clauses_are_not_broadcast(spark):
     found = matching.ward_coverage(areas, wards)
     assert "Broadcast" not in plan(found)
     assert {(r.ward, r.coverage) for r in found.collect()} == {("東区", "none"), ("西区", "whole")}
+
+
+def test_candidates_are_paired_last(spark):
+    addresses = spark.range(1, 41).selectExpr("id", "'l' || id % 2 AS lg_code", "'m' || id AS machiaza_id", "'n' AS name")
+    codes = spark.createDataFrame([("l0", "m2", "c"), ("l0", "m2", "c"), ("l1", None, "c")], "lg_code string, machiaza_id string, postal_code string")
+    records = spark.range(2500).selectExpr("'l0' AS lg_code", "'o' AS town_raw", "'p' || id % 1250 AS postal_code", "'no_listing' AS record_kind")
+    found = matching.postal(addresses, codes, records)
+    above = plan(found).split("Generate")[0]
+    assert "Generate" in plan(found) and "Exchange" not in above
+    counts = {r.id: (r.matching_rule_id, r.n, r.c, r.k) for r in found.groupBy("id", "matching_rule_id").agg({"*": "count", "candidate_count": "max", "target": "count"}).toDF("id", "matching_rule_id", "k", "n", "c").collect()}
+    assert {i: sorted(x for x in c[1:]) for i, c in counts.items() if c[0] == "P3"} == {i: [1250] * 3 for i in range(4, 41, 2)}
+    assert counts[2][0] == "P1" and {c[0] for i, c in counts.items() if i % 2} == {"unresolved"}
+
+
+def test_entities_with_several_rows_have_the_candidates_of_all(spark):
+    entities = spark.createDataFrame([(1, "a"), (1, "b"), (2, "b"), (None, "a"), (3, "c")], "id long, name string")
+    targets = spark.createDataFrame([("a", "x"), ("a", "y"), ("b", "y"), ("b", None)], "name string, target string")
+    found = bridges.cascade(entities, [("R", 1.0, bridges.By({"name": F.col("name")}, targets))])
+    assert {(r.id, r.target, r.candidate_count) for r in found.collect()} == {(1, "x", 2), (1, "y", 2), (2, "y", 1), (None, None, 0), (3, None, 0)}
