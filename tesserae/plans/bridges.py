@@ -96,9 +96,10 @@ def rule_cascade(spark, d):
     part, k = table(spark, d, "part").select("p_partkey", F.col("p_name").alias("name"), "p_brand", "p_size"), F.col("p_partkey")
     other = F.concat("name", F.lit("*"))
     t = part.select(F.when(k % 7 == 0, k).otherwise(-1 - k).alias("k"), k.cast("string").alias("target"), F.when(k % 3 == 0, other).otherwise(F.col("name")).alias("name"), "p_brand", "p_size")
-    by_key = lambda e: e.join(t.select("k", "target"), F.col("id") == F.col("k"))
-    by_name = lambda e: e.join(t.drop("k"), ["name", "p_brand", "p_size"])
-    by_part = lambda e: e.withColumn("name", other).join(t.drop("k", "p_size"), ["name", "p_brand"])
+    columns = lambda *names: {c: F.col(c) for c in names}
+    by_key = B.By({"k": F.col("id")}, t.select("k", "target"))
+    by_name = B.By(columns("name", "p_brand", "p_size"), t.drop("k"))
+    by_part = B.By({"name": other} | columns("p_brand"), t.drop("k", "p_size"))
     return B.cascade(part.withColumnRenamed("p_partkey", "id"), [("R1", 1.0, by_key), ("R2", 0.8, by_name), ("R3", 0.5, by_part, False)])
 
 
