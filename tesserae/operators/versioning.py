@@ -89,28 +89,35 @@ def resolve_identity(towns: DataFrame, ledger: DataFrame, recodes: DataFrame) ->
     """
     key = ["area", "code"]
     live, gone = ledger.filter("active"), ledger.filter("NOT active")
-    by_key = towns.join(live.select(*key, F.col("entity_id").alias("same"), F.col("name").alias("was")), key, "left")
+    by_key = towns.join(live.select(*key, F.col("entity_id").alias("same"), F.col("name").alias("was")).hint("merge"), key, "left")
     kept = by_key.filter("same IS NOT NULL").select(*key, "name", F.col("same").alias("entity_id"), F.when(F.col("was") == F.col("name"), "I1").otherwise("I4").alias("rule"), F.lit(None).cast("string").alias("review"))
     new = by_key.filter("same IS NULL").select(*key, "name")
-    vanished = live.join(towns.select(*key), key, "left_anti").select("entity_id", *key, "name")
+    vanished = live.join(towns.select(*key).hint("merge"), key, "left_anti").select("entity_id", *key, "name")
     recoded = vanished.join(recodes.withColumnRenamed("old_area", "area"), "area").select("entity_id", F.col("new_area").alias("area"), "code", "name")
-    corrected = new.join(vanished.drop("code"), ["area", "name"]).select(*key, "entity_id", F.lit("I2").alias("by"))
-    claims = corrected.unionByName(new.join(recoded, ["area", "code", "name"]).select(*key, "entity_id", F.lit("I3").alias("by"))).distinct()
-    claimed = claims.groupBy("entity_id").agg(F.countDistinct(*key).alias("claimants"))
-    of_town = claims.join(claimed, "entity_id").groupBy(*key).agg(
-        F.countDistinct("entity_id").alias("claims"), F.max("claimants").alias("claimants"), F.min("entity_id").alias("claim"), F.min("by").alias("by")
-    )
+    # Claims are pairs, and as many as the square of a group of one name; but one claim is told from several by the least and the greatest of a group, so no pair is made.
+    groups = {"I2": (vanished.drop("code"), ["area", "name"]), "I3": (recoded, ["area", "code", "name"])}
+    of_town, of_entity = None, None
+    for by, (claimed, on) in groups.items():
+        ids = claimed.filter("entity_id IS NOT NULL").groupBy(*on).agg(F.min("entity_id").alias("least"), F.max("entity_id").alias("most"))
+        claims = new.filter("code IS NOT NULL").join(ids.hint("merge"), on).select(*key, "least", "most", F.lit(by).alias("by"))
+        of_town = claims if of_town is None else of_town.unionByName(claims)
+        claimants = new.filter("code IS NOT NULL").groupBy(*on).agg(F.min(F.struct(*key)).alias("first"), F.max(F.struct(*key)).alias("last"))
+        rows = claimed.filter("entity_id IS NOT NULL").join(claimants.hint("merge"), on).select("entity_id", "first", "last")
+        of_entity = rows if of_entity is None else of_entity.unionByName(rows)
+    alone = of_entity.groupBy(F.col("entity_id").alias("claim")).agg((F.min("first") == F.max("last")).alias("alone"))
+    of_town = of_town.groupBy(*key).agg(F.min("least").alias("claim"), F.max("most").alias("other"), F.min("by").alias("by"))
+    of_town = of_town.join(alone.hint("merge"), "claim", "left").select(*key, "claim", "by", (F.col("claim") == F.col("other")).alias("one"), "alone")
     renamed = recoded.select(*key).distinct().withColumn("renamed", F.lit(True))
     elsewhere = vanished.select("code", "name").distinct().withColumn("elsewhere", F.lit(True))
     retired = gone.groupBy(*key).agg(F.count("*").alias("retired"))
-    new = new.join(of_town, key, "left").join(renamed, key, "left").join(elsewhere, ["code", "name"], "left").join(retired, key, "left")
+    new = new.join(of_town.hint("merge"), key, "left").join(renamed.hint("merge"), key, "left").join(elsewhere.hint("merge"), ["code", "name"], "left").join(retired.hint("merge"), key, "left")
     # an id that the ledger has given before, to whichever key, is not given again
     minted = new.withColumn("minted", mint(F.col("area"), F.col("code"), F.coalesce(F.concat(F.lit("again"), F.col("retired").cast("string")), F.lit("first"))))
     given = ledger.select(F.col("entity_id").alias("minted"), F.lit(True).alias("given")).distinct()
-    minted = minted.join(given, "minted", "left").withColumn("minted", F.when(F.col("given"), mint(F.col("minted"), F.lit("given"))).otherwise(F.col("minted")))
-    settled = F.coalesce((F.col("claims") == 1) & (F.col("claimants") == 1), F.lit(False))
+    minted = minted.join(given.hint("merge"), "minted", "left").withColumn("minted", F.when(F.col("given"), mint(F.col("minted"), F.lit("given"))).otherwise(F.col("minted")))
+    settled = F.coalesce(F.col("one") & F.col("alone"), F.lit(False))
     review = (
-        F.when(settled, None).when(F.col("claims").isNotNull(), F.concat("by", F.lit("_ambiguous")))
+        F.when(settled, None).when(F.col("claim").isNotNull(), F.concat("by", F.lit("_ambiguous")))
         .when(F.col("retired").isNotNull(), "I6_reinstatement_candidate").when(F.col("renamed"), "I3_renamed").when(F.col("elsewhere"), "I3_unattested")
     )
     return kept.unionByName(minted.select(
@@ -127,7 +134,7 @@ def identity_lineage(ledger: DataFrame, resolved: DataFrame) -> DataFrame:
     """(entity_id, relation_type, old_area, old_code, old_name, area, code, name): a row for each entity that was renamed, whose code was corrected, whose area was
     recoded, or that was retired in this release (then without a present key)."""
     was = ledger.filter("active").select("entity_id", *[F.col(c).alias(f"old_{c}") for c in ("area", "code", "name")])
-    rows = was.join(resolved.select("entity_id", "area", "code", "name", "rule"), "entity_id", "left")
+    rows = was.join(resolved.select("entity_id", "area", "code", "name", "rule").hint("merge"), "entity_id", "left")
     relation = F.when(F.col("rule").isNull(), "retired")
     for rule, name in LINEAGE.items():
         relation = relation.when(F.col("rule") == rule, name)
@@ -143,7 +150,7 @@ def check_identity(resolved: DataFrame) -> None:
 def retire(ledger: DataFrame, resolved: DataFrame) -> DataFrame:
     """The ledger's rows, all kept; those that no town of this release has are no longer active."""
     seen = resolved.select("entity_id").distinct().withColumn("seen", F.lit(True))
-    return ledger.join(seen, "entity_id", "left").withColumn("active", F.coalesce("seen", F.lit(False))).drop("seen")
+    return ledger.join(seen.hint("merge"), "entity_id", "left").withColumn("active", F.coalesce("seen", F.lit(False))).drop("seen")
 
 
 def collisions(ids: DataFrame, id_col: str = "entity_id") -> DataFrame:

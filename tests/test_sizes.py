@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from tesserae.functions import mesh
-from tesserae.operators import bridges, matching
+from tesserae.operators import bridges, matching, versioning
 
 
 def plan(df):
@@ -53,3 +53,13 @@ def test_entities_with_several_rows_have_the_candidates_of_all(spark):
     targets = spark.createDataFrame([("a", "x"), ("a", "y"), ("b", "y"), ("b", None)], "name string, target string")
     found = bridges.cascade(entities, [("R", 1.0, bridges.By({"name": F.col("name")}, targets))])
     assert {(r.id, r.target, r.candidate_count) for r in found.collect()} == {(1, "x", 2), (1, "y", 2), (2, "y", 1), (None, None, 0), (3, None, 0)}
+
+
+def test_claims_of_one_name_are_not_paired(spark):
+    ledger = spark.range(300).selectExpr("'e' || id AS entity_id", "'a' AS area", "'c' || id AS code", "CASE WHEN id = 7 THEN 'own' ELSE 'n' END AS name", "true AS active")
+    towns = spark.range(300).selectExpr("'a' AS area", "'d' || id AS code", "CASE WHEN id = 9 THEN 'own' ELSE 'n' END AS name")
+    found = versioning.resolve_identity(towns, ledger, spark.createDataFrame([("a", "b")], "old_area string, new_area string"))
+    assert "count(distinct" not in plan(found)
+    rows = {(r.rule, r.review): r["count"] for r in found.groupBy("rule", "review").count().collect()}
+    assert rows == {("I2", None): 1, ("I5", "I2_ambiguous"): 299}
+    assert found.filter("rule = 'I2'").select("code", "entity_id").first() == ("d9", "e7")
