@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from tesserae.functions import mesh
-from tesserae.operators import bridges, matching, versioning
+from tesserae.operators import bridges, matching, points, versioning
 
 
 def plan(df):
@@ -63,3 +63,12 @@ def test_claims_of_one_name_are_not_paired(spark):
     rows = {(r.rule, r.review): r["count"] for r in found.groupBy("rule", "review").count().collect()}
     assert rows == {("I2", None): 1, ("I5", "I2_ambiguous"): 299}
     assert found.filter("rule = 'I2'").select("code", "entity_id").first() == ("d9", "e7")
+
+
+def test_towns_of_schools_are_paired_last(spark):
+    schools = spark.range(1, 5).selectExpr("id AS school_code", "'l' AS lg_code", "'ab' || id AS address", "'p' AS postal_code")
+    towns = spark.range(2500).selectExpr("id AS address_id", "'l' AS lg_code", "CASE WHEN id = 0 THEN 'ab1' WHEN id % 2 = 0 THEN 'ab' ELSE 'a' END AS name")
+    found = points.school_bridge(schools, towns, towns.limit(1).selectExpr("address_id", "'p' AS postal_code"))
+    assert "Generate" in plan(found) and "Exchange" not in plan(found).split("Generate")[0]
+    counts = {r.school_code: r["count"] for r in found.groupBy("school_code").count().collect()}
+    assert counts == {1: 1, 2: 1249, 3: 1249, 4: 1249} and found.filter("postal_check = 'matches'").count() == 1
