@@ -159,18 +159,19 @@ def telephone(municipalities: DataFrame, coverage: DataFrame, decided: DataFrame
     """Municipalities (id, name) to numbering areas (coverage: area_code, municipality_name, coverage_type). T0 a person's decision (id, target); T1 the one area that covers it whole; T6 several
     areas that each cover it whole, which stay ambiguous; T3 areas that cover parts of it, whose number the clauses do not settle. What no clause names stays, unresolved."""
 
-    rows = lambda kind: coverage.filter(F.col("coverage_type") == kind).select(normalize_conservative(F.col("municipality_name")).alias("the name"), F.col("area_code").alias("target"))
-    named = lambda e: e.select("id", normalize_conservative(F.col("name")).alias("the name"))
-    areas = rows("whole").groupBy("the name").agg(F.collect_set("target").alias("targets"))
-    whole = lambda several: lambda e: named(e).join(areas.filter((F.size("targets") > 1) == several), "the name").select("id", F.explode("targets").alias("target"))
-    rules = [("T1", 1.0, whole(False)), ("T6", 0.5, whole(True)), ("T3", 0.5, lambda e: named(e).join(rows("partial"), "the name"), False)]
+    name = normalize_conservative(F.col("name"))
+    rows = lambda kind: coverage.filter(F.col("coverage_type") == kind).select(normalize_conservative(F.col("municipality_name")).alias("the name"), F.col("area_code").alias("target")).filter("target IS NOT NULL").distinct()
+    whole = rows("whole")
+    whole = whole.join(whole.groupBy("the name").agg(F.count("*").alias("n")).hint("merge"), "the name")
+    by = lambda targets: By({"the name": name}, targets.select("the name", "target"))
+    rules = [("T1", 1.0, by(whole.filter("n = 1"))), ("T6", 0.5, by(whole.filter("n > 1"))), ("T3", 0.5, by(rows("partial")), False)]
     if decided is not None:
-        rules = [("T0", 1.0, lambda e: e.select("id").join(decided, "id")), *rules]
+        rules = [("T0", 1.0, By({"id": F.col("id")}, decided.select("id", "target"))), *rules]
     return cascade(municipalities, rules)
 
 
 def telephone_of_towns(towns: DataFrame, decided: DataFrame | None = None) -> DataFrame:
     """Towns (id) to numbering areas: T0 a person's decision (id, target); all others T10, a row each, unresolved: what is said of a municipality is not carried over to its towns."""
-    rules = [] if decided is None else [("T0", 1.0, lambda e: e.select("id").join(decided, "id"))]
+    rules = [] if decided is None else [("T0", 1.0, By({"id": F.col("id")}, decided.select("id", "target")))]
     out = cascade(towns, rules)
     return out.withColumn("matching_rule_id", F.when(F.col("target").isNull(), "T10").otherwise(F.col("matching_rule_id")))
