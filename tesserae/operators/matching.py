@@ -18,13 +18,6 @@ _KEYWORD = r"(に限る|を除く)。?$"
 _TOKEN = r"[（(]|[）)]|、|[^（(）)、]+"
 
 
-def _joined(entities: DataFrame, others: DataFrame, left, right, target: str) -> DataFrame:
-    """Entities and others of one municipality whose names agree; empty names agree with none."""
-    a = entities.select("id", "lg_code", left.alias("the name")).filter("`the name` <> ''")
-    b = others.select("lg_code", right.alias("the name"), F.col(target).alias("target"))
-    return a.join(b, ["lg_code", "the name"])
-
-
 def _named(left: Column, others: DataFrame, right: Column, target: str) -> By:
     """Others of the entity's municipality whose names agree; empty names agree with none."""
     return By({"lg_code": F.col("lg_code"), "the name": F.nullif(left, F.lit(""))}, others.select("lg_code", right.alias("the name"), F.col(target).alias("target")))
@@ -48,19 +41,20 @@ def town_reference(addresses: DataFrame, towns: DataFrame, decided: DataFrame |
     With ``most``, names of one municipality that disagree in up to as many edits come last: M2 where one town is nearest, which a person has to confirm (equivalent), M4 where
     several are (ambiguous).
     """
-    exact = lambda e: _joined(e, towns, normalize_conservative(F.col("name")), normalize_conservative(F.col("name")), "mlit_code")
-    relaxed = lambda e: _joined(e, towns, normalize_relaxed(F.col("name")), normalize_relaxed(F.col("name")), "mlit_code")
+    exact, relaxed = (_named(profile(F.col("name")), towns, profile(F.col("name")), "mlit_code") for profile in (normalize_conservative, normalize_relaxed))
     rules = [("M1", 1.0, exact), ("M3", 0.8, relaxed)]
     if decided is not None:
-        rules = [("M0", 1.0, lambda e: e.select("id").join(decided, "id")), *rules]
+        rules = [("M0", 1.0, By({"id": F.col("id")}, decided.select("id", "target"))), *rules]
     if most is None:
         return cascade(addresses, rules)
-    named = lambda df, *more: df.select(F.col("lg_code").alias("block"), normalize_conservative(F.col("name")).alias("name"), *more).filter("name <> ''")
+    plain = normalize_conservative(F.col("name"))
+    named = lambda df, *more: df.select(F.col("lg_code").alias("block"), plain.alias("name"), *more).filter("name <> ''")
     targets = named(towns, F.col("mlit_code").alias("target")).withColumnRenamed("name", "other").distinct()
-    near = nearest_names(named(addresses), named(towns), most).join(targets, ["block", "other"]).groupBy("block", "name").agg(F.collect_set("target").alias("targets"))
-    found = named(addresses, "id").join(near, ["block", "name"])
-    nearest = lambda several: lambda e: found.filter((F.size("targets") > 1) == several).select("id", F.explode("targets").alias("target"))
-    out = cascade(addresses, [*rules, ("M2", 0.6, nearest(False)), ("M4", 0.4, nearest(True))])
+    near = durable(nearest_names(named(addresses), named(towns), most).select("block", "name", "other"))
+    near = near.join(targets.hint("merge"), ["block", "other"]).select("block", "name", "target").filter("target IS NOT NULL").distinct()
+    near = durable(near.join(near.groupBy("block", "name").agg(F.count("*").alias("n")).hint("merge"), ["block", "name"]))
+    nearest = lambda n: By({"block": F.col("lg_code"), "name": plain}, near.filter(n).drop("n"))
+    out = cascade(addresses, [*rules, ("M2", 0.6, nearest("n = 1")), ("M4", 0.4, nearest("n > 1"))])
     disagrees = F.col("matching_rule_id") == "M2"
     return out.withColumns({"relation_type": F.when(disagrees, "equivalent").otherwise(F.col("relation_type")), "verification_status": F.when(disagrees, "review_required").otherwise(F.col("verification_status"))})
 
