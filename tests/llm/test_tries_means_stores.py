@@ -254,6 +254,35 @@ def test_a_span_of_the_stream(spark, tmp_path_factory, begin, end):
     assert all(stream[r.start : r.start + len(r.ids)] == r.ids for r in rows)
 
 
+def test_words_are_given_to_the_library_once():
+    import random
+
+    import pyarrow as pa
+
+    encoder, given = token_store.Encoder(vocabulary(), 0), []
+    library = encoder.library
+
+    class Counting:
+        def encode_batch_fast(self, texts, **how):
+            given.extend(texts)
+            return library.encode_batch_fast(texts, **how)
+
+    encoder.library = Counting()
+    dice = random.Random(5)
+    signs = [*"ab Z09.,'-!\n\t\r\x0b\x0c\x1c\x1f\x85\xa0\u1680\u180e\u200b\u2003\u2028\u3000\ufeff«ß×÷éЖя中あ、\u0301½²٣…😀\x00\x7f_", "'s", "'re", " 's", "  ", "\n\n", " a", "ll", "<|endoftext|>"]
+    texts = ["".join(dice.choices(signs, k=dice.randint(0, 14))) for _ in range(20_000)] + [None, "", "中" * 500]
+    want = [x.ids + [0] for x in library.encode_batch_fast([t or "" for t in texts], add_special_tokens=False)]
+    assert [ids for i in range(0, len(texts), 997) for ids in encoder.encode(pa.array(texts)[i : i + 997]).to_pylist()] == want
+    given.clear()
+    some = pa.array([f"{a}word{b}{c} 7{c}" for a in ("", " ", "(") for b in "xyz" for c in ".,!?;:"])
+    encoder.encode(some)
+    words = "\n".join(given).split("\n")
+    assert len(words) == len(set(words)) < 30
+    given.clear()
+    encoder.encode(some)
+    assert not given
+
+
 def test_an_empty_store(spark, tmp_path):
     folder = stored(spark, [], f"{tmp_path}/empty")
     assert token_store.read_tokens(spark, folder).count() == 0 and token_store.read_span(spark, folder, 0, 10).count() == 0
