@@ -71,10 +71,18 @@ def point_bridge(points: DataFrame, shapes: DataFrame, current: DataFrame, succe
     return settle(_with_candidates(points.drop("x", "y"), codes, shapes, current, successors, key), [key])
 
 
+#: Entities in a task where they meet their candidates, or so.
+ENTITIES = 250_000
+
+
 def _with_candidates(rows: DataFrame, codes: DataFrame, shapes: DataFrame, current: DataFrame, successors: DataFrame, key: str, *more: str) -> DataFrame:
     """``rows`` with a row for each candidate of the ``codes`` (key, code, ...) found for them; one with NULLs where none was. The codes of an entity meet in one
     set, so that the entities are joined once and each of them is one row on either side."""
     names = resolve_codes(shapes, current, successors).groupBy("code").agg(F.collect_set(F.struct("lg_code", "via_lineage")).alias("means"))
+    parts = -(-rows.count() // ENTITIES)
+    if parts > rows.sparkSession.sparkContext.defaultParallelism:
+        # what a task sorts and joins does not grow with the input, and adaptive execution does not put it together by its size on disk
+        rows, codes = rows.repartition(parts, key), codes.repartition(parts, key)
     sets = codes.groupBy(key).agg(F.collect_set(F.struct("code", *more)).alias("found"))
     joined = rows.join(sets, key, "left").withColumn("f", F.explode_outer("found")).select(*rows.columns, "f.*")
     out = joined.join(F.broadcast(names) if _few(shapes) else names, "code", "left").withColumn("m", F.explode_outer("means"))

@@ -24,10 +24,13 @@ def _bridge(spark, d):
     FROM bridge GROUP BY ALL""")
 def bridge_point_polygon(spark, d):
     """Flagship: points into polygons, codes read through lineage, all candidates kept, then summed up by municipality."""
-    settled = F.countDistinct(F.when(F.col("is_unique_match") == 1, F.col("id")))
-    return _bridge(spark, d).groupBy(F.coalesce("lg_code", F.lit("-")).alias("lg_code"), "relation_type", "match_method", "verification_status").agg(
-        F.count("*").alias("n_rows"), F.countDistinct("id").alias("n_points"), settled.alias("n_settled"), F.round(F.try_divide(settled * 100.0, F.countDistinct("id")), 1).alias("pct_settled")
+    groups = [F.coalesce("lg_code", F.lit("-")).alias("lg_code"), "relation_type", "match_method", "verification_status"]
+    # the rows of a point lie together already: each point is summed up where it is, and no ids are sent
+    points = _bridge(spark, d).groupBy(*groups, "id").agg(F.count("*").alias("n"), F.max("is_unique_match").alias("settled"))
+    sums = points.groupBy("lg_code", "relation_type", "match_method", "verification_status").agg(
+        F.sum("n").alias("n_rows"), F.count("id").alias("n_points"), F.count_if(F.col("id").isNotNull() & (F.col("settled") == 1)).alias("n_settled")
     )
+    return sums.withColumn("pct_settled", F.round(F.try_divide(F.col("n_settled") * 100.0, F.col("n_points")), 1))
 
 
 @register(QUERIES, SQL, f"WITH {INPUTS} SELECT id, name, lg_code, boundary_code, candidate_count, relation_type, match_method, confidence, is_unique_match, verification_status, mismatch_note FROM bridge")

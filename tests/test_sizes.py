@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from tesserae.functions import mesh
 from tesserae.operators import bridges, matching, points, versioning
+from tesserae.plans import bridges as plans
 
 
 def plan(df):
@@ -36,6 +37,22 @@ def test_clauses_are_not_broadcast(spark):
     assert {(r.ward, r.coverage) for r in found.collect()} == {("東区", "none"), ("西区", "whole")}
 
 
+def test_points_meet_their_candidates_in_tasks_of_one_size(spark, monkeypatch):
+    monkeypatch.setattr(bridges, "ENTITIES", 100)
+    dots = spark.range(10_000).selectExpr("id", "130 + id / 100000D AS x", "33.0105D AS y")
+    squares = plots(spark).selectExpr("id AS shape_id", "'c' || id AS code", "rings")
+    names = squares.selectExpr("code", "'l' || code AS lg_code")
+    found = bridges.point_bridge(dots, squares, names, names.limit(0))
+    assert found.groupBy(F.spark_partition_id()).count().count() == 100
+    monkeypatch.undo()
+    assert sorted(map(tuple, found.fillna("-").collect())) == sorted(map(tuple, bridges.point_bridge(dots, squares, names, names.limit(0)).fillna("-").collect()))
+    assert {r.candidate_count for r in found.select("candidate_count").distinct().collect()} > {0, 1, 2}
+
+
+def test_points_are_summed_up_where_they_are(spark, sf_dir):
+    assert "Expand" not in plan(plans.QUERIES["bridge_point_polygon"](spark, sf_dir))
+
+
 def test_candidates_are_paired_last(spark):
     addresses = spark.range(1, 41).selectExpr("id", "'l' || id % 2 AS lg_code", "'m' || id AS machiaza_id", "'n' AS name")
     codes = spark.createDataFrame([("l0", "m2", "c"), ("l0", "m2", "c"), ("l1", None, "c")], "lg_code string, machiaza_id string, postal_code string")
