@@ -89,3 +89,23 @@ def test_towns_of_schools_are_paired_last(spark):
     assert "Generate" in plan(found) and "Exchange" not in plan(found).split("Generate")[0]
     counts = {r.school_code: r["count"] for r in found.groupBy("school_code").count().collect()}
     assert counts == {1: 1, 2: 1249, 3: 1249, 4: 1249} and found.filter("postal_check = 'matches'").count() == 1
+
+
+def test_pairs_of_schools_are_spread_by_their_number(spark, monkeypatch):
+    monkeypatch.setattr(points, "PAIRS", 5000, raising=False)
+    monkeypatch.setattr(points, "CROWD", 10, raising=False)
+    schools = spark.range(200).selectExpr("id AS school_code", "'l' AS lg_code", "'ab' || id AS address", "'p' AS postal_code")
+    towns = spark.range(500).selectExpr("id AS address_id", "'l' AS lg_code", "'ab' AS name")
+    found = points.school_bridge(schools, towns, towns.limit(1).selectExpr("address_id", "'p' AS postal_code"))
+    tasks = [r["count"] for r in found.groupBy(F.spark_partition_id()).count().collect()]  # one name, few bytes
+    assert sum(tasks) == 100_000 and len(tasks) >= 8 and max(tasks) <= 30_000
+    assert found.distinct().count() == 100_000 and found.filter("postal_check = 'matches'").count() == 200
+
+
+def test_one_repeated_school_does_not_pair_the_others_early(spark):
+    schools = spark.createDataFrame([(1, "l", "ab1", "p"), (1, "l", "abc", "q"), (2, "l", "ab2", "p"), (None, "l", "ab3", "p"), (3, "l", "z", "p")], "school_code long, lg_code string, address string, postal_code string")
+    towns = spark.createDataFrame([(7, "l", "ab"), (8, "l", "ab"), (9, "l", "abc")], "address_id long, lg_code string, name string")
+    found = points.school_bridge(schools, towns, towns.limit(1).selectExpr("address_id", "'p' AS postal_code"))
+    assert "explode(values" in plan(found)
+    rows = {(r.school_code, r.address_id, r.candidate_count, r.postal_check) for r in found.collect()}
+    assert rows == {(1, 9, 2, "differs"), (2, 7, 2, "matches"), (2, 8, 2, "differs"), (None, None, 0, None), (3, None, 0, None)} and found.count() == 6
