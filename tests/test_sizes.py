@@ -99,6 +99,7 @@ def test_pairs_of_schools_are_spread_by_their_number(spark, monkeypatch):
     found = points.school_bridge(schools, towns, towns.limit(1).selectExpr("address_id", "'p' AS postal_code"))
     tasks = [r["count"] for r in found.groupBy(F.spark_partition_id()).count().collect()]  # one name, few bytes
     assert sum(tasks) == 100_000 and len(tasks) >= 8 and max(tasks) <= 30_000
+    assert plan(found).count("REPARTITION_BY_NUM") == 4  # before rows multiply, and where they meet
     assert found.distinct().count() == 100_000 and found.filter("postal_check = 'matches'").count() == 200
 
 
